@@ -10,7 +10,7 @@ from sluice.functions.exprs import PREDEFINED_PIPELINE_TYPES
 
 # --- derived inputs (FIXTURES.md §2), DuckDB dialect -------------------------
 HUMANIZE = ("array_to_string(list_transform(string_split(replace({c}, '_', ' '), ' '), "
-            "w -> upper(w[1]) || lower(w[2:])), ' ')")
+            "lambda w: upper(w[1]) || lower(w[2:])), ' ')")
 
 RUN_HISTORY = f"""run_history AS (
  SELECT *, {HUMANIZE.format(c='action')} AS pipeline_type FROM (
@@ -124,3 +124,91 @@ oracle("core_observations", """SELECT l_orderkey AS encounter_id, l_linenumber A
  l_quantity AS value, l_returnflag AS flag, l_shipdate AS observed_at FROM lineitem""")
 oracle("core_locations", """SELECT n_nationkey AS location_id, n_name AS location_name, r_name AS region_name
  FROM nation JOIN region ON n_regionkey = r_regionkey""")
+
+# --- 2.1 sources / 2.3 sinks / 2.4 jobs -------------------------------------
+ORDERS_ALL = f"SELECT {ORDERS_COLS} FROM orders"
+for _k in ("extract_full", "empty_source_keeps_target", "full_refresh_overwrite", "append_load",
+           "job_extract_load_full", "job_extract_load_incremental"):
+    oracle(_k, ORDERS_ALL)
+
+oracle("extract_incremental", ORDERS_ALL + " WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00'")
+oracle("extract_parameterized", """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+ WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00' AND o_orderstatus <> 'P'""")
+oracle("load_json_records", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+oracle("load_json_arrays", """SELECT 'array' AS kind, c_custkey AS k, c_name AS v FROM customer
+ UNION ALL SELECT 'scalar', CAST(NULL AS BIGINT), p_name FROM part""")
+oracle("config_merge_last_wins", """SELECT concat('Task', CAST(p_partkey AS VARCHAR)) AS task,
+ CASE WHEN p_partkey % 250 >= 240 THEN 'summary' ELSE 'extract_load' END AS type,
+ CASE WHEN p_partkey % 250 >= 240 THEN concat('Task', CAST(p_partkey - 1 AS VARCHAR)) ELSE '' END AS deps
+ FROM part""")
+oracle("upsert_orders", f"""WITH {ORDERS_DELTA}
+SELECT * FROM latest_delta
+UNION ALL SELECT {ORDERS_COLS} FROM orders o WHERE NOT EXISTS (SELECT 1 FROM latest_delta d WHERE d.o_orderkey = o.o_orderkey)""")
+oracle("dedupe_last_wins", f"""WITH {ORDERS_DELTA.split('),' + chr(10) + 'latest_delta')[0]})
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, seq FROM (
+ SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM orders_delta) WHERE rn = 1""")
+oracle("upsert_partial_columns", f"""WITH {ORDERS_DELTA}
+SELECT t.o_orderkey, t.o_custkey,
+ CASE WHEN d.o_orderkey IS NOT NULL THEN d.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+ CASE WHEN d.o_orderkey IS NOT NULL THEN d.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+ t.o_orderdate, t.o_orderpriority
+FROM orders t LEFT JOIN latest_delta d ON t.o_orderkey = d.o_orderkey
+UNION ALL
+SELECT d.o_orderkey, d.o_custkey, d.o_orderstatus, d.o_totalprice, d.o_orderdate, '0-UNKNOWN'
+FROM latest_delta d WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey = d.o_orderkey)""")
+oracle("insert_with_defaults", """SELECT concat('t', CAST(o_orderkey AS VARCHAR)) AS table_name,
+ CAST(o_custkey AS INTEGER) AS record_count, 'pending' AS status, CAST(NULL AS VARCHAR) AS error_message FROM orders""")
+oracle("truncate_table", "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM orders")
+oracle("ddl_metadata_tables", f"WITH {RUN_HISTORY} SELECT id, action, pipeline_type, start_time, 'completed' AS status FROM run_history")
+oracle("write_clustered_layout", ORACLE["patient_summary"])
+oracle("positional_bind", """SELECT o_orderkey AS encounter_id, o_custkey AS patient_id, o_orderdate AS encounter_date,
+ CAST(o_totalprice AS DECIMAL(12,2)) AS total FROM orders""")
+oracle("sql_script_transform", """SELECT c_mktsegment, o_orderstatus, count(*) AS encounters,
+ CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+ count(*) FILTER (WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00') AS recent
+FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_mktsegment, o_orderstatus""")
+oracle("table_function_transform", """SELECT c_custkey, c_name, o_orderkey, o_orderdate, o_totalprice
+FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00'""")
+oracle("summary_multi_statement", """WITH e AS (SELECT o_custkey, count(*) AS encounters,
+  sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spend FROM orders GROUP BY o_custkey),
+ p AS (SELECT c_custkey, c_mktsegment, coalesce(encounters, 0) AS encounters, spend
+  FROM customer LEFT JOIN e ON o_custkey = c_custkey)
+SELECT c_mktsegment, count(*) AS patients, CAST(sum(encounters) AS BIGINT) AS encounters,
+ CAST(sum(spend) AS DOUBLE) AS spend FROM p GROUP BY c_mktsegment""")
+
+# --- 2.10 metadata ----------------------------------------------------------
+oracle("load_record_counts", " UNION ALL ".join(
+    f"SELECT '{n}_t' AS table_name, CAST(count(*) AS INTEGER) AS record_count, 'completed' AS status FROM {n}"
+    for n in ("customer", "orders", "lineitem", "part", "supplier")))
+oracle("load_metadata_upsert", """WITH c AS (
+  SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+ counts AS (SELECT concat('load_', lower(n_name)) AS table_name, count(*) AS record_count FROM c GROUP BY n_name
+  UNION ALL SELECT concat('load_region_', lower(r_name)), count(*) FROM c GROUP BY r_name),
+ stale AS (SELECT concat('load_', lower(n_name)) AS table_name FROM nation)
+SELECT coalesce(s.table_name, k.table_name) AS table_name,
+ CASE WHEN s.table_name IS NOT NULL THEN TIMESTAMP '2000-01-01 00:00:00' END AS last_update_timestamp,
+ CAST(coalesce(k.record_count, 0) AS INTEGER) AS record_count,
+ CASE WHEN k.table_name IS NOT NULL THEN 'completed' ELSE 'running' END AS status,
+ CASE WHEN s.table_name IS NOT NULL THEN 'stale' END AS error_message,
+ CASE WHEN k.table_name IS NOT NULL THEN TIMESTAMP '2001-08-02 00:00:00' ELSE TIMESTAMP '2000-01-01 00:00:00' END AS updated_at
+FROM stale s FULL OUTER JOIN counts k ON s.table_name = k.table_name""")
+oracle("task_status_upsert", f"""WITH {TASK_STATE}
+SELECT name AS table_name, CAST(count(*) AS INTEGER) AS record_count,
+ lower(arg_max(status, {{'s': coalesce(start_time, TIMESTAMP '1970-01-01'), 't': task_id}})) AS status,
+ CASE WHEN arg_max(status, {{'s': coalesce(start_time, TIMESTAMP '1970-01-01'), 't': task_id}}) = 'FAILED'
+  THEN 'task failed' END AS error_message,
+ TIMESTAMP '2001-08-02 00:00:00' AS last_update_timestamp
+FROM task_state GROUP BY name""")
+oracle("watermark_advance", """WITH seeds(source_table, target_table, incremental_field, wm) AS (VALUES
+  ('orders', 'encounters', 'o_orderdate', TIMESTAMP '2000-01-01'),
+  ('lineitem', 'observations', 'l_shipdate', TIMESTAMP '2001-01-01'),
+  ('events', 'run_events', 'ts', TIMESTAMP '2024-01-15'),
+  ('orders', 'encounters_archive', 'o_orderdate', TIMESTAMP '2030-01-01')),
+ mx AS (
+  SELECT 'encounters' AS target_table, max(o_orderdate) AS m FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01'
+  UNION ALL SELECT 'observations', max(l_shipdate) FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-01-01'
+  UNION ALL SELECT 'run_events', max(ts) FROM events WHERE ts > TIMESTAMP '2024-01-15'
+  UNION ALL SELECT 'encounters_archive', max(o_orderdate) FROM orders WHERE o_orderdate > TIMESTAMP '2030-01-01')
+SELECT s.source_table, s.target_table, s.incremental_field, CAST(m AS VARCHAR) AS last_processed_value,
+ coalesce(m, wm) AS last_processed_timestamp, 1000 AS batch_size, true AS is_active
+FROM seeds s JOIN mx USING (target_table)""")

@@ -15,3 +15,36 @@ query("core_patients")(flatten.core_patients)
 query("core_encounters")(flatten.core_encounters)
 query("core_observations")(flatten.core_observations)
 query("core_locations")(flatten.core_locations)
+
+# --- 2.1 sources, 2.3 sinks, 2.4 jobs, 2.10 metadata ------------------------
+from sluice.plans import loads  # noqa: E402
+
+for _name, _fn in [
+    ("extract_full", loads.extract_full),
+    ("extract_incremental", loads.extract_incremental),
+    ("extract_parameterized", loads.extract_parameterized_q),
+    ("empty_source_keeps_target", loads.empty_source_keeps_target),
+    ("load_json_records", loads.load_json_records),
+    ("load_json_arrays", loads.load_json_arrays),
+    ("config_merge_last_wins", loads.config_merge_last_wins),
+    ("full_refresh_overwrite", loads.full_refresh_overwrite),
+    ("append_load", loads.append_load),
+    ("upsert_orders", loads.upsert_orders),
+    ("dedupe_last_wins", loads.dedupe_last_wins),
+    ("upsert_partial_columns", loads.upsert_partial_columns),
+    ("insert_with_defaults", loads.insert_with_defaults),
+    ("truncate_table", loads.truncate_table),
+    ("ddl_metadata_tables", loads.ddl_metadata_tables),
+    ("write_clustered_layout", loads.write_clustered_layout),
+    ("positional_bind", loads.positional_bind_q),
+    ("job_extract_load_full", loads.job_extract_load_full),
+    ("job_extract_load_incremental", loads.job_extract_load_incremental),
+    ("sql_script_transform", loads.sql_script_transform),
+    ("table_function_transform", loads.table_function_transform),
+    ("summary_multi_statement", loads.summary_multi_statement),
+    ("load_record_counts", loads.load_record_counts),
+    ("load_metadata_upsert", loads.load_metadata_upsert),
+    ("task_status_upsert", loads.task_status_upsert),
+    ("watermark_advance", loads.watermark_advance),
+]:
+    query(_name)(_fn)
