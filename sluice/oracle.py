@@ -212,3 +212,169 @@ oracle("watermark_advance", """WITH seeds(source_table, target_table, incrementa
 SELECT s.source_table, s.target_table, s.incremental_field, CAST(m AS VARCHAR) AS last_processed_value,
  coalesce(m, wm) AS last_processed_timestamp, 1000 AS batch_size, true AS is_active
 FROM seeds s JOIN mx USING (target_table)""")
+
+# --- history ------------------------------------------------------------------
+HCOLS = "id, action, pipeline_type, start_time, end_time, duration_seconds, success, status, result, created_at"
+
+
+def iso(c: str) -> str:
+    return (f"CASE WHEN {c} IS NOT NULL THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') || "
+            f"CASE WHEN strftime({c}, '%f') <> '000000' THEN '.' || strftime({c}, '%f') ELSE '' END END")
+
+
+def rh(sql: str) -> str:
+    return f"WITH {RUN_HISTORY} {sql}"
+
+
+oracle("history_filtered", rh(f"SELECT {HCOLS} FROM run_history WHERE action = 'incremental' AND success = false"))
+oracle("history_date_range", rh("""SELECT id, action, start_time FROM run_history
+ WHERE CAST(start_time AS DATE) >= DATE '2024-01-10' AND CAST(start_time AS DATE) <= DATE '2024-01-20'"""))
+oracle("history_count", rh("""SELECT count(*) AS total FROM run_history WHERE action = 'full_refresh'
+ AND CAST(start_time AS DATE) >= DATE '2024-01-05' AND CAST(start_time AS DATE) <= DATE '2024-01-25'"""))
+oracle("history_status_filter", rh("""SELECT 'success' AS status_filter, count(*) FILTER (WHERE success = true) AS runs FROM run_history
+ UNION ALL SELECT 'failed', count(*) FILTER (WHERE success = false) FROM run_history
+ UNION ALL SELECT 'pending', count(*) FILTER (WHERE status = 'pending') FROM run_history
+ UNION ALL SELECT 'running', count(*) FILTER (WHERE status = 'running') FROM run_history
+ UNION ALL SELECT 'interrupted', count(*) FILTER (WHERE status = 'interrupted') FROM run_history
+ UNION ALL SELECT 'completed', count(*) FILTER (WHERE status = 'completed') FROM run_history
+ UNION ALL SELECT 'all', count(*) FROM run_history"""))
+oracle("history_last_pending", rh("""SELECT id, action, pipeline_type, start_time, status, result FROM run_history
+ WHERE status IN ('pending', 'running') ORDER BY created_at DESC, id DESC LIMIT 1"""))
+oracle("history_page", rh(f"""SELECT id, action, pipeline_type, {iso('start_time')} AS start_time,
+ {iso('end_time')} AS end_time, duration_seconds, success, status, result, {iso('created_at')} AS timestamp
+ FROM run_history WHERE status = 'completed' ORDER BY created_at DESC, id DESC LIMIT 25 OFFSET 50"""))
+oracle("history_page_count", rh("""SELECT count(*) AS total, 25 AS per_page, CAST(ceil(count(*) / 25) AS BIGINT) AS pages
+ FROM run_history WHERE status = 'completed'"""))
+HSTATS = f"""SELECT total_runs,
+ (CASE WHEN total_runs = 0 THEN 0 ELSE (2000 * ok + total_runs) // (2 * total_runs) END) / 10.0 AS success_rate,
+ (CASE WHEN n_dur = 0 THEN 0 ELSE (2 * cents + 10 * n_dur) // (20 * n_dur) END) / 10.0 AS avg_duration,
+ {iso('last')} AS last_run
+FROM (SELECT count(*) AS total_runs, count(*) FILTER (WHERE success) AS ok,
+  CAST(sum(CAST(duration_seconds * 100 AS BIGINT)) AS BIGINT) AS cents, count(duration_seconds) AS n_dur,
+  max(created_at) AS last FROM run_history {{where}})"""
+oracle("history_stats", rh(HSTATS.format(where="")))
+oracle("history_stats_empty", rh(HSTATS.format(where="WHERE action = 'no_such_action'")))
+oracle("history_types", rh(f"""SELECT action, pipeline_type FROM {predefined_values_sql()}
+ UNION ALL SELECT DISTINCT action, pipeline_type FROM run_history
+ WHERE action NOT IN (SELECT action FROM {predefined_values_sql()})"""))
+oracle("history_iso", rh(f"""SELECT id, {iso('start_time')} AS start_iso, {iso('end_time')} AS end_iso,
+ {iso('created_at')} AS created_iso FROM run_history"""))
+oracle("history_display", rh("""SELECT id,
+ CASE WHEN coalesce(success, false) THEN 'success' WHEN status = 'failed' THEN 'failed' WHEN status = 'done' THEN 'done'
+  WHEN status = 'interrupted' THEN 'interrupted' ELSE 'pending' END AS row_class,
+ CASE WHEN coalesce(success, false) THEN 'Success' WHEN status IN ('failed', 'unknown') THEN 'Failed'
+  WHEN status = 'done' THEN 'Done' WHEN status = 'interrupted' THEN 'Interrupted' WHEN status = 'pending' THEN 'Pending'
+  ELSE 'Unknown' END AS status_label,
+ coalesce(strftime(start_time, '%Y-%m-%d %H:%M:%S'), 'N/A') AS start_display,
+ CASE WHEN coalesce(duration_seconds, 0) <> 0 THEN CAST(CAST(round(duration_seconds, 1) AS DECIMAL(11,1)) AS VARCHAR)
+  ELSE 'N/A' END || 's' AS duration_display,
+ CASE WHEN result IS NOT NULL AND length(result) > 0
+  THEN left(result, 100) || CASE WHEN length(result) > 100 THEN '...' ELSE '' END ELSE 'No details' END AS result_preview
+FROM run_history"""))
+oracle("history_append", rh("""SELECT id, action, pipeline_type, start_time,
+ CASE WHEN end_epoch IS NOT NULL THEN make_timestamp(CAST(round(end_epoch * 1000000) AS BIGINT)) END AS end_time,
+ CAST(CASE WHEN end_epoch IS NOT NULL THEN round(end_epoch - start_epoch, 2) END AS DECIMAL(10,2)) AS duration_seconds,
+ CASE WHEN status = 'completed' THEN ok END AS success, status,
+ left(nullif(res, ''), 1000) AS result,
+ coalesce(CASE WHEN end_epoch IS NOT NULL THEN make_timestamp(CAST(round(end_epoch * 1000000) AS BIGINT)) END, start_time) AS created_at
+FROM (SELECT h.id, h.action, h.pipeline_type, h.start_time, h.status,
+  epoch_us(e.ts) / 1000000 AS start_epoch,
+  CASE WHEN e.event_id % 7 <= 4 THEN epoch_us(e.ts) / 1000000 + e.value END AS end_epoch,
+  e.value < 60 AS ok,
+  CASE WHEN e.event_id % 9 = 0 THEN '' ELSE repeat(e.props, CAST(e.event_id % 200 AS INTEGER)) END AS res
+ FROM events e JOIN run_history h ON e.event_id = h.id)"""))
+oracle("history_update", rh("""SELECT h.id, coalesce(u.status, h.status) AS status,
+ CASE WHEN u.term THEN coalesce(make_timestamp(CAST(round(u.end_epoch * 1000000) AS BIGINT)), TIMESTAMP '2024-02-01 00:00:00')
+  ELSE h.end_time END AS end_time,
+ CASE WHEN u.term THEN CAST(round(u.end_epoch - epoch_us(h.start_time) / 1000000, 2) AS DECIMAL(10,2))
+  ELSE h.duration_seconds END AS duration_seconds,
+ CASE WHEN u.term THEN u.success ELSE h.success END AS success,
+ CASE WHEN u.id IS NOT NULL THEN left(nullif(u.result, ''), 1000) ELSE h.result END AS result
+FROM run_history h LEFT JOIN (
+ SELECT id, 'completed' AS status, epoch_us(start_time) / 1000000 + 90.5 AS end_epoch, true AS success,
+  'Tasks: 3 completed, 0 failed, 0 pending, 0 disabled.' AS result, true AS term FROM run_history WHERE status = 'pending' AND id % 2 = 0
+ UNION ALL SELECT id, 'done', NULL, NULL, 'still done', false FROM run_history WHERE status = 'pending' AND id % 2 = 1
+ UNION ALL SELECT id, 'failed', NULL, false, '', true FROM run_history WHERE status = 'interrupted' AND id % 3 = 0
+) u ON h.id = u.id"""))
+
+# --- progress -----------------------------------------------------------------
+ROLLUP = f"""{TASK_STATE},
+roll AS (
+ SELECT run_id, count(*) AS total_tasks, count(*) FILTER (WHERE status = 'DONE') AS completed_tasks,
+  count(*) FILTER (WHERE status = 'RUNNING') AS running_tasks, count(*) FILTER (WHERE status = 'FAILED') AS failed_tasks,
+  count(*) FILTER (WHERE status = 'PENDING') AS pending_tasks, count(*) FILTER (WHERE status = 'DISABLED') AS disabled_tasks,
+  arg_max(name, {{'s': coalesce(start_time, TIMESTAMP '1970-01-01'), 't': -task_id}}) FILTER (WHERE status = 'RUNNING') AS current_task,
+  min(start_time) AS pipeline_start_time,
+  bool_or(contains(name, 'Incremental')) AS hi, bool_or(contains(name, 'FullRefresh')) AS hf,
+  bool_or(incremental = 'False') AS hp
+ FROM task_state GROUP BY run_id),
+r AS (
+ SELECT run_id, total_tasks, completed_tasks, running_tasks, failed_tasks, pending_tasks, disabled_tasks,
+  current_task, pipeline_start_time,
+  CASE WHEN total_tasks > 0 THEN least(95, (completed_tasks * 100) // total_tasks) ELSE 0 END AS progress,
+  running_tasks > 0 AS running,
+  CASE WHEN hi THEN 'incremental' WHEN hf THEN 'full_refresh' WHEN hp THEN 'full_refresh' ELSE 'unknown' END AS pipeline_type,
+  coalesce(CAST((epoch_us(TIMESTAMP '2001-08-02 00:00:00') - epoch_us(pipeline_start_time)) // 1000000 AS BIGINT), 0) AS elapsed_time,
+  CASE WHEN running_tasks > 0 THEN NULL
+   WHEN failed_tasks = 0 AND completed_tasks > 0 AND pending_tasks = 0 AND disabled_tasks = 0 THEN 'completed'
+   WHEN pending_tasks > 0 THEN 'pending' WHEN failed_tasks > 0 THEN 'failed' ELSE 'done' END AS final_status,
+  CASE WHEN running_tasks = 0 THEN (failed_tasks = 0 AND completed_tasks > 0 AND pending_tasks = 0 AND disabled_tasks = 0) END AS success,
+  CASE WHEN running_tasks > 0 THEN 'running_pipeline' WHEN pending_tasks > 0 THEN 'pending' ELSE 'ready' END AS state
+ FROM roll),
+msg AS (
+ SELECT run_id,
+  CASE WHEN running THEN 'Running ' || coalesce(current_task, 'pipeline') || '... (' || completed_tasks || '/' || total_tasks
+    || ' tasks completed, ' || elapsed_time || 's elapsed)' || CASE WHEN failed_tasks > 0 THEN ', ' || failed_tasks || ' failed' ELSE '' END
+   WHEN completed_tasks = total_tasks AND total_tasks > 0 THEN 'Pipeline completed '
+    || CASE WHEN failed_tasks = 0 THEN 'successfully' ELSE 'with ' || failed_tasks || ' failures' END
+    || '! (' || completed_tasks || '/' || total_tasks || ' tasks completed)'
+   WHEN pending_tasks > 0 THEN 'Pipeline pending... (' || completed_tasks || '/' || total_tasks || ' tasks completed, '
+    || pending_tasks || ' pending)'
+   ELSE 'Luigi daemon is running. Ready to start pipelines.' END AS message,
+  CASE WHEN NOT running THEN 'Tasks: ' || completed_tasks || ' completed, ' || failed_tasks || ' failed, '
+   || pending_tasks || ' pending, ' || disabled_tasks || ' disabled.' END AS result_msg
+ FROM r)"""
+oracle("progress_rollup", f"WITH {ROLLUP} SELECT * EXCLUDE (current_task) FROM r")
+oracle("progress_current_task", f"WITH {ROLLUP} SELECT run_id, current_task FROM r")
+oracle("progress_message", f"WITH {ROLLUP} SELECT * FROM msg")
+oracle("progress_heartbeat", f"""WITH {ROLLUP} SELECT run_id, least(90, 10 + elapsed_time // 10) AS progress,
+ 'Pipeline running... (' || elapsed_time || 's elapsed)' AS message FROM r""")
+oracle("reconcile_runs", f"""WITH {RUN_HISTORY}, {ROLLUP},
+h AS (SELECT run_id AS h_run_id, arg_max(id, {{'c': created_at, 'i': id}}) AS hid, arg_max(action, {{'c': created_at, 'i': id}}) AS haction
+ FROM run_history WHERE status IN ('pending', 'running') GROUP BY run_id)
+SELECT h.hid AS id, r.run_id, r.final_status AS status, r.success, m.result_msg AS result
+FROM r JOIN msg m USING (run_id) JOIN h ON r.run_id = h.h_run_id AND (h.haction = r.pipeline_type OR r.pipeline_type = 'unknown')
+WHERE NOT r.running""")
+oracle("classify_log_lines", f"""WITH {LOG_LINES}, c AS (SELECT line_no, line,
+ CASE WHEN contains(line, 'This progress looks :)') OR contains(lower(line), 'completed successfully') THEN 'completed'
+  WHEN contains(lower(line), 'failed') AND (contains(lower(line), 'pipeline') OR contains(lower(line), 'task')) THEN 'failed'
+  WHEN contains(lower(line), 'starting') OR contains(lower(line), 'initializing') OR contains(lower(line), 'connecting to database')
+  THEN 'starting' END AS outcome FROM log_lines)
+SELECT line_no, outcome, CASE WHEN outcome IN ('completed', 'failed') THEN 100 WHEN outcome = 'starting' THEN 5 END AS progress,
+ CASE WHEN outcome IS NOT NULL THEN outcome = 'starting' END AS running,
+ CASE WHEN outcome = 'starting' THEN regexp_replace(line, '^\\s+|\\s+$', '', 'g') END AS message FROM c""")
+oracle("classify_outcomes", f"""WITH {JOB_OUTCOME}, c AS (SELECT run_id, returncode = 0 AND NOT (
+  (contains(stdout, 'ERROR') OR contains(stderr, 'ERROR') OR contains(stdout, 'FAILED') OR contains(stderr, 'FAILED')
+   OR contains(stdout, 'Exception') OR contains(stderr, 'Exception') OR contains(stdout, 'Traceback') OR contains(stderr, 'Traceback')
+   OR contains(stdout, 'error') OR contains(stderr, 'error') OR contains(stdout, 'failed') OR contains(stderr, 'failed'))
+  AND NOT (contains(lower(stdout), 'completed successfully') OR contains(lower(stdout), 'pipeline completed')
+   OR contains(lower(stdout), 'successfully') OR contains(lower(stdout), 'This progress looks :)'))) AS success FROM job_outcome)
+SELECT run_id, success, CASE WHEN success THEN 'success' ELSE 'failure' END AS outcome FROM c""")
+
+# --- lineage / quality --------------------------------------------------------
+oracle("dependency_edges", f"WITH {JOB_EDGES} SELECT job, dep FROM job_edges WHERE dep IN (SELECT p_partkey FROM part)")
+oracle("pending_jobs", """SELECT p_partkey AS job FROM part p WHERE NOT EXISTS (
+ SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_partkey = p.p_partkey)""")
+oracle("dependency_levels", f"""WITH RECURSIVE {JOB_EDGES},
+ e AS (SELECT job, dep FROM job_edges WHERE dep IN (SELECT p_partkey FROM part)),
+ lv(job, level) AS (
+  SELECT p_partkey, 0 FROM part WHERE p_partkey NOT IN (SELECT job FROM e)
+  UNION ALL SELECT e.job, lv.level + 1 FROM e JOIN lv ON e.dep = lv.job)
+SELECT job, max(level) AS level FROM lv GROUP BY job""")
+oracle("json_quarantine", f"WITH {JSON_BODIES} SELECT id, json_valid(body) AS valid FROM json_bodies")
+oracle("collated_group_count", """WITH s AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment)
+ ELSE replace(c_mktsegment, 'E', 'É') END AS seg FROM customer)
+SELECT min(lower(seg)) AS label, count(*) AS n FROM s GROUP BY lower(strip_accents(seg))""")
+oracle("path_tree", """WITH p AS (SELECT CASE WHEN regexp_extract(url, '^(.*)/[^/]*$', 1) = '' THEN 'root'
+ ELSE regexp_extract(url, '^(.*)/[^/]*$', 1) END AS folder, url AS path FROM pages)
+SELECT folder, path, count(*) OVER (PARTITION BY folder) AS folder_files FROM p""")

@@ -48,3 +48,15 @@ for _name, _fn in [
     ("watermark_advance", loads.watermark_advance),
 ]:
     query(_name)(_fn)
+
+# --- 2.5-2.10 monitoring: history, progress, lineage, quality -----------------
+from sluice.plans import monitoring as mon  # noqa: E402
+
+for _name in ["history_filtered", "history_date_range", "history_count", "history_status_filter",
+              "history_last_pending", "history_page", "history_page_count", "history_stats",
+              "history_stats_empty", "history_types", "history_iso", "history_display", "history_append",
+              "history_update", "progress_rollup", "progress_current_task", "progress_message",
+              "progress_heartbeat", "reconcile_runs", "classify_log_lines", "classify_outcomes",
+              "dependency_edges", "pending_jobs", "dependency_levels", "json_quarantine",
+              "collated_group_count", "path_tree"]:
+    query(_name)(getattr(mon, _name))
