@@ -364,7 +364,7 @@ SELECT run_id, success, CASE WHEN success THEN 'success' ELSE 'failure' END AS o
 # --- lineage / quality --------------------------------------------------------
 oracle("dependency_edges", f"WITH {JOB_EDGES} SELECT job, dep FROM job_edges WHERE dep IN (SELECT p_partkey FROM part)")
 oracle("pending_jobs", """SELECT p_partkey AS job FROM part p WHERE NOT EXISTS (
- SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_partkey = p.p_partkey)""")
+ SELECT 1 FROM lineitem l WHERE l.l_shipdate < TIMESTAMP '1996-01-01' AND l.l_partkey = p.p_partkey)""")
 oracle("dependency_levels", f"""WITH RECURSIVE {JOB_EDGES},
  e AS (SELECT job, dep FROM job_edges WHERE dep IN (SELECT p_partkey FROM part)),
  lv(job, level) AS (
@@ -378,3 +378,9 @@ SELECT min(lower(seg)) AS label, count(*) AS n FROM s GROUP BY lower(strip_accen
 oracle("path_tree", """WITH p AS (SELECT CASE WHEN regexp_extract(url, '^(.*)/[^/]*$', 1) = '' THEN 'root'
  ELSE regexp_extract(url, '^(.*)/[^/]*$', 1) END AS folder, url AS path FROM pages)
 SELECT folder, path, count(*) OVER (PARTITION BY folder) AS folder_files FROM p""")
+
+# --- streaming ----------------------------------------------------------------
+oracle("stream_incremental_load", ORDERS_ALL)
+oracle("stream_upsert", ORACLE["upsert_orders"])
+oracle("stream_classify_lines", ORACLE["classify_log_lines"])
+oracle("stream_status_counts", f"WITH {TASK_STATE} SELECT status, count(*) AS tasks FROM task_state GROUP BY status")

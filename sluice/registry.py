@@ -60,3 +60,9 @@ for _name in ["history_filtered", "history_date_range", "history_count", "histor
               "dependency_edges", "pending_jobs", "dependency_levels", "json_quarantine",
               "collated_group_count", "path_tree"]:
     query(_name)(getattr(mon, _name))
+
+# --- 2.11 streaming -------------------------------------------------------------
+from sluice.streaming import queries as sq  # noqa: E402
+
+for _name in ["stream_incremental_load", "stream_upsert", "stream_classify_lines", "stream_status_counts"]:
+    query(_name)(getattr(sq, _name))
