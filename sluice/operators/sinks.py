@@ -46,6 +46,9 @@ def upsert(table: VersionedTable, delta: DataFrame, keys: list[str], order: list
     if order:
         delta = latest_per_key(delta, keys, order)
     delta = delta.drop(*[c for c in delta.columns if c not in target.columns])
+    # The merge reads the delta more than once (size check, keys, rows): a
+    # reliable checkpoint in the shared folder computes it once.
+    delta = delta.checkpoint(eager=True)
     if update_cols is None:
         merged = merge_replace(target, delta, keys)
     else:

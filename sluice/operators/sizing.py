@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on the optimizer's size estimate for a hinted broadcast side.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Upper bound on rows for a side proven small by counting (limit + 1 rows).
-BROADCAST_MAX_ROWS = 2_000_000
+# Upper bound on the optimizer's size estimate (compressed file bytes) for a
+# hinted broadcast side; in memory a side can be a few times larger.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+# Upper bounds on rows for a side proven small by counting (limit + 1 rows):
+# key-only sides (a few long columns) and whole rows.
+BROADCAST_MAX_KEY_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 100_000
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.sizing import has_at_most
+from sluice.operators.sizing import BROADCAST_MAX_KEY_ROWS, has_at_most
 
 _HIT = "__hit"
 _ROW = "__row"
@@ -36,9 +36,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
             .select(*keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in rest]))
 
 
-def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
+def _maybe_broadcast_keys(df: DataFrame, small: bool | None) -> DataFrame:
     if small is None:
-        small = has_at_most(df)
+        small = has_at_most(df, BROADCAST_MAX_KEY_ROWS)
     return F.broadcast(df) if small else df
 
 
@@ -47,7 +47,7 @@ def merge_replace(target: DataFrame, delta: DataFrame, keys: list[str],
     """Replace whole rows by key; new keys are inserted.  ``delta`` must be unique per key."""
     cols = target.columns
     delta = delta.select(*cols)
-    kept = target.join(_maybe_broadcast(delta.select(*keys), delta_small), keys, "left_anti")
+    kept = target.join(_maybe_broadcast_keys(delta.select(*keys), delta_small), keys, "left_anti")
     return kept.unionByName(delta)
 
 

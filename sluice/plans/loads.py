@@ -70,7 +70,7 @@ def load_json_records(t: Tables) -> DataFrame:
     ws = workspace(t, "json-records")
     path = f"{ws.root}/files/customers"
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    write_json_records(cust, path, F.floor(F.col("c_custkey") / 5000))
+    write_json_records(cust, path, F.floor(F.col("c_custkey") / 50000))
     run_job(ws, "LoadCustomers", {"type": "load", "source_file": path, "target_table": "patients",
                                   "file_schema": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"})
     return ws.target("patients").read()
@@ -79,7 +79,7 @@ def load_json_records(t: Tables) -> DataFrame:
 def load_json_arrays(t: Tables) -> DataFrame:
     ws = workspace(t, "json-arrays")
     apath, spath = f"{ws.root}/files/pairs", f"{ws.root}/files/names"
-    write_json_arrays(t.customer.select("c_custkey", "c_name"), apath, F.floor(F.col("c_custkey") / 5000))
+    write_json_arrays(t.customer.select("c_custkey", "c_name"), apath, F.floor(F.col("c_custkey") / 50000))
     write_json_scalars(t.part.select("p_name"), spath, F.crc32(F.col("p_name")) % 8)
     pairs = read_json_positional(ws.spark, apath, StructType.fromDDL("k bigint, v string"))
     names = read_json_positional(ws.spark, spath, StructType.fromDDL("v string"))
@@ -150,7 +150,7 @@ PARTIAL_DEFAULT_PRIORITY = "0-UNKNOWN"
 
 def upsert_partial_columns(t: Tables) -> DataFrame:
     delta = latest_per_key(views.orders_delta(t), ["o_orderkey"], ["seq"]) \
-        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate").checkpoint(eager=True)
     return merge_columns(orders(t), delta, ["o_orderkey"], ["o_orderstatus", "o_totalprice"],
                          defaults={"o_orderpriority": F.lit(PARTIAL_DEFAULT_PRIORITY)})
 
