@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluice.operators.storage import VersionedTable
+from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.operators.upsert import latest_per_key, merge_columns, merge_replace
 
 
@@ -92,3 +92,31 @@ def insert_columns(spark: SparkSession, name: str, df: DataFrame, columns: list[
 
 def truncate(spark: SparkSession, name: str) -> None:
     spark.sql("TRUNCATE TABLE IDENTIFIER(:t)", args={"t": name})
+
+
+def range_bucket(column: str, width: int):
+    """Bucket = key div width: neighbouring keys share a partition, so deltas of
+    recent keys touch only the newest buckets."""
+    return lambda df: F.floor(F.col(column) / F.lit(width)).cast("bigint")
+
+
+def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
+                    update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None) -> int:
+    """Keyed upsert that rewrites only the buckets the delta touches."""
+    spark = table.spark
+    if order:
+        delta = latest_per_key(delta, keys, order)
+    if not table.exists():
+        raise FileNotFoundError(f"bucketed target {table.root} has no data; load it first")
+    delta = table.with_bucket(delta).checkpoint(eager=True)
+    target = table.read()
+    delta = delta.drop(*[c for c in delta.columns if c not in target.columns])
+    # Bucket ids only (bounded by the partition count) reach the driver.
+    touched = [r[0] for r in delta.select(table.BUCKET).distinct().collect()]
+    current = target.where(F.col(table.BUCKET).isin(touched))
+    if update_cols is None:
+        merged = merge_replace(current, delta, keys + [table.BUCKET])
+    else:
+        merged = merge_columns(current, delta, keys + [table.BUCKET], update_cols, defaults)
+    # Materialise before overwriting the partitions it was read from.
+    return table.overwrite_buckets(merged.checkpoint(eager=True))

@@ -137,3 +137,27 @@ def test_failed_version_is_invisible(spark):
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
     assert t.current_version() == 1 and t.read().count() == 3
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tables_small):
+    import os
+
+    from sluice.operators.sinks import range_bucket, upsert_bucketed
+    from sluice.operators.storage import BucketedTable
+
+    o = orders(tables_small)
+    root = work_path(spark, "t-bucket")
+    table = BucketedTable(spark, root, range_bucket("o_orderkey", 500))
+    table.overwrite_buckets(table.with_bucket(o))
+    local = root.removeprefix("file:")
+    before = {b: sorted(os.listdir(f"{local}/{b}")) for b in os.listdir(local) if b.startswith("bucket=")}
+    delta = o.where(F.col("o_orderkey") >= 1000).select(
+        "o_orderkey", "o_custkey", F.lit("Z").alias("o_orderstatus"), "o_totalprice", "o_orderdate",
+        "o_orderpriority", F.lit(1).alias("seq"))
+    upsert_bucketed(table, delta, ["o_orderkey"], order=["seq"])
+    after = {b: sorted(os.listdir(f"{local}/{b}")) for b in os.listdir(local) if b.startswith("bucket=")}
+    assert after["bucket=0"] == before["bucket=0"] and after["bucket=1"] == before["bucket=1"]
+    assert after["bucket=2"] != before["bucket=2"]
+    got = table.read().drop("bucket")
+    assert got.count() == o.count()
+    assert got.where("o_orderstatus = 'Z'").count() == o.where("o_orderkey >= 1000").count()
