@@ -132,3 +132,18 @@ def heartbeat_progress(elapsed_s: Column) -> Column:
     """min(90, 10 + int(elapsed / 10)) on whole seconds."""
     return F.least(F.lit(HEARTBEAT_CAP).cast("bigint"),
                    F.lit(HEARTBEAT_BASE).cast("bigint") + F.floor(elapsed_s / HEARTBEAT_STEP_S).cast("bigint"))
+
+
+def ntz(value) -> Column:
+    """A ``timestamp_ntz`` literal from a Python date/datetime.
+
+    ``F.lit(datetime)`` is a session-time-zone timestamp, which shifts when
+    compared with wall-clock (ntz) columns in a non-UTC session; a typed SQL
+    literal does not.
+    """
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        return F.expr(f"TIMESTAMP_NTZ'{value:%Y-%m-%d %H:%M:%S.%f}'")
+    if isinstance(value, _dt.date):
+        return F.expr(f"TIMESTAMP_NTZ'{value:%Y-%m-%d} 00:00:00'")
+    raise TypeError(f"not a date/datetime: {value!r}")

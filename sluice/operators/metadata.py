@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, IntegerType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from sluice.functions.exprs import ntz
 from sluice.operators.upsert import merge_columns
 
 META_SCHEMA = StructType([
@@ -55,7 +56,7 @@ HISTORY_DDL = ("id BIGINT, action VARCHAR(50) NOT NULL, pipeline_type VARCHAR(10
 
 
 def _ts(now: dt.datetime):
-    return F.lit(now).cast("timestamp_ntz")
+    return ntz(now)
 
 
 def task_status_upsert(meta: DataFrame, updates: DataFrame, now: dt.datetime) -> DataFrame:

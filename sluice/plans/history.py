@@ -47,9 +47,9 @@ class HistoryFilter:
         if self.pipeline_type:
             preds.append(F.col("action") == self.pipeline_type)
         if self.date_from:
-            preds.append(F.col("start_time") >= F.lit(_midnight(self.date_from)))
+            preds.append(F.col("start_time") >= X.ntz(self.date_from))
         if self.date_to:
-            preds.append(F.col("start_time") < F.lit(_midnight(self.date_to + dt.timedelta(days=1))))
+            preds.append(F.col("start_time") < X.ntz(self.date_to + dt.timedelta(days=1)))
         if self.success is not None:
             preds.append(F.col("success") == F.lit(self.success))
         if self.status:
@@ -155,12 +155,19 @@ def display_view(history: DataFrame) -> DataFrame:
 
 # --- writes -----------------------------------------------------------------
 
-def epoch_to_ts(epoch: Column) -> Column:
-    return F.timestamp_micros(F.round(epoch * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+# Epoch seconds <-> timestamp_ntz in plain wall-clock arithmetic (UTC epoch),
+# independent of the session time zone.
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def ts_to_epoch(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) / 1_000_000
+def epoch_to_ts(epoch_sql: str) -> Column:
+    """Epoch seconds (a SQL expression) -> timestamp_ntz, to the microsecond."""
+    return F.expr(f"timestampadd(MICROSECOND, CAST(round(({epoch_sql}) * 1000000) AS BIGINT), {_EPOCH})")
+
+
+def ts_to_epoch(ts_col: str) -> Column:
+    """timestamp_ntz column -> epoch seconds (double)."""
+    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, `{ts_col}`) / 1000000")
 
 
 def log_executions(runs: DataFrame) -> DataFrame:
@@ -170,8 +177,8 @@ def log_executions(runs: DataFrame) -> DataFrame:
     epoch seconds as doubles, ``end_epoch`` NULL when the run has not ended.
     """
     end = F.col("end_epoch")
-    start_ts = epoch_to_ts(F.col("start_epoch"))
-    end_ts = F.when(end.isNotNull(), epoch_to_ts(end))
+    start_ts = epoch_to_ts("start_epoch")
+    end_ts = F.when(end.isNotNull(), epoch_to_ts("end_epoch"))
     return runs.select(
         F.col("id").cast("bigint").alias("id"),
         "action",
@@ -204,9 +211,9 @@ def apply_status_updates(history: DataFrame, updates: DataFrame, now: dt.datetim
     given_end = F.col("u_end_epoch").isNotNull()
     return j.select(
         "id", "action", "pipeline_type", "start_time",
-        F.when(term, F.coalesce(F.when(given_end, epoch_to_ts(F.col("u_end_epoch"))),
-                                F.lit(now).cast("timestamp_ntz"))).otherwise(F.col("end_time")).alias("end_time"),
-        F.when(term, F.when(given_end, F.round(F.col("u_end_epoch") - ts_to_epoch(F.col("start_time")), 2)
+        F.when(term, F.coalesce(F.when(given_end, epoch_to_ts("u_end_epoch")),
+                                X.ntz(now))).otherwise(F.col("end_time")).alias("end_time"),
+        F.when(term, F.when(given_end, F.round(F.col("u_end_epoch") - ts_to_epoch("start_time"), 2)
                             .cast("decimal(10,2)"))).otherwise(F.col("duration_seconds")).alias("duration_seconds"),
         F.when(term, F.col("u_success")).otherwise(F.col("success")).alias("success"),
         F.when(hit, F.col("u_status")).otherwise(F.col("status")).alias("status"),

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluice.functions.exprs import ntz
 from sluice.operators import metadata as md
 from sluice.operators.jobs import Workspace, run_job
 from sluice.operators.sinks import create_database, create_table, insert_columns, positional_bind, range_bucket, \
@@ -80,7 +81,7 @@ def load_json_arrays(t: Tables) -> DataFrame:
     ws = workspace(t, "json-arrays")
     apath, spath = f"{ws.root}/files/pairs", f"{ws.root}/files/names"
     write_json_arrays(t.customer.select("c_custkey", "c_name"), apath, F.floor(F.col("c_custkey") / 50000))
-    write_json_scalars(t.part.select("p_name"), spath, F.crc32(F.col("p_name")) % 8)
+    write_json_scalars(t.part.select("p_partkey", "p_name"), "p_name", spath, F.floor(F.col("p_partkey") / 50000))
     pairs = read_json_positional(ws.spark, apath, StructType.fromDDL("k bigint, v string"))
     names = read_json_positional(ws.spark, spath, StructType.fromDDL("v string"))
     return (pairs.select(F.lit("array").alias("kind"), "k", "v")
@@ -321,11 +322,11 @@ def load_metadata_upsert(t: Tables) -> DataFrame:
     and regions (new keys, inserted with defaults)."""
     nat = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     stale = nat.select(F.concat(F.lit("load_"), F.lower("n_name")).alias("table_name"),
-                       F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz").alias("last_update_timestamp"),
+                       ntz(dt.date(2000, 1, 1)).alias("last_update_timestamp"),
                        F.lit(0).alias("record_count"), F.lit("running").alias("status"),
                        F.lit("stale").alias("error_message"),
-                       F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz").alias("created_at"),
-                       F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz").alias("updated_at"))
+                       ntz(dt.date(2000, 1, 1)).alias("created_at"),
+                       ntz(dt.date(2000, 1, 1)).alias("updated_at"))
     meta = t.spark.createDataFrame([], md.META_SCHEMA).unionByName(stale)
     cust = t.customer.select("c_nationkey").join(nat, F.col("c_nationkey") == F.col("n_nationkey")) \
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -344,7 +345,7 @@ def task_status_upsert(t: Tables) -> DataFrame:
     meta = md.load_metadata_upsert(t.spark.createDataFrame([], md.META_SCHEMA), counts,
                                    dt.datetime(2001, 1, 1))
     latest = (ts.groupBy(F.col("name").alias("table_name"))
-              .agg(F.max_by("status", F.struct(F.coalesce("start_time", F.lit(dt.datetime(1970, 1, 1))),
+              .agg(F.max_by("status", F.struct(F.coalesce("start_time", ntz(dt.date(1970, 1, 1))),
                                                "task_id")).alias("s")))
     upd = latest.select("table_name", F.lower("s").alias("status"),
                         F.when(F.col("s") == "FAILED", F.lit("task failed")).alias("error_message"))

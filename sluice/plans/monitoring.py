@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.exprs import ntz
 from sluice.operators.storage import VersionedTable
 from sluice.plans import history as H
 from sluice.plans import lineage, progress, quality, views
@@ -76,7 +77,7 @@ def history_display(t):
 def run_records(t: Tables) -> DataFrame:
     """Finished-run records (epoch seconds) derived from events."""
     r = F.col("event_id") % 7
-    start = H.ts_to_epoch(F.col("ts"))
+    start = H.ts_to_epoch("ts")
     rh = hist(t).select("id", "action", "status", "start_time")
     ev = t.events.select("event_id", "ts", "value", "props")
     return ev.join(rh, F.col("event_id") == F.col("id")).select(
@@ -97,7 +98,7 @@ def history_append(t):
 
 def status_updates(t: Tables) -> DataFrame:
     h = hist(t)
-    start = H.ts_to_epoch(F.col("start_time"))
+    start = H.ts_to_epoch("start_time")
     pend = h.where(F.col("status") == "pending")
     finished = pend.where(F.col("id") % 2 == 0).select(
         "id", F.lit("completed").alias("status"), (start + 90.5).alias("end_epoch"), F.lit(True).alias("success"),
@@ -162,7 +163,7 @@ def dependency_edges(t):
 
 def pending_jobs(t):
     # Completion rows (job, mode): a job counts as done once any of its rows shipped before 1996.
-    done = (t.lineitem.where(F.col("l_shipdate") < F.lit(dt.datetime(1996, 1, 1)))
+    done = (t.lineitem.where(F.col("l_shipdate") < ntz(dt.date(1996, 1, 1)))
             .select(F.col("l_partkey").alias("job"), F.lit("full").alias("mode")))
     return lineage.pending_jobs(defined_jobs(t), done.where(F.col("mode") == "full"))
 

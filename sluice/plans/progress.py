@@ -36,7 +36,7 @@ def rollup(task_state: DataFrame, now: dt.datetime) -> DataFrame:
         F.count_if(s == "DISABLED").alias("disabled_tasks"),
         # Running task with the latest start (missing start = 0); ties -> lowest task id.
         F.max_by(F.when(running, name),
-                 F.when(running, F.struct(F.coalesce("start_time", F.lit(EPOCH0)), -F.col("task_id"))))
+                 F.when(running, F.struct(F.coalesce("start_time", X.ntz(EPOCH0)), -F.col("task_id"))))
         .alias("current_task"),
         F.min("start_time").alias("pipeline_start_time"),
         F.bool_or(name.contains("Incremental")).alias("has_incremental"),

@@ -12,13 +12,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.exprs import ntz
+
 
 def watermark_literal(value) -> Column:
     """Watermark as a literal: a date is bound at day precision (midnight)."""
-    if isinstance(value, dt.datetime):
-        return F.lit(value).cast("timestamp_ntz")
-    if isinstance(value, dt.date):
-        return F.lit(dt.datetime(value.year, value.month, value.day)).cast("timestamp_ntz")
+    if isinstance(value, (dt.date, dt.datetime)):
+        return ntz(value)
     return F.lit(value)
 
 
@@ -38,9 +38,9 @@ def extract_parameterized(spark: SparkSession, sql: str, last_updated, **views:
 
     ``views`` are DataFrames referenced as ``{name}`` in the text.
     """
-    bound = last_updated
-    if isinstance(last_updated, dt.date) and not isinstance(last_updated, dt.datetime):
-        bound = dt.datetime(last_updated.year, last_updated.month, last_updated.day)
+    # Bound as a typed timestamp_ntz literal (a Python datetime would bind as
+    # a session-time-zone timestamp).
+    bound = watermark_literal(last_updated)
     return spark.sql(sql, args={"last_updated": bound}, **views)
 
 

@@ -75,6 +75,5 @@ def write_json_arrays(df: DataFrame, path: str, chunk: Column) -> None:
     _write_chunks(df, chunk, elem, path)
 
 
-def write_json_scalars(df: DataFrame, path: str, chunk: Column) -> None:
-    (col,) = df.columns
-    _write_chunks(df, chunk, json_value_text(F.col(col)), path)
+def write_json_scalars(df: DataFrame, value_col: str, path: str, chunk: Column) -> None:
+    _write_chunks(df, chunk, json_value_text(F.col(value_col)), path)
