@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.operators.storage import BucketedTable, VersionedTable
-from sluice.operators.upsert import latest_per_key, merge_columns, merge_replace
+from sluice.operators.upsert import latest_per_key, merge_columns, merge_replace, merge_replace_ordered
 
 
 def positional_bind(df: DataFrame, target: StructType) -> DataFrame:
@@ -101,22 +101,31 @@ def range_bucket(column: str, width: int):
 
 
 def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
-                    update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None) -> int:
-    """Keyed upsert that rewrites only the buckets the delta touches."""
-    spark = table.spark
+                    update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None,
+                    guard_order: str | None = None) -> int:
+    """Keyed upsert that rewrites only the buckets the delta touches.
+
+    With ``guard_order`` a delta row replaces a stored row only when its
+    value in that column is not older, which makes re-applying a delta (a
+    replayed stream batch, a retried job) converge to the same table.  A
+    missing table is created from the delta (which then carries every column).
+    """
     if order:
         delta = latest_per_key(delta, keys, order)
-    if not table.exists():
-        raise FileNotFoundError(f"bucketed target {table.root} has no data; load it first")
     delta = table.with_bucket(delta).checkpoint(eager=True)
+    if not table.exists():
+        return table.overwrite_buckets(delta)
     target = table.read()
     delta = delta.drop(*[c for c in delta.columns if c not in target.columns])
     # Bucket ids only (bounded by the partition count) reach the driver.
     touched = [r[0] for r in delta.select(table.BUCKET).distinct().collect()]
     current = target.where(F.col(table.BUCKET).isin(touched))
-    if update_cols is None:
-        merged = merge_replace(current, delta, keys + [table.BUCKET])
+    bkeys = keys + [table.BUCKET]
+    if guard_order:
+        merged = merge_replace_ordered(current, delta, bkeys, guard_order)
+    elif update_cols is None:
+        merged = merge_replace(current, delta, bkeys)
     else:
-        merged = merge_columns(current, delta, keys + [table.BUCKET], update_cols, defaults)
+        merged = merge_columns(current, delta, bkeys, update_cols, defaults)
     # Materialise before overwriting the partitions it was read from.
     return table.overwrite_buckets(merged.checkpoint(eager=True))

@@ -51,6 +51,24 @@ def merge_replace(target: DataFrame, delta: DataFrame, keys: list[str],
     return kept.unionByName(delta)
 
 
+def merge_replace_ordered(target: DataFrame, delta: DataFrame, keys: list[str], order: str,
+                          delta_small: bool | None = None) -> DataFrame:
+    """Whole-row upsert where a delta row wins only if its ``order`` value is
+    not older than the stored row's.  Applying the same delta twice, or
+    deltas in any order, gives the same table (replay-safe for streams).
+    ``delta`` must be unique per key."""
+    d = delta.select(*target.columns)
+    small = has_at_most(d.select(*keys), BROADCAST_MAX_KEY_ROWS) if delta_small is None else delta_small
+    dk = d.select(*keys, F.col(order).alias("__d_order"))
+    newer = (target.select(*keys, order)
+             .join(F.broadcast(dk) if small else dk, keys)
+             .where(F.col(order) > F.col("__d_order")).select(*keys))
+    win = d.join(F.broadcast(newer) if small else newer, keys, "left_anti")
+    wk = win.select(*keys)
+    kept = target.join(F.broadcast(wk) if small else wk, keys, "left_anti")
+    return kept.unionByName(win)
+
+
 def merge_columns(target: DataFrame, delta: DataFrame, keys: list[str], update_cols: list[str],
                   defaults: dict[str, Column] | None = None,
                   delta_small: bool | None = None) -> DataFrame:

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.storage import VersionedTable
+from sluice.operators.sinks import range_bucket
+from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.plans import views
+from sluice.plans.loads import ORDERS_BUCKETS
 from sluice.session import work_path
 from sluice.sources.tables import Tables
 from sluice.streaming import streams
@@ -40,7 +42,8 @@ def stream_upsert(t: Tables) -> DataFrame:
     base.write.parquet(f"{root}/in/b1")
     delta.where(F.col("seq") == 1).write.parquet(f"{root}/in/b2")
     delta.where(F.col("seq") == 2).write.parquet(f"{root}/in/b3")
-    target = VersionedTable(spark, f"{root}/target", base.schema)
+    target = BucketedTable(spark, f"{root}/target",
+                           range_bucket(ORDERS_BUCKETS["column"], ORDERS_BUCKETS["width"]))
     streams.upsert_stream(spark, f"{root}/in/*", base.schema, target, ["o_orderkey"], "seq",
                           f"{root}/checkpoint", max_files=4)
     return target.read().select(*views.ORDER_COLS)

@@ -2,11 +2,11 @@
 
 * ``incremental_load``  file source -> parquet sink, ``trigger(availableNow)``;
   the checkpoint is the watermark: a rerun reads only files not seen before.
-* ``upsert_stream``     file source -> ``foreachBatch`` keyed upsert.  Batch
-  ``b`` reads target version ``b`` and writes version ``b + 1``, so a
-  replayed batch rewrites the same version from the same input.  A delta row
-  replaces a target row only when its order value is not older, so the
-  result does not depend on how files are split into micro-batches.
+* ``upsert_stream``     file source -> ``foreachBatch`` keyed upsert into a
+  bucketed target: each batch rewrites only the buckets it touches.  A delta
+  row replaces a stored row only when its order value is not older, so a
+  replayed batch leaves the same table and the result does not depend on
+  how files are split into micro-batches.
 * ``classify_stream``   the log-line classifier on a stream (append mode).
 * ``status_count_stream`` streaming ``groupBy(status).count()`` in complete
   mode, each batch's full result written as a new target version.
@@ -21,9 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluice.operators.sizing import has_at_most
-from sluice.operators.storage import VersionedTable
-from sluice.operators.upsert import latest_per_key
+from sluice.operators.sinks import upsert_bucketed
+from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.plans.progress import classify_lines
 
 
@@ -46,25 +45,14 @@ def incremental_load(spark: SparkSession, src: str, schema: StructType, sink: st
                   .option("checkpointLocation", checkpoint).option("path", sink).outputMode("append"))
 
 
-def merge_ordered(target: DataFrame, delta: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Last-wins upsert that compares ``order`` with the stored row too."""
-    d = latest_per_key(delta.select(*target.columns), keys, [order])
-    small = has_at_most(d)
-    dk = d.select(*keys, F.col(order).alias("__d_order"))
-    older = (target.select(*keys, order)
-             .join(F.broadcast(dk) if small else dk, keys)
-             .where(F.col(order) > F.col("__d_order")).select(*keys))
-    win = d.join(F.broadcast(older) if small else older, keys, "left_anti")
-    wk = win.select(*keys)
-    kept = target.join(F.broadcast(wk) if small else wk, keys, "left_anti")
-    return kept.unionByName(win)
-
-
-def upsert_stream(spark: SparkSession, src: str, schema: StructType, target: VersionedTable,
+def upsert_stream(spark: SparkSession, src: str, schema: StructType, target: BucketedTable,
                   keys: list[str], order: str, checkpoint: str, max_files: int | None = None) -> None:
+    """Each micro-batch: last row per key, then an order-guarded upsert that
+    rewrites only the target buckets the batch touches.  A replayed batch
+    re-applies the same rows and leaves the same table."""
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        base = target.read(batch_id) if batch_id > 0 else spark.createDataFrame([], schema)
-        target.commit(merge_ordered(base, batch, keys, order), version=batch_id + 1)
+        upsert_bucketed(target, batch, keys, order=[order], guard_order=order)
 
     run_available(file_stream(spark, src, schema, max_files).writeStream.foreachBatch(apply)
                   .option("checkpointLocation", checkpoint))
