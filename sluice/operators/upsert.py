@@ -36,6 +36,24 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
             .select(*keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in rest]))
 
 
+_CHEAP_PLANS = ("LocalRelation", "LogicalRelation", "LogicalRDD", "Range")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a delta that a merge reads several times exactly once.
+
+    A local relation or a plain file scan is cheap to read again; anything
+    else (joins, aggregates) gets a reliable checkpoint in the shared folder.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    node = plan
+    while node.getClass().getSimpleName() in ("Project", "Filter") and node.children().size() == 1:
+        node = node.children().apply(0)
+    if node.getClass().getSimpleName() in _CHEAP_PLANS:
+        return df
+    return df.checkpoint(eager=True)
+
+
 def _maybe_broadcast_keys(df: DataFrame, small: bool | None) -> DataFrame:
     if small is None:
         small = has_at_most(df, BROADCAST_MAX_KEY_ROWS)
@@ -46,7 +64,7 @@ def merge_replace(target: DataFrame, delta: DataFrame, keys: list[str],
                   delta_small: bool | None = None) -> DataFrame:
     """Replace whole rows by key; new keys are inserted.  ``delta`` must be unique per key."""
     cols = target.columns
-    delta = delta.select(*cols)
+    delta = materialize(delta.select(*cols))
     kept = target.join(_maybe_broadcast_keys(delta.select(*keys), delta_small), keys, "left_anti")
     return kept.unionByName(delta)
 
@@ -57,7 +75,7 @@ def merge_replace_ordered(target: DataFrame, delta: DataFrame, keys: list[str],
     not older than the stored row's.  Applying the same delta twice, or
     deltas in any order, gives the same table (replay-safe for streams).
     ``delta`` must be unique per key."""
-    d = delta.select(*target.columns)
+    d = materialize(delta.select(*target.columns))
     small = has_at_most(d.select(*keys), BROADCAST_MAX_KEY_ROWS) if delta_small is None else delta_small
     dk = d.select(*keys, F.col(order).alias("__d_order"))
     newer = (target.select(*keys, order)
@@ -80,7 +98,7 @@ def merge_columns(target: DataFrame, delta: DataFrame, keys: list[str], update_c
     defaults = defaults or {}
     cols = target.columns
     tschema = {f.name: f.dataType for f in target.schema.fields}
-    d = delta.select(*keys, *[c for c in delta.columns if c not in keys]).withColumn(_HIT, F.lit(True))
+    d = materialize(delta.select(*keys, *[c for c in delta.columns if c not in keys])).withColumn(_HIT, F.lit(True))
     d_cols = [c for c in delta.columns if c not in keys]
     small = has_at_most(d) if delta_small is None else delta_small
     dr = d.select(*[F.col(c).alias(f"__d_{c}") for c in d.columns])
