@@ -43,3 +43,20 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["c_custkey", "c_name", "encounters", "first_seen", "last_seen", "total", "avg_total",
                           "statuses"]
+
+
+TZ_SENSITIVE = ["extract_incremental", "extract_parameterized", "history_date_range", "history_update",
+                "history_append", "load_metadata_upsert", "progress_rollup", "watermark_advance"]
+
+
+@pytest.mark.parametrize("name", TZ_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    res = con.execute(ORACLES[name])
+    dcols = [d[0] for d in res.description]
+    assert digest(df.columns, srows) == digest(dcols, res.fetchall())
