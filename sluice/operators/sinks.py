@@ -127,5 +127,7 @@ def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], ord
         merged = merge_replace(current, delta, bkeys)
     else:
         merged = merge_columns(current, delta, bkeys, update_cols, defaults)
-    # Materialise before overwriting the partitions it was read from.
-    return table.overwrite_buckets(merged.checkpoint(eager=True))
+    # Dynamic partition overwrite stages the new files and swaps partition
+    # folders only at job commit, after every task has read the old files,
+    # so the touched partitions can be read and replaced in one job.
+    return table.overwrite_buckets(merged)
