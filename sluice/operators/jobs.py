@@ -210,6 +210,9 @@ def run_flattened(ws: Workspace, name: str, spec: dict, mode: str, last_updated=
 
 def run_summary(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
     stmts = spec["sql"]
+    if isinstance(stmts, str) and stmts.lstrip().startswith("["):
+        import json
+        stmts = json.loads(stmts)  # a JSON list read through a string-typed catalogue field
     if isinstance(stmts, str):
         raise ValueError("summary statements must be a JSON list (';' splitting breaks literals)")
     out = None
@@ -240,3 +243,69 @@ def run_job(ws: Workspace, name: str, spec: dict, mode: str = "full", last_updat
     except KeyError:
         raise ValueError(f"unknown job type {spec.get('type')!r} for {name}") from None
     return fn(ws, name, spec, mode, last_updated)
+
+
+# --- mode selection and catalogue runs ---------------------------------------
+
+def resolve_mode(full_refresh: bool = False, incremental: bool = False, scheduled: bool = False,
+                 last_updated=None, as_of: dt.date | None = None) -> tuple[str, object]:
+    """(mode, watermark) from the run flags: at most one flag, default incremental.
+
+    ``scheduled`` is an incremental run from the day before ``as_of``; a full
+    refresh ignores any watermark.
+    """
+    if sum(map(bool, (full_refresh, incremental, scheduled))) > 1:
+        raise ValueError("choose one of full refresh, incremental or scheduled")
+    if full_refresh:
+        return "full", None
+    if scheduled:
+        if as_of is None:
+            raise ValueError("a scheduled run needs as_of")
+        return "incremental", as_of - dt.timedelta(days=1)
+    return "incremental", last_updated
+
+
+def completed_jobs(ws: Workspace, mode: str, watermark) -> DataFrame:
+    """Completion rows for this (mode, watermark): the reference's marker files, keyed properly."""
+    runs = ws.runs.read().where((F.col("mode") == mode) & (F.col("status") == "completed"))
+    if watermark is None:
+        return runs.where(F.col("watermark").isNull()).select("job")
+    from sluice.sources.extract import watermark_literal
+    return runs.where(F.col("watermark") == watermark_literal(watermark)).select("job")
+
+
+def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental", watermark=None,
+                  workers: int = 1, skip_completed: bool = True) -> list[JobResult]:
+    """Run every job of a merged catalogue (``task``, ``spec`` rows) in dependency order.
+
+    Levels come from the dependency edges (unknown names ignored) computed in
+    Spark; jobs of one level are independent and may run on ``workers``
+    threads (Spark runs their jobs concurrently).  Jobs already completed for
+    this mode and watermark are skipped.  Only the specs (configuration, not
+    data) are collected to the driver.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from sluice.plans.lineage import dependency_levels, resolve_edges
+
+    jobs = catalogue.select(F.col("task").alias("job"))
+    edges = resolve_edges(catalogue.select(F.col("task").alias("job"),
+                                           F.explode_outer("spec.dependencies").alias("dep"))
+                          .where(F.col("dep").isNotNull()), jobs)
+    levels = dependency_levels(jobs, edges)
+    todo = levels
+    if skip_completed:
+        todo = levels.join(completed_jobs(ws, mode, watermark), "job", "left_anti")
+    plan = (todo.join(catalogue.withColumnRenamed("task", "job"), "job")
+            .select("job", "level", F.to_json("spec").alias("spec")).orderBy("level", "job").collect())
+    blocked = [r.job for r in plan if r.level is None]
+    if blocked:
+        raise ValueError(f"dependency cycle among {blocked[:10]}")
+    import json
+    results: list[JobResult] = []
+    for lvl in sorted({r.level for r in plan}):
+        batch = [(r.job, {k: v for k, v in json.loads(r.spec).items() if v is not None})
+                 for r in plan if r.level == lvl]
+        with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+            results.extend(pool.map(lambda js: run_job(ws, js[0], js[1], mode, watermark), batch))
+    return results
