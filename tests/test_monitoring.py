@@ -98,3 +98,16 @@ def test_stream_restart_reads_nothing_new(spark, tables_small):
     n1 = spark.read.parquet(sink).count()
     streams.incremental_load(spark, f"{root}/in/*", o.schema, sink, ckpt)
     assert spark.read.parquet(sink).count() == n1 == o.count()
+
+
+def test_history_page_ties_broken_by_id(spark):
+    rows = [(i, "incremental", "Incremental", dt.datetime(2024, 1, 1), None, None, None, "completed", None,
+             dt.datetime(2024, 1, 1, 12)) for i in range(1, 8)]
+    h = spark.createDataFrame(rows, "id long, action string, pipeline_type string, start_time timestamp_ntz, "
+                                    "end_time timestamp_ntz, duration_seconds decimal(10,2), success boolean, "
+                                    "status string, result string, created_at timestamp_ntz")
+    page2 = H.history_page(h, H.HistoryFilter(), page=2, per_page=3).collect()
+    assert [r.id for r in page2] == [4, 3, 2]
+    assert page2[0].start_time == "2024-01-01T00:00:00" and page2[0].end_time is None
+    pc = H.history_page_count(h, H.HistoryFilter(), per_page=3).first()
+    assert (pc.total, pc.pages) == (7, 3)
