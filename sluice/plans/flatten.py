@@ -37,19 +37,36 @@ def flattened_patient_encounters(t: Tables) -> DataFrame:
     return cust.join(enc, F.col("c_custkey") == F.col("o_custkey")).select(*FLAT_ENCOUNTER_COLS)
 
 
+def left_join_splittable(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> DataFrame:
+    """``left ⟕ right`` written so a hot key on the right side can be split.
+
+    AQE can split a skewed partition only on a side whose rows a join may
+    duplicate freely; for a left outer join that excludes the right side, so
+    one left key matching a third of the right rows would run in one task.
+    As an inner join (both sides splittable) plus the left rows without a
+    match (an anti join against the right's distinct keys, which a partial
+    aggregate shrinks first), skew handling applies.  Both branches shuffle
+    ``left`` on the same key, so Spark reuses that exchange.
+    """
+    matched = left.join(right, F.col(lkey) == F.col(rkey))
+    keys = right.select(F.col(rkey).alias("__k")).distinct()
+    unmatched = left.join(keys, F.col(lkey) == F.col("__k"), "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.unionByName(unmatched.select(*left.columns, *nulls))
+
+
 def flattened_observations(t: Tables) -> DataFrame:
     """Encounters left-joined to observations and their part.
 
     ``lineitem ⟕ part`` is joined first (the part predicate only ever matches a
-    lineitem row, so the association is exact), then attached to encounters
-    with one left join: encounters without observations keep one NULL row.
+    lineitem row, so the association is exact), then attached to encounters:
+    encounters without observations keep one NULL row.
     """
     part = broadcast_if_small(t.part.select("p_partkey", "p_name", "p_type"))
     obs = (t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
                              "l_discount", "l_returnflag", "l_shipdate")
            .join(part, F.col("l_partkey") == F.col("p_partkey"), "left"))
-    return (flattened_patient_encounters(t)
-            .join(obs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return (left_join_splittable(flattened_patient_encounters(t), obs, "o_orderkey", "l_orderkey")
             .select(*FLAT_OBSERVATION_COLS))
 
 

@@ -43,3 +43,19 @@ def test_aggregates_are_partial_before_shuffle(spark, name):
 def test_history_page_is_top_k(spark):
     df, _ = plan_of(spark, "history_page")
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_left_join_splittable_equals_left_outer_join(spark):
+    from pyspark.sql import functions as F
+
+    from sluice.plans.flatten import left_join_splittable
+
+    left = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("a"))
+    # Key 1 holds most right rows (a hot key); keys >= 40 have no match.
+    right = spark.range(0, 3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 40).alias("rk"),
+                                        F.col("id").alias("b"))
+    got = sorted(tuple(r) for r in left_join_splittable(left, right, "k", "rk").collect())
+    want = sorted(tuple(r) for r in left.join(right, F.col("k") == F.col("rk"), "left").collect())
+    assert got == want
+    plan = left_join_splittable(left, right, "k", "rk")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan
