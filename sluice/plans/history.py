@@ -81,6 +81,20 @@ def history_page(history: DataFrame, f: HistoryFilter, page: int = 1, per_page:
                        X.iso_format(F.col("created_at")).alias("timestamp"))
 
 
+def history_page_after(history: DataFrame, f: HistoryFilter, after: tuple | None = None,
+                       per_page: int = 25) -> DataFrame:
+    """Keyset page: the ``per_page`` newest rows strictly older than the cursor
+    ``after = (created_at, id)`` of the previous page's last row.  Each task
+    keeps only ``per_page`` rows however deep the page, where OFFSET paging
+    keeps ``offset + limit``."""
+    rows = filtered(history, f)
+    if after is not None:
+        c, i = after
+        ts = X.ntz(c)
+        rows = rows.where((F.col("created_at") < ts) | ((F.col("created_at") == ts) & (F.col("id") < F.lit(i))))
+    return newest_first(rows).limit(per_page)
+
+
 def history_count(history: DataFrame, f: HistoryFilter) -> DataFrame:
     return filtered(history, f).agg(F.count(F.lit(1)).alias("total"))
 

@@ -23,6 +23,7 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 

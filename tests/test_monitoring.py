@@ -111,3 +111,16 @@ def test_history_page_ties_broken_by_id(spark):
     assert page2[0].start_time == "2024-01-01T00:00:00" and page2[0].end_time is None
     pc = H.history_page_count(h, H.HistoryFilter(), per_page=3).first()
     assert (pc.total, pc.pages) == (7, 3)
+
+
+def test_keyset_pages_match_offset_pages(tables_mid):
+    h = views.run_history(tables_mid)
+    f = H.HistoryFilter.from_status_filter("completed")
+    cursor, seen = None, []
+    for page in range(1, 4):
+        keyset = H.history_page_after(h, f, cursor, per_page=25).collect()
+        offset = H.history_page(h, f, page=page, per_page=25).collect()
+        assert [r.id for r in keyset] == [r.id for r in offset]
+        cursor = (keyset[-1].created_at, keyset[-1].id)
+        seen += [r.id for r in keyset]
+    assert len(set(seen)) == 75
