@@ -176,9 +176,17 @@ def run_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None)
     return JobResult(name, "completed", n)
 
 
+def sql_text(ws: Workspace, spec: dict, field: str = "sql"):
+    """SQL from the spec, or from the file named by ``sql_file`` (a separate
+    field: SQL text containing '/' is never mistaken for a path)."""
+    if spec.get("sql_file"):
+        return ws.spark.read.option("wholetext", True).text(spec["sql_file"]).first()[0].strip()
+    return spec[field]
+
+
 def run_schema(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
     ws.record_status(name, "running")
-    stmt = spec["sql"]
+    stmt = sql_text(ws, spec)
     args = {"database_name": ws.database} if ":database_name" in stmt else None
     ws.spark.sql(stmt, args=args)
     ws.record_status(name, "completed")
@@ -189,7 +197,7 @@ def run_schema(ws: Workspace, name: str, spec: dict, mode: str, last_updated=Non
 def run_procedure(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
     """Install a named transform.  ``CREATE … FUNCTION`` statements run now;
     a ``BEGIN … END`` script is kept and runs when a flattened job calls it."""
-    body = spec["sql"].strip()
+    body = sql_text(ws, spec).strip()
     if body.upper().startswith("BEGIN"):
         ws.transforms[name] = body
     else:
@@ -209,7 +217,7 @@ def run_flattened(ws: Workspace, name: str, spec: dict, mode: str, last_updated=
 
 
 def run_summary(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
-    stmts = spec["sql"]
+    stmts = sql_text(ws, spec)
     if isinstance(stmts, str) and stmts.lstrip().startswith("["):
         import json
         stmts = json.loads(stmts)  # a JSON list read through a string-typed catalogue field

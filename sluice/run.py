@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--last-updated", type=dt.date.fromisoformat)
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     p.add_argument("--workers", type=int, default=1)
+    p.add_argument("--force", action="store_true", help="re-run jobs already completed for this mode/watermark")
     p.add_argument("--master", default="local[*]")
     a = p.parse_args(argv)
 
@@ -40,7 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     sources = {n.removesuffix(".parquet"): spark.read.parquet(f"{a.sources.rstrip('/')}/{n}")
                for n in list_names(spark, a.sources) if n.endswith(".parquet")}
     ws = Workspace(spark, a.root or work_path(spark, "run"), dt.datetime.now(), sources=sources)
-    for r in run_catalogue(ws, read_catalogue(spark, a.catalogue), mode, watermark, workers=a.workers):
+    for r in run_catalogue(ws, read_catalogue(spark, a.catalogue), mode, watermark, workers=a.workers,
+                           skip_completed=not a.force):
         print(json.dumps({"job": r.job, "status": r.status, "rows": r.rows, "mode": mode,
                           "watermark": str(watermark) if watermark else None}))
     return 0

@@ -17,7 +17,7 @@ TASK_SPEC_DDL = ("type string, dependencies array<string>, sql string, query str
                  "incremental_sql string, target_table string, incremental_field string, source_file string, "
                  "procedure_call string, indexes array<string>, description string, "
                  "merge_key array<string>, file_schema string, target_schema string, source_table string, "
-                 "use_stored_watermark boolean")
+                 "use_stored_watermark boolean, sql_file string")
 CATALOGUE_DDL = f"tasks map<string, struct<{TASK_SPEC_DDL}>>"
 
 

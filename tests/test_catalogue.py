@@ -57,3 +57,21 @@ def test_run_catalogue_modes_and_skips(spark, tables_small):
     res = run_catalogue(ws, cat, "incremental", dt.date(2000, 1, 1))
     assert [r.status for r in res] == ["completed", "completed"]
     assert ws.target("encounters").read().count() == tables_small.orders.count()
+
+
+def test_sql_file_field_and_force(spark, tables_small):
+    from sluice.operators.jobs import run_job
+    root = work_path(spark, "t-sqlfile")
+    local = root.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/proc.sql", "w") as f:
+        f.write("CREATE OR REPLACE TEMPORARY FUNCTION half_price(d TIMESTAMP_NTZ) RETURNS TABLE (k BIGINT, p DOUBLE) "
+                "RETURN SELECT o_orderkey, o_totalprice / 2 FROM orders WHERE o_orderdate > d")
+    ws = Workspace(spark, root, dt.datetime(2001, 8, 2), sources={"orders": tables_small.orders})
+    run_job(ws, "P", {"type": "procedure", "sql_file": f"{root}/proc.sql"})
+    r = run_job(ws, "F", {"type": "flattened", "target_table": "half",
+                          "procedure_call": "SELECT * FROM half_price(TIMESTAMP_NTZ'2000-01-01 00:00:00')"})
+    assert r.rows > 0
+    # SQL text with '/' is plain SQL, not a path.
+    run_job(ws, "S", {"type": "summary", "sql": ["SELECT count(*) / 2 AS half_n FROM orders"], "target_table": "s"})
+    assert ws.target("s").read().first().half_n == tables_small.orders.count() / 2
