@@ -43,10 +43,38 @@ RESULT_MAX_CHARS = 1000
 PREVIEW_CHARS = 100
 PROGRESS_CAP = 95
 HEARTBEAT_BASE, HEARTBEAT_CAP, HEARTBEAT_STEP_S = 10, 90, 10
+# Task states and the name markers that decide a run's pipeline type.
+TASK_STATES = ["DONE", "RUNNING", "FAILED", "PENDING", "DISABLED"]
+INCREMENTAL_MARKER, FULL_REFRESH_MARKER = "Incremental", "FullRefresh"
+# Progress and history messages ({name} is filled from a column).
+RUNNING_MESSAGE = "Running {task}... ({done}/{total} tasks completed, {elapsed}s elapsed)"
+RUNNING_FAILED_SUFFIX = ", {failed} failed"
+FINISHED_MESSAGE = "Pipeline completed {outcome}! ({done}/{total} tasks completed)"
+FINISHED_OK, FINISHED_WITH_FAILURES = "successfully", "with {failed} failures"
+PENDING_MESSAGE = "Pipeline pending... ({done}/{total} tasks completed, {pending} pending)"
 READY_MESSAGE = "Luigi daemon is running. Ready to start pipelines."
+RESULT_MESSAGE = "Tasks: {done} completed, {failed} failed, {pending} pending, {disabled} disabled."
+HEARTBEAT_MESSAGE = "Pipeline running... ({elapsed}s elapsed)"
+DEFAULT_TASK = "pipeline"
+# History page display: (label, row class) choices and empty placeholders.
+LABEL_SUCCESS, LABEL_FAILED, LABEL_DONE = "Success", "Failed", "Done"
+LABEL_INTERRUPTED, LABEL_PENDING, LABEL_UNKNOWN = "Interrupted", "Pending", "Unknown"
+NO_DETAILS, NOT_AVAILABLE, ELLIPSIS = "No details", "N/A", "..."
 # ---------------------------------------------------------------------------
 
 
+def template(text: str, **cols: Column) -> Column:
+    """A message from a fixed template: ``{name}`` parts are filled from columns."""
+    import re
+    parts: list[Column] = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", text)):
+        if i % 2:
+            parts.append(cols[piece].cast("string"))
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def any_of(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols)
 
@@ -76,17 +104,17 @@ def preview(result: Column) -> Column:
     """First 100 characters plus ``...`` when longer; ``No details`` when empty."""
     has = result.isNotNull() & (F.length(result) > 0)
     body = F.concat(F.left(result, F.lit(PREVIEW_CHARS)),
-                    F.when(F.length(result) > PREVIEW_CHARS, F.lit("...")).otherwise(F.lit("")))
-    return F.when(has, body).otherwise(F.lit("No details"))
+                    F.when(F.length(result) > PREVIEW_CHARS, F.lit(ELLIPSIS)).otherwise(F.lit("")))
+    return F.when(has, body).otherwise(F.lit(NO_DETAILS))
 
 
 def display_status(success: Column, status: Column) -> Column:
-    return (F.when(F.coalesce(success, F.lit(False)), "Success")
-            .when(status.isin("failed", "unknown"), "Failed")
-            .when(status == "done", "Done")
-            .when(status == "interrupted", "Interrupted")
-            .when(status == "pending", "Pending")
-            .otherwise("Unknown"))
+    return (F.when(F.coalesce(success, F.lit(False)), LABEL_SUCCESS)
+            .when(status.isin("failed", "unknown"), LABEL_FAILED)
+            .when(status == "done", LABEL_DONE)
+            .when(status == "interrupted", LABEL_INTERRUPTED)
+            .when(status == "pending", LABEL_PENDING)
+            .otherwise(LABEL_UNKNOWN))
 
 
 def row_class(success: Column, status: Column) -> Column:
@@ -100,7 +128,7 @@ def row_class(success: Column, status: Column) -> Column:
 def display_duration(d: Column) -> Column:
     """One decimal (half-up on the exact decimal) plus ``s``; ``N/A`` when NULL or zero."""
     return F.concat(F.when(F.coalesce(d, F.lit(0)) != 0, F.round(d, 1).cast("decimal(11,1)").cast("string"))
-                    .otherwise(F.lit("N/A")), F.lit("s"))
+                    .otherwise(F.lit(NOT_AVAILABLE)), F.lit("s"))
 
 
 def classify_line(line: Column) -> Column:

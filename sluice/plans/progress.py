@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import exprs as X
@@ -19,28 +19,25 @@ from sluice.functions import exprs as X
 EPOCH0 = dt.datetime(1970, 1, 1)
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
 def rollup(task_state: DataFrame, now: dt.datetime) -> DataFrame:
     """Per run: counts by status, progress, current task, start, elapsed, type, final status."""
     s, name = F.col("status"), F.col("name")
-    running = s == "RUNNING"
+    done_s, running_s, failed_s, pending_s, disabled_s = X.TASK_STATES
+    running = s == running_s
     agg = task_state.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("total_tasks"),
-        F.count_if(s == "DONE").alias("completed_tasks"),
+        F.count_if(s == done_s).alias("completed_tasks"),
         F.count_if(running).alias("running_tasks"),
-        F.count_if(s == "FAILED").alias("failed_tasks"),
-        F.count_if(s == "PENDING").alias("pending_tasks"),
-        F.count_if(s == "DISABLED").alias("disabled_tasks"),
+        F.count_if(s == failed_s).alias("failed_tasks"),
+        F.count_if(s == pending_s).alias("pending_tasks"),
+        F.count_if(s == disabled_s).alias("disabled_tasks"),
         # Running task with the latest start (missing start = 0); ties -> lowest task id.
         F.max_by(F.when(running, name),
                  F.when(running, F.struct(F.coalesce("start_time", X.ntz(EPOCH0)), -F.col("task_id"))))
         .alias("current_task"),
         F.min("start_time").alias("pipeline_start_time"),
-        F.bool_or(name.contains("Incremental")).alias("has_incremental"),
-        F.bool_or(name.contains("FullRefresh")).alias("has_full_refresh"),
+        F.bool_or(name.contains(X.INCREMENTAL_MARKER)).alias("has_incremental"),
+        F.bool_or(name.contains(X.FULL_REFRESH_MARKER)).alias("has_full_refresh"),
         F.bool_or(F.col("incremental") == "False").alias("has_full_param"))
     done, total = F.col("completed_tasks"), F.col("total_tasks")
     failed, pending, disabled = F.col("failed_tasks"), F.col("pending_tasks"), F.col("disabled_tasks")
@@ -66,29 +63,25 @@ def messages(r: DataFrame) -> DataFrame:
     """Status message and the history result text of a finished run."""
     done, total = F.col("completed_tasks"), F.col("total_tasks")
     failed, pending, disabled = F.col("failed_tasks"), F.col("pending_tasks"), F.col("disabled_tasks")
-    frac = F.concat(_s(done), F.lit("/"), _s(total), F.lit(" tasks completed"))
-    running_msg = F.concat(F.lit("Running "), F.coalesce("current_task", F.lit("pipeline")), F.lit("... ("), frac,
-                           F.lit(", "), _s(F.col("elapsed_time")), F.lit("s elapsed)"),
-                           F.when(failed > 0, F.concat(F.lit(", "), _s(failed), F.lit(" failed"))).otherwise(""))
-    finished_msg = F.concat(F.lit("Pipeline completed "),
-                            F.when(failed == 0, F.lit("successfully"))
-                            .otherwise(F.concat(F.lit("with "), _s(failed), F.lit(" failures"))),
-                            F.lit("! ("), frac, F.lit(")"))
-    pending_msg = F.concat(F.lit("Pipeline pending... ("), frac, F.lit(", "), _s(pending), F.lit(" pending)"))
+    running_msg = F.concat(
+        X.template(X.RUNNING_MESSAGE, task=F.coalesce("current_task", F.lit(X.DEFAULT_TASK)), done=done,
+                   total=total, elapsed=F.col("elapsed_time")),
+        F.when(failed > 0, X.template(X.RUNNING_FAILED_SUFFIX, failed=failed)).otherwise(F.lit("")))
+    outcome = F.when(failed == 0, F.lit(X.FINISHED_OK)).otherwise(X.template(X.FINISHED_WITH_FAILURES, failed=failed))
     message = (F.when(F.col("running"), running_msg)
-               .when((done == total) & (total > 0), finished_msg)
-               .when(pending > 0, pending_msg)
+               .when((done == total) & (total > 0), X.template(X.FINISHED_MESSAGE, outcome=outcome, done=done,
+                                                               total=total))
+               .when(pending > 0, X.template(X.PENDING_MESSAGE, done=done, total=total, pending=pending))
                .otherwise(F.lit(X.READY_MESSAGE)))
-    result_msg = F.when(~F.col("running"), F.concat(
-        F.lit("Tasks: "), _s(done), F.lit(" completed, "), _s(failed), F.lit(" failed, "), _s(pending),
-        F.lit(" pending, "), _s(disabled), F.lit(" disabled.")))
+    result_msg = F.when(~F.col("running"), X.template(X.RESULT_MESSAGE, done=done, failed=failed, pending=pending,
+                                                      disabled=disabled))
     return r.select("run_id", message.alias("message"), result_msg.alias("result_msg"))
 
 
 def heartbeat(r: DataFrame) -> DataFrame:
     e = F.col("elapsed_time")
     return r.select("run_id", X.heartbeat_progress(e).alias("progress"),
-                    F.concat(F.lit("Pipeline running... ("), _s(e), F.lit("s elapsed)")).alias("message"))
+                    X.template(X.HEARTBEAT_MESSAGE, elapsed=e).alias("message"))
 
 
 def reconcile(r: DataFrame, history: DataFrame) -> DataFrame:
