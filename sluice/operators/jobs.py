@@ -20,6 +20,7 @@ of a run.  The driver only handles specs, counts and watermark values.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -63,6 +64,9 @@ class Workspace:
         self.watermarks = VersionedTable(spark, f"{self.root}/state/etl_watermarks", md.WATERMARK_SCHEMA)
         self.runs = VersionedTable(spark, f"{self.root}/state/job_runs", RUNS_SCHEMA)
         self.transforms: dict[str, str] = {}
+        # State-table commits pick the next version number: serialise them
+        # when jobs of one level run on several threads.
+        self._state_lock = threading.RLock()
 
     def target(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/targets/{name}")
@@ -80,18 +84,21 @@ class Workspace:
     # -- state-table updates (one small keyed merge each) --------------------
     def record_load(self, table: str, rows: int) -> None:
         counts = self.spark.createDataFrame([(table, rows)], "table_name string, record_count bigint")
-        self.meta.commit(md.load_metadata_upsert(self.meta.read(), counts, self.now))
+        with self._state_lock:
+            self.meta.commit(md.load_metadata_upsert(self.meta.read(), counts, self.now))
 
     def record_status(self, table: str, status: str, error: str | None = None) -> None:
         upd = self.spark.createDataFrame([(table, status, error)],
                                          "table_name string, status string, error_message string")
-        self.meta.commit(md.task_status_upsert(self.meta.read(), upd, self.now))
+        with self._state_lock:
+            self.meta.commit(md.task_status_upsert(self.meta.read(), upd, self.now))
 
     def advance_watermark(self, source: str, target: str, fld: str, max_value) -> None:
         loaded = self.spark.createDataFrame(
             [(source, target, fld, max_value)],
             "source_table string, target_table string, incremental_field string, max_value timestamp_ntz")
-        self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now))
+        with self._state_lock:
+            self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now))
 
     def stored_watermark(self, source: str, target: str):
         row = (self.watermarks.read()
@@ -104,7 +111,8 @@ class Workspace:
         if isinstance(watermark, dt.date) and not isinstance(watermark, dt.datetime):
             watermark = dt.datetime(watermark.year, watermark.month, watermark.day)
         done = self.spark.createDataFrame([(job, mode, watermark, rows, "completed")], RUNS_SCHEMA)
-        append(self.runs, done)
+        with self._state_lock:
+            append(self.runs, done)
 
 
 def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str) -> tuple[int, object]:
@@ -124,8 +132,9 @@ def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str) -> tuple[int,
         if mode == "full":
             bt.overwrite_buckets(bt.with_bucket(observed))
         elif spec.get("merge_key"):
-            upsert_bucketed(bt, observed.checkpoint(eager=True), spec["merge_key"],
-                            order=[fld] if fld else spec.get("order_by"))
+            # upsert_bucketed computes the deduplicated delta once (checkpoint),
+            # which also fills the observation.
+            upsert_bucketed(bt, observed, spec["merge_key"], order=[fld] if fld else spec.get("order_by"))
         else:
             bt.with_bucket(observed).write.mode("append").partitionBy(bt.BUCKET).parquet(bt.root)
         got = obs.get
@@ -154,7 +163,9 @@ def run_extract_load(ws: Workspace, name: str, spec: dict, mode: str, last_updat
     if spec.get("target_schema"):
         rows = positional_bind(rows, StructType.fromDDL(spec["target_schema"]))
     if rows.isEmpty():
-        # Empty source: the target (even on a full refresh) and its metadata stay as they are.
+        # Empty source: the target (even on a full refresh) and its metadata
+        # stay as they are; the job still counts as done for this run.
+        ws.mark_done(name, mode, last_updated, 0)
         return JobResult(name, "no_data", 0)
     n, mx = _write(ws, spec, rows, mode)
     ws.record_load(spec["target_table"], n)
@@ -167,6 +178,7 @@ def run_extract_load(ws: Workspace, name: str, spec: dict, mode: str, last_updat
 def run_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
     rows = read_json_records(ws.spark, spec["source_file"], StructType.fromDDL(spec["file_schema"]))
     if rows is None or rows.isEmpty():
+        ws.mark_done(name, mode, last_updated, 0)
         return JobResult(name, "no_data", 0)
     if spec.get("target_schema"):
         rows = positional_bind(rows, StructType.fromDDL(spec["target_schema"]))

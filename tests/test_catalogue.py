@@ -75,3 +75,21 @@ def test_sql_file_field_and_force(spark, tables_small):
     # SQL text with '/' is plain SQL, not a path.
     run_job(ws, "S", {"type": "summary", "sql": ["SELECT count(*) / 2 AS half_n FROM orders"], "target_table": "s"})
     assert ws.target("s").read().first().half_n == tables_small.orders.count() / 2
+
+
+def test_parallel_level_keeps_state_consistent(spark, tables_small):
+    root = work_path(spark, "t-par")
+    folder = root.removeprefix("file:") + "/catalogue"
+    os.makedirs(folder, exist_ok=True)
+    tasks = {f"Load{n.title()}": {"type": "extract_load", "dependencies": [], "query": f"SELECT * FROM {n}",
+                                  "target_table": f"{n}_t"} for n in ("customer", "orders", "part")}
+    with open(f"{folder}/1.json", "w") as f:
+        json.dump({"tasks": tasks}, f)
+    ws = Workspace(spark, root, dt.datetime(2001, 8, 2),
+                   sources={n: tables_small.get(n) for n in ("customer", "orders", "part")})
+    res = run_catalogue(ws, read_catalogue(spark, folder), "full", workers=3)
+    assert sorted(r.job for r in res) == sorted(tasks)
+    meta = {r.table_name: r.record_count for r in ws.meta.read().collect()}
+    assert meta == {f"{n}_t": tables_small.get(n).count() for n in ("customer", "orders", "part")}
+    assert ws.runs.read().count() == 3
+    assert run_catalogue(ws, read_catalogue(spark, folder), "full", workers=3) == []
