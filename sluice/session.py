@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
-        # Unset: local run or test.  A cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to other executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared file system")
+        # Unset in a local run or test: a temporary folder on this machine is shared by all tasks.
         conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
