@@ -328,4 +328,7 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
                  for r in plan if r.level == lvl]
         with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
             results.extend(pool.map(lambda js: run_job(ws, js[0], js[1], mode, watermark), batch))
+    # Each state update wrote a small new version; keep the recent ones only.
+    for t in (ws.meta, ws.watermarks):
+        t.vacuum(retain=10)
     return results

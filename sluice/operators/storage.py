@@ -35,6 +35,11 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -66,6 +71,24 @@ class VersionedTable:
             self.schema = df.schema
         return df
 
+    def vacuum(self, retain: int = 10) -> list[int]:
+        """Delete all but the newest ``retain`` committed versions (and any
+        uncommitted leftovers older than them); returns the versions removed."""
+        names = list_names(self.spark, self.root)
+        committed = sorted(int(m.group(1)) for m in map(_MARK.match, names) if m)
+        if len(committed) <= retain:
+            return []
+        floor = committed[-retain]
+        gone = []
+        for n in names:
+            m = re.match(r"^v(\d+)$", n)
+            if m and int(m.group(1)) < floor:
+                delete_path(self.spark, f"{self.root}/{n}")
+                gone.append(int(m.group(1)))
+        for v in committed[:-retain]:
+            delete_path(self.spark, f"{self.root}/_committed_v{v:08d}")
+        return sorted(gone)
+
     def commit(self, df: DataFrame, version: int | None = None,
                partition_by: list[str] | None = None) -> int:
         """Write ``df`` as a new version and make it current; return rows written.

@@ -148,7 +148,7 @@ def pipeline_types(history: DataFrame) -> DataFrame:
     observed = history.select("action", "pipeline_type").distinct()
     extra = observed.join(F.broadcast(pre.select("action")), "action", "left_anti") \
         .select(F.lit(len(X.PREDEFINED_PIPELINE_TYPES)).alias("ord"), "action", "pipeline_type")
-    return pre.unionByName(extra)
+    return pre.unionByName(extra).orderBy("ord", "action")
 
 
 def iso_view(history: DataFrame) -> DataFrame:

@@ -183,3 +183,12 @@ def test_ordered_bucketed_upsert_is_replay_safe(spark, tables_small):
     assert run([base, d1, d2, d2, d1]) == in_order  # replays change nothing
     statuses = {r[2] for r in in_order}
     assert {"U", "V", "N"} <= statuses
+
+
+def test_vacuum_keeps_recent_versions(spark):
+    t = VersionedTable(spark, work_path(spark, "t-vac"))
+    for i in range(5):
+        t.commit(spark.range(i + 1))
+    assert t.vacuum(retain=2) == [1, 2, 3]
+    assert t.current_version() == 5 and t.read().count() == 5
+    assert t.read(4).count() == 4
