@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
+from sluice.operators.naming import obs_name as _obs_name
 from sluice.operators import metadata as md
 from sluice.operators.sinks import (append, positional_bind, range_bucket, upsert, upsert_bucketed,
                                     write_clustered)
@@ -119,7 +120,7 @@ def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str) -> tuple[int,
     """Shared write path of extract_load and load: returns (rows, max incremental value)."""
     target = ws.target(spec["target_table"])
     fld = spec.get("incremental_field")
-    obs = Observation(f"load_{spec['target_table']}")
+    obs = Observation(_obs_name(f"load_{spec['target_table']}"))
     metrics = [F.count(F.lit(1)).alias("rows")]
     if fld:
         metrics.append(F.max(F.col(fld)).alias("max_value"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluice.operators.naming import obs_name as _obs_name
 from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.operators.upsert import latest_per_key, merge_columns, merge_replace, merge_replace_ordered
 
@@ -32,7 +33,7 @@ def append(table: VersionedTable, df: DataFrame) -> int:
     v = table.current_version()
     if v == 0:
         return table.commit(df)
-    obs = Observation(f"append_v{v}")
+    obs = Observation(_obs_name(f"append_v{v}"))
     df.select(*table.read().columns).observe(obs, F.count(F.lit(1)).alias("rows")) \
         .write.mode("append").parquet(table.version_path(v))
     return int(obs.get["rows"])
@@ -83,7 +84,7 @@ def create_table(spark: SparkSession, name: str, columns_ddl: str, location: str
 
 def insert_columns(spark: SparkSession, name: str, df: DataFrame, columns: list[str] | None = None) -> int:
     """``INSERT INTO t (cols) SELECT …``; unnamed columns take their DEFAULT.  Returns rows inserted."""
-    obs = Observation(f"insert_{name.replace('.', '_')}")
+    obs = Observation(_obs_name(f"insert_{name.replace('.', '_')}"))
     src = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     cols = f" ({', '.join(columns)})" if columns else ""
     spark.sql(f"INSERT INTO IDENTIFIER(:t){cols} SELECT * FROM {{src}}", args={"t": name}, src=src)

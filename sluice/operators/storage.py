@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluice.operators.naming import obs_name as _obs_name
+
 _MARK = re.compile(r"^_committed_v(\d+)$")
 
 
@@ -99,7 +101,7 @@ class VersionedTable:
         same folder and gives the same result.
         """
         v = self.current_version() + 1 if version is None else version
-        obs = Observation(f"rows_v{v}")
+        obs = Observation(_obs_name(f"rows_v{v}"))
         w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -139,7 +141,7 @@ class BucketedTable:
 
     def overwrite_buckets(self, df: DataFrame) -> int:
         """Replace exactly the partitions present in ``df`` (which carries the bucket column)."""
-        obs = Observation("bucket_rows")
+        obs = Observation(_obs_name("bucket_rows"))
         (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(self.BUCKET).parquet(self.root))
         return int(obs.get["rows"])
