@@ -59,7 +59,8 @@ def _ts(now: dt.datetime):
     return ntz(now)
 
 
-def task_status_upsert(meta: DataFrame, updates: DataFrame, now: dt.datetime) -> DataFrame:
+def task_status_upsert(meta: DataFrame, updates: DataFrame, now: dt.datetime,
+                       delta_small: bool | None = None) -> DataFrame:
     """Set status/error_message/last_update_timestamp/updated_at per task; keep record_count.
 
     ``updates``: (table_name, status, error_message), unique per table_name.
@@ -68,19 +69,21 @@ def task_status_upsert(meta: DataFrame, updates: DataFrame, now: dt.datetime) ->
                        _ts(now).alias("last_update_timestamp"), _ts(now).alias("updated_at"))
     return merge_columns(meta, d, ["table_name"],
                          ["status", "error_message", "last_update_timestamp", "updated_at"],
-                         defaults={"record_count": F.lit(0), "created_at": _ts(now)})
+                         defaults={"record_count": F.lit(0), "created_at": _ts(now)}, delta_small=delta_small)
 
 
-def load_metadata_upsert(meta: DataFrame, counts: DataFrame, now: dt.datetime) -> DataFrame:
+def load_metadata_upsert(meta: DataFrame, counts: DataFrame, now: dt.datetime,
+                         delta_small: bool | None = None) -> DataFrame:
     """Loaded-row count per target: sets record_count, status='completed', updated_at;
     leaves error_message and last_update_timestamp as they are."""
     d = counts.select("table_name", F.col("record_count").cast("int").alias("record_count"),
                       F.lit("completed").alias("status"), _ts(now).alias("updated_at"))
     return merge_columns(meta, d, ["table_name"], ["record_count", "status", "updated_at"],
-                         defaults={"created_at": _ts(now)})
+                         defaults={"created_at": _ts(now)}, delta_small=delta_small)
 
 
-def watermark_advance(wm: DataFrame, loaded: DataFrame, now: dt.datetime) -> DataFrame:
+def watermark_advance(wm: DataFrame, loaded: DataFrame, now: dt.datetime,
+                      delta_small: bool | None = None) -> DataFrame:
     """Advance (source_table, target_table) to the max loaded value; unchanged if nothing loaded.
 
     ``loaded``: (source_table, target_table, incremental_field, max_value timestamp_ntz),
@@ -93,4 +96,5 @@ def watermark_advance(wm: DataFrame, loaded: DataFrame, now: dt.datetime) -> Dat
                  _ts(now).alias("updated_at")))
     return merge_columns(wm, d, ["source_table", "target_table"],
                          ["last_processed_value", "last_processed_timestamp", "updated_at"],
-                         defaults={"batch_size": F.lit(1000), "is_active": F.lit(True), "created_at": _ts(now)})
+                         defaults={"batch_size": F.lit(1000), "is_active": F.lit(True), "created_at": _ts(now)},
+                         delta_small=delta_small)
