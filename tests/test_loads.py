@@ -192,3 +192,21 @@ def test_vacuum_keeps_recent_versions(spark):
     assert t.vacuum(retain=2) == [1, 2, 3]
     assert t.current_version() == 5 and t.read().count() == 5
     assert t.read(4).count() == 4
+
+
+def test_bucketed_partial_column_upsert(spark, tables_small):
+    from sluice.operators.sinks import range_bucket, upsert_bucketed
+    from sluice.operators.storage import BucketedTable
+
+    o = orders(tables_small)
+    table = BucketedTable(spark, work_path(spark, "t-bpart"), range_bucket("o_orderkey", 400))
+    table.overwrite_buckets(table.with_bucket(o))
+    delta = spark.createDataFrame([(5, None), (10**6, "X")], "o_orderkey long, o_orderstatus string")
+    upsert_bucketed(table, delta, ["o_orderkey"], update_cols=["o_orderstatus"],
+                    defaults={"o_orderpriority": F.lit("0-UNKNOWN")})
+    got = {r.o_orderkey: r for r in table.read().where("o_orderkey IN (5, 6, 1000000)").collect()}
+    before = {r.o_orderkey: r for r in o.where("o_orderkey IN (5, 6)").collect()}
+    assert got[5].o_orderstatus is None and got[5].o_totalprice == before[5].o_totalprice
+    assert got[6].o_orderstatus == before[6].o_orderstatus
+    assert got[10**6].o_orderstatus == "X" and got[10**6].o_orderpriority == "0-UNKNOWN"
+    assert table.read().count() == o.count() + 1
