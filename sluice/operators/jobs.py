@@ -33,7 +33,7 @@ from sluice.operators.sinks import (append, positional_bind, range_bucket, upser
                                     write_clustered)
 from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.sources.extract import extract
-from sluice.sources.json_files import read_json_records
+from sluice.sources.json_files import read_json_positional, read_json_records
 
 RUNS_SCHEMA = StructType([
     StructField("job", StringType(), False),
@@ -178,7 +178,12 @@ def run_extract_load(ws: Workspace, name: str, spec: dict, mode: str, last_updat
 
 
 def run_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
-    rows = read_json_records(ws.spark, spec["source_file"], StructType.fromDDL(spec["file_schema"]))
+    schema = StructType.fromDDL(spec["file_schema"])
+    if spec.get("positional"):
+        # Rows may be objects, arrays or scalars: bound by position.
+        rows = read_json_positional(ws.spark, spec["source_file"], schema)
+    else:
+        rows = read_json_records(ws.spark, spec["source_file"], schema)
     if rows is None or rows.isEmpty():
         ws.mark_done(name, mode, last_updated, 0)
         return JobResult(name, "no_data", 0)

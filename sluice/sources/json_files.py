@@ -17,7 +17,7 @@ TASK_SPEC_DDL = ("type string, dependencies array<string>, sql string, query str
                  "incremental_sql string, target_table string, incremental_field string, source_file string, "
                  "procedure_call string, indexes array<string>, description string, "
                  "merge_key array<string>, file_schema string, target_schema string, source_table string, "
-                 "use_stored_watermark boolean, sql_file string")
+                 "use_stored_watermark boolean, sql_file string, positional boolean")
 CATALOGUE_DDL = f"tasks map<string, struct<{TASK_SPEC_DDL}>>"
 
 
@@ -30,13 +30,17 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType) -> Dat
 
 
 def read_json_positional(spark: SparkSession, path: str, target: StructType) -> DataFrame | None:
-    """Files each holding one JSON array whose elements are arrays (bound by
-    position) or scalars (a one-column row).  Elements parse as their JSON text."""
+    """Files each holding one JSON array whose elements are objects (values in
+    key order), arrays (by position) or scalars (a one-column row), bound to
+    ``target`` by position.  Elements parse as their JSON text."""
     if not path_exists(spark, path):
         return None
     elems = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
              .select(F.explode(F.from_json("value", "array<string>")).alias("e")))
-    vals = F.when(F.trim("e").startswith("["), F.from_json("e", "array<string>")).otherwise(F.array("e"))
+    head = F.trim("e")
+    vals = (F.when(head.startswith("["), F.from_json("e", "array<string>"))
+            .when(head.startswith("{"), F.map_values(F.from_json("e", "map<string,string>")))
+            .otherwise(F.array("e")))
     return (elems.select(vals.alias("v"))
             .select(*[F.col("v")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(target.fields)]))
 

@@ -93,3 +93,20 @@ def test_parallel_level_keeps_state_consistent(spark, tables_small):
     assert meta == {f"{n}_t": tables_small.get(n).count() for n in ("customer", "orders", "part")}
     assert ws.runs.read().count() == 3
     assert run_catalogue(ws, read_catalogue(spark, folder), "full", workers=3) == []
+
+
+def test_load_job_mixed_row_shapes(spark):
+    from sluice.operators.jobs import run_job
+    root = work_path(spark, "t-shapes")
+    local = root.removeprefix("file:")
+    os.makedirs(f"{local}/in", exist_ok=True)
+    with open(f"{local}/in/data.json", "w") as f:
+        json.dump([{"id": 1, "name": "a"}, [2, "b"], {"id": 3, "name": "c"}], f)
+    with open(f"{local}/in/more.json", "w") as f:
+        json.dump([[4, "d, with comma"]], f)
+    ws = Workspace(spark, root, dt.datetime(2001, 8, 2))
+    r = run_job(ws, "LoadShapes", {"type": "load", "source_file": f"{root}/in", "target_table": "t",
+                                   "file_schema": "id int, name string", "positional": True})
+    assert r.rows == 4
+    assert sorted(tuple(x) for x in ws.target("t").read().collect()) == [
+        (1, "a"), (2, "b"), (3, "c"), (4, "d, with comma")]
