@@ -24,6 +24,9 @@ SCALE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Remove reliable-checkpoint files from the shared folder once the
+    # checkpointed DataFrame is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
