@@ -124,3 +124,10 @@ def test_keyset_pages_match_offset_pages(tables_mid):
         cursor = (keyset[-1].created_at, keyset[-1].id)
         seen += [r.id for r in keyset]
     assert len(set(seen)) == 75
+
+
+def test_quarantine_split_partitions_rows(tables_mid):
+    good, bad = quality.quarantine_split(views.json_bodies(tables_mid))
+    assert good.count() == 8000 and bad.count() == 2000
+    assert good.columns == bad.columns == ["id", "body"]
+    assert good.join(bad, "id").count() == 0
