@@ -302,7 +302,7 @@ def completed_jobs(ws: Workspace, mode: str, watermark) -> DataFrame:
 
 
 def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental", watermark=None,
-                  workers: int = 1, skip_completed: bool = True) -> list[JobResult]:
+                  workers: int = 1, skip_completed: bool = True, retain_versions: int = 2) -> list[JobResult]:
     """Run every job of a merged catalogue (``task``, ``spec`` rows) in dependency order.
 
     Levels come from the dependency edges (unknown names ignored) computed in
@@ -338,4 +338,10 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
     # Each state update wrote a small new version; keep the recent ones only.
     for t in (ws.meta, ws.watermarks):
         t.vacuum(retain=10)
+    # Versioned targets keep the current and previous copies (a reader may
+    # still be on the previous one); bucketed targets are rewritten in place.
+    for r in plan:
+        spec = json.loads(r.spec)
+        if spec.get("target_table") and not spec.get("bucket_by"):
+            ws.target(spec["target_table"]).vacuum(retain=max(1, retain_versions))
     return results

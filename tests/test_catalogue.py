@@ -110,3 +110,18 @@ def test_load_job_mixed_row_shapes(spark):
     assert r.rows == 4
     assert sorted(tuple(x) for x in ws.target("t").read().collect()) == [
         (1, "a"), (2, "b"), (3, "c"), (4, "d, with comma")]
+
+
+def test_catalogue_keeps_two_target_versions(spark, tables_small):
+    from sluice.operators.storage import list_names
+    root = work_path(spark, "t-retain")
+    folder = root.removeprefix("file:") + "/catalogue"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/1.json", "w") as f:
+        json.dump({"tasks": {"LoadOrders": {"type": "extract_load", "query": ORDERS_SQL, "target_table": "o"}}}, f)
+    ws = Workspace(spark, root, dt.datetime(2001, 8, 2), sources={"orders": tables_small.orders})
+    for _ in range(4):
+        run_catalogue(ws, read_catalogue(spark, folder), "full", skip_completed=False)
+    versions = sorted(n for n in list_names(spark, ws.target("o").root) if n.startswith("v"))
+    assert versions == ["v00000003", "v00000004"]
+    assert ws.target("o").read().count() == tables_small.orders.count()
