@@ -131,3 +131,19 @@ def test_quarantine_split_partitions_rows(tables_mid):
     assert good.count() == 8000 and bad.count() == 2000
     assert good.columns == bad.columns == ["id", "body"]
     assert good.join(bad, "id").count() == 0
+
+
+def test_status_count_stream_restarts_from_state(spark, tables_small):
+    from sluice.operators.storage import VersionedTable
+    root = work_path(spark, "t-status")
+    ts = views.task_state(tables_small)
+    first, second = ts.where("task_id < 700"), ts.where("task_id >= 700")
+    first.write.parquet(f"{root}/in/b1")
+    target = VersionedTable(spark, f"{root}/target")
+    streams.status_count_stream(spark, f"{root}/in/*", ts.schema, target, f"{root}/ckpt")
+    assert sum(r.tasks for r in target.read().collect()) == first.count()
+    second.write.parquet(f"{root}/in/b2")
+    streams.status_count_stream(spark, f"{root}/in/*", ts.schema, target, f"{root}/ckpt")
+    got = {r.status: r.tasks for r in target.read().collect()}
+    want = {r.status: r["count"] for r in ts.groupBy("status").count().collect()}
+    assert got == want
