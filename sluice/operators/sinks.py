@@ -101,6 +101,12 @@ def range_bucket(column: str, width: int):
     return lambda df: F.floor(F.col(column) / F.lit(width)).cast("bigint")
 
 
+def hash_bucket(columns: list[str], buckets: int):
+    """Bucket = pmod(xxhash64(key), n): spreads keys evenly when they have no
+    useful order (a delta then touches about min(n, |delta|) buckets)."""
+    return lambda df: F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(buckets)).cast("bigint")
+
+
 def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
                     update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None,
                     guard_order: str | None = None) -> int:

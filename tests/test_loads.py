@@ -210,3 +210,18 @@ def test_bucketed_partial_column_upsert(spark, tables_small):
     assert got[6].o_orderstatus == before[6].o_orderstatus
     assert got[10**6].o_orderstatus == "X" and got[10**6].o_orderpriority == "0-UNKNOWN"
     assert table.read().count() == o.count() + 1
+
+
+def test_hash_bucketed_upsert_matches_versioned_upsert(spark, tables_small):
+    from sluice.operators.sinks import hash_bucket, upsert_bucketed
+    from sluice.operators.storage import BucketedTable
+
+    o = orders(tables_small)
+    delta = views.orders_delta(tables_small)
+    bt = BucketedTable(spark, work_path(spark, "t-hash"), hash_bucket(["o_orderkey"], 16))
+    bt.overwrite_buckets(bt.with_bucket(o))
+    upsert_bucketed(bt, delta, ["o_orderkey"], order=["seq"])
+    vt = VersionedTable(spark, work_path(spark, "t-hash-v"))
+    vt.commit(o)
+    upsert(vt, delta, ["o_orderkey"], order=["seq"])
+    assert _sorted(bt.read().drop("bucket").select(*views.ORDER_COLS)) == _sorted(vt.read())
