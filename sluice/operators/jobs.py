@@ -319,6 +319,13 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
     edges = resolve_edges(catalogue.select(F.col("task").alias("job"),
                                            F.explode_outer("spec.dependencies").alias("dep"))
                           .where(F.col("dep").isNotNull()), jobs)
+    unknown = (catalogue.select(F.col("task").alias("job"), F.explode("spec.dependencies").alias("dep"))
+               .join(jobs.select(F.col("job").alias("dep")), "dep", "left_anti").collect())
+    if unknown:
+        # Names that define no job are ignored (as the reference does), but reported.
+        import warnings
+        warnings.warn("unknown dependencies ignored: " +
+                      ", ".join(sorted(f"{r.job}->{r.dep}" for r in unknown)), stacklevel=2)
     levels = dependency_levels(jobs, edges)
     todo = levels
     if skip_completed:

@@ -125,3 +125,28 @@ def test_catalogue_keeps_two_target_versions(spark, tables_small):
     versions = sorted(n for n in list_names(spark, ws.target("o").root) if n.startswith("v"))
     assert versions == ["v00000003", "v00000004"]
     assert ws.target("o").read().count() == tables_small.orders.count()
+
+
+def test_unknown_dependencies_are_reported(spark, tables_small):
+    root = work_path(spark, "t-unknown")
+    folder = root.removeprefix("file:") + "/catalogue"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/1.json", "w") as f:
+        json.dump({"tasks": {"A": {"type": "summary", "dependencies": ["Ghost"],
+                                   "sql": ["SELECT count(*) AS n FROM orders"], "target_table": "a"}}}, f)
+    ws = Workspace(spark, root, dt.datetime(2001, 8, 2), sources={"orders": tables_small.orders})
+    with pytest.warns(UserWarning, match="A->Ghost"):
+        res = run_catalogue(ws, read_catalogue(spark, folder), "full")
+    assert [r.status for r in res] == ["completed"]
+
+
+def test_insert_of_empty_input_returns_zero(spark):
+    from sluice.operators import metadata as md
+    from sluice.operators.sinks import create_database, create_table, insert_columns
+    loc = work_path(spark, "t-empty-insert")
+    db = "sluice_" + loc.rsplit("-", 1)[-1]
+    create_database(spark, db, loc)
+    create_table(spark, f"{db}.m", md.META_DDL)
+    empty = spark.createDataFrame([], "table_name string, record_count int")
+    assert insert_columns(spark, f"{db}.m", empty, ["table_name", "record_count"]) == 0
+    assert spark.table(f"{db}.m").count() == 0
