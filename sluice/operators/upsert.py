@@ -80,7 +80,9 @@ def merge_replace_ordered(target: DataFrame, delta: DataFrame, keys: list[str],
     dk = d.select(*keys, F.col(order).alias("__d_order"))
     newer = (target.select(*keys, order)
              .join(F.broadcast(dk) if small else dk, keys)
-             .where(F.col(order) > F.col("__d_order")).select(*keys))
+             # NULL is the oldest order value, as in latest_per_key.
+             .where((F.col(order) > F.col("__d_order"))
+                    | (F.col("__d_order").isNull() & F.col(order).isNotNull())).select(*keys))
     win = d.join(F.broadcast(newer) if small else newer, keys, "left_anti")
     wk = win.select(*keys)
     kept = target.join(F.broadcast(wk) if small else wk, keys, "left_anti")

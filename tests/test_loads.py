@@ -225,3 +225,12 @@ def test_hash_bucketed_upsert_matches_versioned_upsert(spark, tables_small):
     vt.commit(o)
     upsert(vt, delta, ["o_orderkey"], order=["seq"])
     assert _sorted(bt.read().drop("bucket").select(*views.ORDER_COLS)) == _sorted(vt.read())
+
+
+def test_ordered_merge_treats_null_order_as_oldest(spark):
+    from sluice.operators.upsert import merge_replace_ordered
+    target = spark.createDataFrame([(1, 5, "t1"), (2, None, "t2"), (3, 5, "t3")], "k int, o int, v string")
+    delta = spark.createDataFrame([(1, None, "d1"), (2, 1, "d2"), (3, 5, "d3"), (4, None, "d4")],
+                                  "k int, o int, v string")
+    got = {r.k: r.v for r in merge_replace_ordered(target, delta, ["k"], "o").collect()}
+    assert got == {1: "t1", 2: "d2", 3: "d3", 4: "d4"}
