@@ -59,3 +59,38 @@ def test_left_join_splittable_equals_left_outer_join(spark):
     assert got == want
     plan = left_join_splittable(left, right, "k", "rk")._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan
+
+
+def test_hot_key_is_split_by_aqe(spark):
+    """A right side where one key holds a third of all rows: the rewritten
+    left join lets AQE split that partition (SortMergeJoin(skew=true))."""
+    from pyspark.sql import functions as F
+
+    from sluice.plans.flatten import left_join_splittable
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+        right = spark.range(0, 300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2999).alias("rk"),
+            F.col("id").alias("b"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        out = left_join_splittable(left, right, "k", "rk").select("k", "b")
+        rows = out.collect()
+        # Every right row matches a left key; key 2999 has no match and keeps one NULL row.
+        assert len(rows) == 300_000 + 1
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
