@@ -234,3 +234,21 @@ def test_ordered_merge_treats_null_order_as_oldest(spark):
                                   "k int, o int, v string")
     got = {r.k: r.v for r in merge_replace_ordered(target, delta, ["k"], "o").collect()}
     assert got == {1: "t1", 2: "d2", 3: "d3", 4: "d4"}
+
+
+def test_merges_agree_on_broadcast_and_shuffle_paths(spark, tables_small):
+    from sluice.operators.upsert import merge_replace_ordered
+    o = orders(tables_small).withColumn("seq", F.lit(0))
+    d = latest_per_key(views.orders_delta(tables_small), ["o_orderkey"], ["seq"])
+    for fn, kw in ((merge_replace, {}), (merge_replace_ordered, {"order": "seq"})):
+        small = _sorted(fn(o, d, ["o_orderkey"], delta_small=True, **kw))
+        big = _sorted(fn(o, d, ["o_orderkey"], delta_small=False, **kw))
+        assert small == big and len(small) == o.count() + 30
+    # Above the bound no broadcast is forced (Spark's own size-checked
+    # auto-broadcast is switched off here to see that).
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge_replace(o, d, ["o_orderkey"], delta_small=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
