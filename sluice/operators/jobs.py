@@ -19,6 +19,7 @@ of a run.  The driver only handles specs, counts and watermark values.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import threading
 from dataclasses import dataclass, field
@@ -68,6 +69,39 @@ class Workspace:
         # State-table commits pick the next version number: serialise them
         # when jobs of one level run on several threads.
         self._state_lock = threading.RLock()
+        self._pending: dict[str, list] | None = None
+
+    @contextlib.contextmanager
+    def batched_state(self):
+        """Collect load counts, watermark advances and completion rows of the
+        jobs run inside, and write each state table once on exit (also when a
+        job fails, so finished jobs stay recorded)."""
+        with self._state_lock:
+            self._pending = {"loads": [], "marks": [], "done": []}
+        try:
+            yield self
+        finally:
+            with self._state_lock:
+                pending, self._pending = self._pending, None
+            self._flush(pending)
+
+    def _flush(self, pending: dict[str, list]) -> None:
+        def last_by(rows, key):
+            return list({key(r): r for r in rows}.values())
+
+        with self._state_lock:
+            if pending["loads"]:
+                counts = self.spark.createDataFrame(last_by(pending["loads"], lambda r: r[0]),
+                                                    "table_name string, record_count bigint")
+                self.meta.commit(md.load_metadata_upsert(self.meta.read(), counts, self.now, delta_small=True))
+            if pending["marks"]:
+                loaded = self.spark.createDataFrame(
+                    last_by(pending["marks"], lambda r: (r[0], r[1])),
+                    "source_table string, target_table string, incremental_field string, max_value timestamp_ntz")
+                self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now,
+                                                            delta_small=True))
+            if pending["done"]:
+                append(self.runs, self.spark.createDataFrame(pending["done"], RUNS_SCHEMA))
 
     def target(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/targets/{name}")
@@ -84,6 +118,10 @@ class Workspace:
 
     # -- state-table updates (one small keyed merge each) --------------------
     def record_load(self, table: str, rows: int) -> None:
+        with self._state_lock:
+            if self._pending is not None:
+                self._pending["loads"].append((table, rows))
+                return
         counts = self.spark.createDataFrame([(table, rows)], "table_name string, record_count bigint")
         with self._state_lock:
             # A one-row local delta: its size is known, no check job needed.
@@ -96,6 +134,10 @@ class Workspace:
             self.meta.commit(md.task_status_upsert(self.meta.read(), upd, self.now, delta_small=True))
 
     def advance_watermark(self, source: str, target: str, fld: str, max_value) -> None:
+        with self._state_lock:
+            if self._pending is not None:
+                self._pending["marks"].append((source, target, fld, max_value))
+                return
         loaded = self.spark.createDataFrame(
             [(source, target, fld, max_value)],
             "source_table string, target_table string, incremental_field string, max_value timestamp_ntz")
@@ -112,6 +154,10 @@ class Workspace:
     def mark_done(self, job: str, mode: str, watermark, rows: int | None) -> None:
         if isinstance(watermark, dt.date) and not isinstance(watermark, dt.datetime):
             watermark = dt.datetime(watermark.year, watermark.month, watermark.day)
+        with self._state_lock:
+            if self._pending is not None:
+                self._pending["done"].append((job, mode, watermark, rows, "completed"))
+                return
         done = self.spark.createDataFrame([(job, mode, watermark, rows, "completed")], RUNS_SCHEMA)
         with self._state_lock:
             append(self.runs, done)
@@ -340,7 +386,9 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
     for lvl in sorted({r.level for r in plan}):
         batch = [(r.job, {k: v for k, v in json.loads(r.spec).items() if v is not None})
                  for r in plan if r.level == lvl]
-        with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        # Jobs of one level are independent: their state rows are written
+        # together when the level ends (the next level reads them).
+        with ws.batched_state(), ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
             results.extend(pool.map(lambda js: run_job(ws, js[0], js[1], mode, watermark), batch))
     # Each state update wrote a small new version; keep the recent ones only.
     for t in (ws.meta, ws.watermarks):

@@ -92,6 +92,7 @@ def test_parallel_level_keeps_state_consistent(spark, tables_small):
     meta = {r.table_name: r.record_count for r in ws.meta.read().collect()}
     assert meta == {f"{n}_t": tables_small.get(n).count() for n in ("customer", "orders", "part")}
     assert ws.runs.read().count() == 3
+    assert ws.meta.current_version() == 1  # one state write for the whole level
     assert run_catalogue(ws, read_catalogue(spark, folder), "full", workers=3) == []
 
 
