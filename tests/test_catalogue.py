@@ -151,3 +151,20 @@ def test_insert_of_empty_input_returns_zero(spark):
     empty = spark.createDataFrame([], "table_name string, record_count int")
     assert insert_columns(spark, f"{db}.m", empty, ["table_name", "record_count"]) == 0
     assert spark.table(f"{db}.m").count() == 0
+
+
+def test_command_line_runs_a_catalogue(spark, capsys):
+    from sluice import run as cli
+    root = work_path(spark, "t-cli")
+    folder = root.removeprefix("file:") + "/catalogue"
+    write_catalogue(folder)
+    args = ["--catalogue", folder, "--sources", "/root/testdata/sf0.001", "--root", f"{root}/ws"]
+    assert cli.main(args + ["--full-refresh"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert [(x["job"], x["status"], x["mode"]) for x in lines] == [
+        ("ExtractOrders", "completed", "full"), ("SegmentSummary", "completed", "full")]
+    assert cli.main(args + ["--scheduled", "--as-of", "2001-06-01"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert lines[0]["watermark"] == "2001-05-31" and lines[0]["mode"] == "incremental"
+    with pytest.raises(SystemExit):
+        cli.main(args + ["--full-refresh", "--incremental"])
