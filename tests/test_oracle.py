@@ -3,17 +3,13 @@ names, order-insensitive value hash) on the sf0.001 tables."""
 
 import pytest
 
+from sluice.catalog import all_oracles, all_queries
 from tools.oracle_check import digest, duck
 
 from .conftest import SF_SMALL
 
 
-def _registry():
-    import __spark_entry__ as e
-    return e.queries(), e.oracle_sql()
-
-
-QUERIES, ORACLES = _registry()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
