@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import exact_dedup as exact
-from sluice.llm import sharding
+from sluice.llm import packing, sharding, token_counts, toxicity
 from sluice.llm.common import ascii_lower, documents
 
 SHARDS = 24
+PIECES = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +23,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.prefix_counts(documents(spark, sf_dir), public_tokenizers.path(PIECES), keep_store=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), keep_ids=False)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     normal = ascii_lower(F.coalesce("text", F.lit("")))
     docs = documents(spark, sf_dir).select("doc_id", "text", F.sha2(normal, 256).alias("text_sha256"))
@@ -26,9 +39,27 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "row.text_sha256")
 
 
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string")) % 4 == 2
+
+
+def toxic_model(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
+    return toxicity.fit(documents(spark, sf_dir), labels)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = documents(spark, sf_dir).select("doc_id", toxicity.toxicity(F.col("text"), toxic_model(spark, sf_dir)).alias("t"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("t.score").alias("score"),
+                        (F.col("t.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("t.passages").alias("n_passages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_token_counts": op2_token_counts,
+    "op3_packing": op3_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: Lower-casing A-Z only, as SQL.
