@@ -53,7 +53,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
         # A group's number is drawn once and written, so that all rows and retries see the same one.
         groups = written(keyed.groupBy("grp", "digit").agg(*counts).where("n > 1")
                          .withColumn("next_grp", F.monotonically_increasing_id()), "radix-groups")
-        joined = keyed.join(groups, ["grp", "digit"], "left")
+        # Always by a shuffle, which adaptive execution splits where it is skewed: the groups grow with the data.
+        joined = keyed.join(groups.hint("merge"), ["grp", "digit"], "left")
         # Copies found by the first digit always see a second one: by then the write has fixed their row ids.
         over = F.col("n").isNull() if first else F.col("n").isNull() | F.col("ended")
         chosen = [F.col("id"), F.lit(True)] if first else [
