@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from sluice.llm import exact_dedup as exact
-from sluice.llm import chat, packing, sharding, token_counts, toxicity
+from sluice.llm import chat, fingerprints, line_dedup, packing, sharding, token_counts, toxicity
 from sluice.llm.common import ascii_lower, documents
 
 SHARDS = 24
@@ -56,6 +56,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rewrites").select("conv_id", "r.*", "formatted_chars", "rewrites")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_report(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     normal = ascii_lower(F.coalesce("text", F.lit("")))
     docs = documents(spark, sf_dir).select("doc_id", "text", F.sha2(normal, 256).alias("text_sha256"))
@@ -72,6 +76,11 @@ def toxic_model(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     return toxicity.fit(documents(spark, sf_dir), labels)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = documents(spark, sf_dir).select("doc_id", toxicity.toxicity(F.col("text"), toxic_model(spark, sf_dir)).alias("t"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("t.score").alias("score"),
@@ -83,7 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op5_chat_formatting": op5_chat_formatting,
+    "op7_fingerprints": op7_fingerprints,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -95,4 +106,12 @@ ORACLE = {
     "op8_exact_dedup": f"""WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
             doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op9_line_dedup": """WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        common AS (SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        m AS (SELECT k.*, common.key IS NOT NULL AND k.doc_id <> common.keep AS gone FROM k LEFT JOIN common ON common.key = k.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id""",
 }
