@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from sluice.llm import exact_dedup as exact
-from sluice.llm import chat, fingerprints, line_dedup, packing, sharding, token_counts, toxicity
+from sluice.llm import chat, fingerprints, line_dedup, near_dedup, packing, sharding, token_counts, toxicity
 from sluice.llm.common import ascii_lower, documents
 
 SHARDS = 24
@@ -56,6 +56,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rewrites").select("conv_id", "r.*", "formatted_chars", "rewrites")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(documents(spark, sf_dir))
 
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
