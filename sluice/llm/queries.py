@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from sluice.llm import exact_dedup as exact
-from sluice.llm import chat, fingerprints, line_dedup, near_dedup, packing, sharding, token_counts, toxicity
+from sluice.llm import byte_bpe, chat, fingerprints, line_dedup, near_dedup, packing, sharding, token_counts, toxicity
 from sluice.llm.common import ascii_lower, documents
 
 SHARDS = 24
 PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -35,6 +36,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), keep_ids=False)
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 def _read_back(formatted: pd.Series, masks: pd.Series) -> pd.DataFrame:
     """What the outputs say: their turns, and the text under the mask."""
     rows = []
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
