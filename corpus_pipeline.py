@@ -1,20 +1,50 @@
-"""The corpus pipeline: four stages over ``documents``, each calling one operator of ``sluice.llm``."""
+"""The corpus pipeline: four stages over ``documents``, each calling one operator of ``sluice.llm``.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of their input,
+which travel inside a struct, so extra columns pass through whatever their names.  Null texts count as empty.
+An empty table passes every stage.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.llm import exact_dedup as exact
+from sluice.llm import near_dedup as near
+from sluice.llm import packing, toxicity
 from sluice.llm.common import documents, written
+from sluice.llm.queries import WORD_BPE, toxic_model
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold stay; repeated rows are judged alike."""
+    judged = docs.select(F.struct("*").alias("row"), toxicity.toxicity(F.col("text"), toxic_model(spark, sf_dir)).alias("judged"))
+    return judged.where(F.col("judged.score") < toxicity.THRESHOLD).select("row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """Of equal texts one row stays, that of the largest doc_id."""
     return exact.exact_dedup(docs).where("kept").select("row.*")
 
 
-STAGES = [("exact dedup", exact_stage)]
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of smallest doc_id stays; rows that repeat a doc_id are one
+    document, and rows without one stay."""
+    gone = near.near_dedup(docs.select("doc_id", "text")).where("NOT kept").select(F.col("id").alias("gone")).distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone.hint("merge"), F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, with their ids, in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path(WORD_BPE))
+
+
+STAGES = [("toxicity", toxicity_stage), ("exact dedup", exact_stage), ("near dedup", near_stage), ("packing", packing_stage)]
 
+#: SQL expresses neither the toxicity model nor the tokenizer; the stages are tested one by one instead.
 ORACLE_SQL = None
 
 
