@@ -28,7 +28,7 @@ def main() -> None:
     from sluice.catalog import all_queries
     from sluice.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus), driver_memory="8g")
     qs = all_queries()
     times: dict[str, float] = {}
     rows: dict[str, int] = {}

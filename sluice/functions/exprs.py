@@ -140,7 +140,8 @@ def classify_line(line: Column) -> Column:
 
 
 def outcome_success(returncode: Column, stdout: Column, stderr: Column) -> Column:
-    """Exit code 0 and not (an error word without a success phrase)."""
+    """Exit code 0 and not (an error word without a success phrase); a missing text is empty."""
+    stdout, stderr = F.coalesce(stdout, F.lit("")), F.coalesce(stderr, F.lit(""))
     has_err = any_of([stdout.contains(w) | stderr.contains(w) for w in OUTCOME_ERROR_WORDS])
     low = F.lower(stdout)
     has_ok = any_of([low.contains(p) for p in OUTCOME_SUCCESS_PHRASES])

@@ -22,6 +22,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import threading
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,11 +31,13 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from sluice.operators.naming import obs_name as _obs_name
 from sluice.operators import metadata as md
-from sluice.operators.sinks import (append, positional_bind, range_bucket, upsert, upsert_bucketed,
+from sluice.operators.sinks import (append, hash_bucket, positional_bind, range_bucket, upsert, upsert_bucketed,
                                     write_clustered)
 from sluice.operators.storage import BucketedTable, VersionedTable
-from sluice.sources.extract import extract
-from sluice.sources.json_files import read_json_positional, read_json_records
+from sluice.functions import exprs as X
+from sluice.plans.history import apply_status_updates, log_executions
+from sluice.sources.extract import extract, watermark_literal
+from sluice.sources.json_files import POSITION, read_json_positional, read_json_records
 
 RUNS_SCHEMA = StructType([
     StructField("job", StringType(), False),
@@ -45,6 +48,14 @@ RUNS_SCHEMA = StructType([
 ])
 
 
+MARKS_DDL = ("source_table string, target_table string, incremental_field string, max_value string, "
+             "max_timestamp timestamp_ntz")
+
+
+def _midnight(day: dt.date) -> dt.datetime:
+    return day if isinstance(day, dt.datetime) else dt.datetime(day.year, day.month, day.day)
+
+
 @dataclass
 class JobResult:
     job: str
@@ -65,6 +76,7 @@ class Workspace:
         self.meta = VersionedTable(spark, f"{self.root}/state/etl_metadata", md.META_SCHEMA)
         self.watermarks = VersionedTable(spark, f"{self.root}/state/etl_watermarks", md.WATERMARK_SCHEMA)
         self.runs = VersionedTable(spark, f"{self.root}/state/job_runs", RUNS_SCHEMA)
+        self.history = VersionedTable(spark, f"{self.root}/state/pipeline_history", md.HISTORY_SCHEMA)
         self.transforms: dict[str, str] = {}
         # State-table commits pick the next version number: serialise them
         # when jobs of one level run on several threads.
@@ -95,9 +107,7 @@ class Workspace:
                                                     "table_name string, record_count bigint")
                 self.meta.commit(md.load_metadata_upsert(self.meta.read(), counts, self.now, delta_small=True))
             if pending["marks"]:
-                loaded = self.spark.createDataFrame(
-                    last_by(pending["marks"], lambda r: (r[0], r[1])),
-                    "source_table string, target_table string, incremental_field string, max_value timestamp_ntz")
+                loaded = self.spark.createDataFrame(last_by(pending["marks"], lambda r: (r[0], r[1])), MARKS_DDL)
                 self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now,
                                                             delta_small=True))
             if pending["done"]:
@@ -106,13 +116,9 @@ class Workspace:
     def target(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/targets/{name}")
 
-    def bucketed_target(self, name: str, column: str, width: int) -> BucketedTable:
-        return BucketedTable(self.spark, f"{self.root}/targets/{name}", range_bucket(column, width))
-
     def read_target(self, spec: dict) -> DataFrame:
-        b = spec.get("bucket_by")
-        if b:
-            t = self.bucketed_target(spec["target_table"], b["column"], b["width"])
+        if spec.get("bucket_by"):
+            t = BucketedTable(self.spark, self.target(spec["target_table"]).root, _bucket_of(spec))
             return t.read().drop(t.BUCKET)
         return self.target(spec["target_table"]).read()
 
@@ -134,26 +140,56 @@ class Workspace:
             self.meta.commit(md.task_status_upsert(self.meta.read(), upd, self.now, delta_small=True))
 
     def advance_watermark(self, source: str, target: str, fld: str, max_value) -> None:
+        """``max_value`` of any type: stored as text, and as a timestamp where it is a date or time."""
+        stamp = _midnight(max_value) if isinstance(max_value, dt.date) else None
+        mark = (source, target, fld, str(max_value), stamp and stamp.replace(tzinfo=None))
         with self._state_lock:
             if self._pending is not None:
-                self._pending["marks"].append((source, target, fld, max_value))
+                self._pending["marks"].append(mark)
                 return
-        loaded = self.spark.createDataFrame(
-            [(source, target, fld, max_value)],
-            "source_table string, target_table string, incremental_field string, max_value timestamp_ntz")
+        loaded = self.spark.createDataFrame([mark], MARKS_DDL)
         with self._state_lock:
             self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now, delta_small=True))
 
     def stored_watermark(self, source: str, target: str):
+        """The stored time, or the stored text of a value of another type."""
         row = (self.watermarks.read()
                .where((F.col("source_table") == source) & (F.col("target_table") == target)
                       & F.col("is_active"))
-               .select("last_processed_timestamp").limit(1).collect())
-        return row[0][0] if row else None
+               .select("last_processed_timestamp", "last_processed_value").limit(1).collect())
+        if not row:
+            return None
+        return row[0][1] if row[0][0] is None else row[0][0]
+
+    def recovered(self, jobs: list[str]) -> None:
+        """Jobs that succeeded now are no longer recorded as failed."""
+        meta = self.meta.read()
+        failed = meta.where(F.col("table_name").isin(jobs) & (F.col("status") == "failed")).select("table_name").collect()
+        for (name,) in failed:
+            self.record_status(name, "completed")
+
+    # -- run history: a row when a run begins, updated when it ends ------------
+    def begin_run(self, mode: str) -> int:
+        past = self.history.read()
+        run = (past.agg(F.max("id")).first()[0] or 0) + 1
+        action = "full_refresh" if mode == "full" else "incremental"
+        row = self.spark.createDataFrame([(run, action, time.time(), None, None, None, "running")],
+                                         "id long, action string, start_epoch double, end_epoch double, "
+                                         "success boolean, result string, status string")
+        self.history.commit(past.unionByName(log_executions(row)))
+        return run
+
+    def end_run(self, run: int, results: list[JobResult]) -> None:
+        failed = sum(r.status == "failed" for r in results)
+        blocked = sum(r.status == "blocked" for r in results)
+        text = X.RESULT_MESSAGE.format(done=len(results) - failed - blocked, failed=failed, pending=blocked, disabled=0)
+        status = "failed" if failed else "completed"
+        update = self.spark.createDataFrame([(run, status, time.time(), not failed, text)],
+                                            "id long, status string, end_epoch double, success boolean, result string")
+        self.history.commit(apply_status_updates(self.history.read(), update, self.now))
 
     def mark_done(self, job: str, mode: str, watermark, rows: int | None) -> None:
-        if isinstance(watermark, dt.date) and not isinstance(watermark, dt.datetime):
-            watermark = dt.datetime(watermark.year, watermark.month, watermark.day)
+        watermark = _midnight(watermark) if isinstance(watermark, dt.date) else None
         with self._state_lock:
             if self._pending is not None:
                 self._pending["done"].append((job, mode, watermark, rows, "completed"))
@@ -163,82 +199,113 @@ class Workspace:
             append(self.runs, done)
 
 
-def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str) -> tuple[int, object]:
-    """Shared write path of extract_load and load: returns (rows, max incremental value)."""
-    target = ws.target(spec["target_table"])
+def _bucket_of(spec: dict):
+    b = spec["bucket_by"]
+    if b.get("buckets"):
+        return hash_bucket([b["column"]], b["buckets"])
+    return range_bucket(b["column"], b["width"])
+
+
+def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str, refresh: bool = True) -> tuple[int, object]:
+    """Shared write path of extract_load and load: returns (rows, max incremental value).
+
+    The source runs once, in the write itself; a write of no rows is not
+    committed and changes nothing.  A full run replaces the target where
+    ``refresh`` is set; else rows with a merge key are upserted and others
+    appended.  Rows may carry their place in the input (``POSITION``).
+    """
     fld = spec.get("incremental_field")
     obs = Observation(_obs_name(f"load_{spec['target_table']}"))
     metrics = [F.count(F.lit(1)).alias("rows")]
     if fld:
         metrics.append(F.max(F.col(fld)).alias("max_value"))
     observed = rows.observe(obs, *metrics)
-    b = spec.get("bucket_by")
-    if b:
-        # Large target: partitions keyed by a key range; an upsert rewrites
-        # only the partitions its delta touches.
-        bt = ws.bucketed_target(spec["target_table"], b["column"], b["width"])
-        if mode == "full":
-            bt.overwrite_buckets(bt.with_bucket(observed))
-        elif spec.get("merge_key"):
-            # upsert_bucketed computes the deduplicated delta once (checkpoint),
-            # which also fills the observation.
-            upsert_bucketed(bt, observed, spec["merge_key"], order=[fld] if fld else spec.get("order_by"))
+    plain = observed.drop(POSITION)
+    keys = spec.get("merge_key")
+    order = ([fld] if fld else list(spec.get("order_by") or [])) + [POSITION] * (POSITION in rows.columns)
+    partial = {"update_cols": spec.get("update_columns"),
+               "defaults": {c: F.expr(e) for c, e in (spec.get("defaults") or {}).items()}}
+    replace = mode == "full" and refresh
+    if spec.get("bucket_by"):
+        # Large target: an upsert rewrites only the buckets its delta touches.
+        bt = BucketedTable(ws.spark, ws.target(spec["target_table"]).root, _bucket_of(spec))
+        if replace:
+            bt.refresh(bt.with_bucket(plain), skip_empty=True)
+        elif keys:
+            upsert_bucketed(bt, observed, keys, order=order, **partial)
+        elif bt.exists():
+            bt.append(bt.with_bucket(plain))
         else:
-            bt.with_bucket(observed).write.mode("append").partitionBy(bt.BUCKET).parquet(bt.root)
-        got = obs.get
-        return int(got["rows"]), got.get("max_value")
-    if mode == "full":
-        target.commit(observed)
-    elif spec.get("merge_key"):
-        # The delta is used twice by the merge (its keys and its rows): a
-        # reliable checkpoint computes it once and fills the observation.
-        delta = observed.checkpoint(eager=True)
-        upsert(target, delta, spec["merge_key"], order=[fld] if fld else spec.get("order_by"))
+            bt.refresh(bt.with_bucket(plain), skip_empty=True)
+        bt.vacuum()
     else:
-        append(target, observed)
+        target = ws.target(spec["target_table"])
+        if replace:
+            target.commit(plain, skip_empty=True)
+        elif keys:
+            upsert(target, observed, keys, order=order, **partial)
+        else:
+            append(target, plain)
     got = obs.get
     return int(got["rows"]), got.get("max_value")
 
 
+def _finish(ws: Workspace, name: str, spec: dict, mode: str, last_updated, n: int, mx) -> JobResult:
+    """State of a finished write; nothing but the completion row where there was no data."""
+    fld = spec.get("incremental_field")
+    if n:
+        ws.record_load(spec["target_table"], n)
+        if fld and mx is not None:
+            ws.advance_watermark(spec.get("source_table", name), spec["target_table"], fld, mx)
+    ws.mark_done(name, mode, last_updated, n)
+    return JobResult(name, "completed" if n else "no_data", n, mx)
+
+
+#: Bound to ``:last_updated`` where no watermark is given or stored: before any row.
+FIRST_TIME = dt.datetime(1000, 1, 1)
+
+
 def run_extract_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
+    """An incremental run without a watermark goes on from the stored one
+    (``use_stored_watermark: false`` reads everything again)."""
     if not spec.get("query"):
         raise ValueError(f"No query defined for {name}")
     fld = spec.get("incremental_field")
     incremental = mode == "incremental"
-    if incremental and last_updated is None and spec.get("use_stored_watermark"):
-        last_updated = ws.stored_watermark(spec.get("source_table", name), spec["target_table"])
-    rows = extract(ws.spark.sql(spec["query"]), incremental, fld, last_updated)
+    bound = last_updated
+    if incremental and bound is None and fld and spec.get("use_stored_watermark", True):
+        bound = ws.stored_watermark(spec.get("source_table", name), spec["target_table"])
+    args = None
+    if ":last_updated" in spec["query"]:
+        # An author-placed marker: the query filters by itself.
+        args = {"last_updated": watermark_literal(FIRST_TIME if bound is None or not incremental else bound)}
+    rows = extract(ws.spark.sql(spec["query"], args=args), incremental and args is None, fld, bound)
     if spec.get("target_schema"):
         rows = positional_bind(rows, StructType.fromDDL(spec["target_schema"]))
-    if rows.isEmpty():
-        # Empty source: the target (even on a full refresh) and its metadata
-        # stay as they are; the job still counts as done for this run.
-        ws.mark_done(name, mode, last_updated, 0)
-        return JobResult(name, "no_data", 0)
     n, mx = _write(ws, spec, rows, mode)
-    ws.record_load(spec["target_table"], n)
-    if incremental and fld and mx is not None:
-        ws.advance_watermark(spec.get("source_table", name), spec["target_table"], fld, mx)
-    ws.mark_done(name, mode, last_updated, n)
-    return JobResult(name, "completed", n, mx)
+    return _finish(ws, name, spec, mode, last_updated, n, mx)
 
 
 def run_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
+    """A load adds to its target in every mode: it upserts by ``merge_key`` (the last row of a key wins) or appends."""
     schema = StructType.fromDDL(spec["file_schema"])
-    if spec.get("positional"):
-        # Rows may be objects, arrays or scalars: bound by position.
-        rows = read_json_positional(ws.spark, spec["source_file"], schema)
-    else:
-        rows = read_json_records(ws.spark, spec["source_file"], schema)
-    if rows is None or rows.isEmpty():
+    # Positional rows may be objects, arrays or scalars.
+    read = read_json_positional if spec.get("positional") else read_json_records
+    keyed = bool(spec.get("merge_key"))
+    rows = read(ws.spark, spec["source_file"], schema, lines=bool(spec.get("lines")), position=keyed)
+    if rows is None:
         ws.mark_done(name, mode, last_updated, 0)
         return JobResult(name, "no_data", 0)
     if spec.get("target_schema"):
-        rows = positional_bind(rows, StructType.fromDDL(spec["target_schema"]))
-    n, _ = _write(ws, spec, rows, mode)
-    ws.record_load(spec["target_table"], n)
-    ws.mark_done(name, mode, None, n)
-    return JobResult(name, "completed", n)
+        bound = positional_bind(rows.drop(POSITION), StructType.fromDDL(spec["target_schema"]))
+        if keyed:
+            names = bound.columns
+            rows = rows.toDF(*names, POSITION).select(
+                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in bound.schema.fields], POSITION)
+        else:
+            rows = bound
+    n, _ = _write(ws, spec, rows, mode, refresh=False)
+    return _finish(ws, name, {**spec, "incremental_field": None}, mode, last_updated, n, None)
 
 
 def sql_text(ws: Workspace, spec: dict, field: str = "sql"):
@@ -255,7 +322,7 @@ def run_schema(ws: Workspace, name: str, spec: dict, mode: str, last_updated=Non
     args = {"database_name": ws.database} if ":database_name" in stmt else None
     ws.spark.sql(stmt, args=args)
     ws.record_status(name, "completed")
-    ws.mark_done(name, mode, None, None)
+    ws.mark_done(name, mode, last_updated, None)
     return JobResult(name, "completed")
 
 
@@ -277,7 +344,7 @@ def call_transform(ws: Workspace, call: str) -> DataFrame:
 def run_flattened(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
     rows = call_transform(ws, spec["procedure_call"])
     n = ws.target(spec["target_table"]).commit(rows)
-    ws.mark_done(name, mode, None, n)
+    ws.mark_done(name, mode, last_updated, n)
     return JobResult(name, "completed", n)
 
 
@@ -294,10 +361,13 @@ def run_summary(ws: Workspace, name: str, spec: dict, mode: str, last_updated=No
     target = ws.target(spec["target_table"])
     idx = spec.get("indexes") or []
     n = write_clustered(target, out, idx) if idx else target.commit(out)
-    ws.mark_done(name, mode, None, n)
+    ws.mark_done(name, mode, last_updated, n)
     return JobResult(name, "completed", n)
 
 
+#: Characters of an error that are kept.
+ERROR_CHARS = 2000
+
 JOB_TYPES = {
     "schema": run_schema,
     "extract_load": run_extract_load,
@@ -315,7 +385,11 @@ def run_job(ws: Workspace, name: str, spec: dict, mode: str = "full", last_updat
         fn = JOB_TYPES[spec["type"]]
     except KeyError:
         raise ValueError(f"unknown job type {spec.get('type')!r} for {name}") from None
-    return fn(ws, name, spec, mode, last_updated)
+    try:
+        return fn(ws, name, spec, mode, last_updated)
+    except Exception as e:
+        ws.record_status(name, "failed", str(e)[:ERROR_CHARS])
+        raise
 
 
 # --- mode selection and catalogue runs ---------------------------------------
@@ -339,11 +413,11 @@ def resolve_mode(full_refresh: bool = False, incremental: bool = False, schedule
 
 
 def completed_jobs(ws: Workspace, mode: str, watermark) -> DataFrame:
-    """Completion rows for this (mode, watermark): the reference's marker files, keyed properly."""
+    """Completion rows for this (mode, watermark).  An incremental run without a watermark goes on from wherever
+    its sources stand, so it is never complete beforehand."""
     runs = ws.runs.read().where((F.col("mode") == mode) & (F.col("status") == "completed"))
     if watermark is None:
-        return runs.where(F.col("watermark").isNull()).select("job")
-    from sluice.sources.extract import watermark_literal
+        return runs.where(F.col("watermark").isNull() & F.lit(mode == "full")).select("job")
     return runs.where(F.col("watermark") == watermark_literal(watermark)).select("job")
 
 
@@ -354,7 +428,9 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
     Levels come from the dependency edges (unknown names ignored) computed in
     Spark; jobs of one level are independent and may run on ``workers``
     threads (Spark runs their jobs concurrently).  Jobs already completed for
-    this mode and watermark are skipped.  Only the specs (configuration, not
+    this mode and watermark are skipped.  A job that fails is recorded so, with
+    its error, and blocks only the jobs that depend on it; the run itself has a
+    row in the history.  Only the specs (configuration, not
     data) are collected to the driver.
     """
     from concurrent.futures import ThreadPoolExecutor
@@ -382,21 +458,38 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
     if blocked:
         raise ValueError(f"dependency cycle among {blocked[:10]}")
     import json
+    specs = {r.job: {k: v for k, v in json.loads(r.spec).items() if v is not None} for r in plan}
+    needs: dict[str, set[str]] = {}
+    for r in edges.collect():  # configuration, not data
+        needs.setdefault(r.job, set()).add(r.dep)
     results: list[JobResult] = []
+    broken: set[str] = set()
+    run = ws.begin_run(mode)
+
+    def attempt(job: str) -> JobResult:
+        if needs.get(job, set()) & broken:
+            return JobResult(job, "blocked", notes=sorted(needs[job] & broken))
+        try:
+            return run_job(ws, job, specs[job], mode, watermark)
+        except Exception as e:  # recorded; jobs that do not need this one go on
+            return JobResult(job, "failed", notes=[str(e)[:ERROR_CHARS]])
+
     for lvl in sorted({r.level for r in plan}):
-        batch = [(r.job, {k: v for k, v in json.loads(r.spec).items() if v is not None})
-                 for r in plan if r.level == lvl]
+        batch = [r.job for r in plan if r.level == lvl]
         # Jobs of one level are independent: their state rows are written
         # together when the level ends (the next level reads them).
         with ws.batched_state(), ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-            results.extend(pool.map(lambda js: run_job(ws, js[0], js[1], mode, watermark), batch))
+            done = list(pool.map(attempt, batch))
+        broken |= {r.job for r in done if r.status in ("failed", "blocked")}
+        results.extend(done)
+    ws.recovered([r.job for r in results if r.status in ("completed", "no_data")])
+    ws.end_run(run, results)
     # Each state update wrote a small new version; keep the recent ones only.
-    for t in (ws.meta, ws.watermarks):
+    for t in (ws.meta, ws.watermarks, ws.history):
         t.vacuum(retain=10)
     # Versioned targets keep the current and previous copies (a reader may
-    # still be on the previous one); bucketed targets are rewritten in place.
-    for r in plan:
-        spec = json.loads(r.spec)
+    # still be on the previous one); bucketed targets drop unused folders themselves.
+    for spec in specs.values():
         if spec.get("target_table") and not spec.get("bucket_by"):
             ws.target(spec["target_table"]).vacuum(retain=max(1, retain_versions))
     return results

@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, IntegerType, StringType, StructField, StructType,
+from pyspark.sql.types import (BooleanType, DecimalType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from sluice.functions.exprs import ntz
@@ -20,7 +20,7 @@ from sluice.operators.upsert import merge_columns
 META_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("last_update_timestamp", TimestampNTZType()),
-    StructField("record_count", IntegerType()),
+    StructField("record_count", LongType()),
     StructField("status", StringType()),
     StructField("error_message", StringType()),
     StructField("created_at", TimestampNTZType()),
@@ -39,8 +39,21 @@ WATERMARK_SCHEMA = StructType([
     StructField("updated_at", TimestampNTZType()),
 ])
 
+HISTORY_SCHEMA = StructType([
+    StructField("id", LongType()),
+    StructField("action", StringType()),
+    StructField("pipeline_type", StringType()),
+    StructField("start_time", TimestampNTZType()),
+    StructField("end_time", TimestampNTZType()),
+    StructField("duration_seconds", DecimalType(10, 2)),
+    StructField("success", BooleanType()),
+    StructField("status", StringType()),
+    StructField("result", StringType()),
+    StructField("created_at", TimestampNTZType()),
+])
+
 # DDL of the state tables for the schema job (column defaults included).
-META_DDL = ("table_name VARCHAR(100) NOT NULL, last_update_timestamp TIMESTAMP_NTZ, record_count INT DEFAULT 0, "
+META_DDL = ("table_name VARCHAR(100) NOT NULL, last_update_timestamp TIMESTAMP_NTZ, record_count BIGINT DEFAULT 0, "
             "status VARCHAR(50) DEFAULT 'pending', error_message STRING, "
             "created_at TIMESTAMP_NTZ DEFAULT current_timestamp()::timestamp_ntz, "
             "updated_at TIMESTAMP_NTZ DEFAULT current_timestamp()::timestamp_ntz")
@@ -76,7 +89,7 @@ def load_metadata_upsert(meta: DataFrame, counts: DataFrame, now: dt.datetime,
                          delta_small: bool | None = None) -> DataFrame:
     """Loaded-row count per target: sets record_count, status='completed', updated_at;
     leaves error_message and last_update_timestamp as they are."""
-    d = counts.select("table_name", F.col("record_count").cast("int").alias("record_count"),
+    d = counts.select("table_name", F.col("record_count").cast("bigint").alias("record_count"),
                       F.lit("completed").alias("status"), _ts(now).alias("updated_at"))
     return merge_columns(meta, d, ["table_name"], ["record_count", "status", "updated_at"],
                          defaults={"created_at": _ts(now)}, delta_small=delta_small)
@@ -86,13 +99,19 @@ def watermark_advance(wm: DataFrame, loaded: DataFrame, now: dt.datetime,
                       delta_small: bool | None = None) -> DataFrame:
     """Advance (source_table, target_table) to the max loaded value; unchanged if nothing loaded.
 
-    ``loaded``: (source_table, target_table, incremental_field, max_value timestamp_ntz),
-    one row per pair; rows with a NULL max (no rows loaded) are ignored.
+    ``loaded``: (source_table, target_table, incremental_field, max_value), one row per pair; rows with a NULL
+    max (no rows loaded) are ignored.  The value is stored as text, whatever its type, and as a timestamp too where
+    it is one (``max_timestamp``, or ``max_value`` itself).
     """
+    stamp = F.lit(None).cast("timestamp_ntz")
+    if "max_timestamp" in loaded.columns:
+        stamp = F.col("max_timestamp")
+    elif loaded.schema["max_value"].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        stamp = F.col("max_value").cast("timestamp_ntz")
     d = (loaded.where(F.col("max_value").isNotNull())
          .select("source_table", "target_table", "incremental_field",
                  F.col("max_value").cast("string").alias("last_processed_value"),
-                 F.col("max_value").alias("last_processed_timestamp"),
+                 stamp.alias("last_processed_timestamp"),
                  _ts(now).alias("updated_at")))
     return merge_columns(wm, d, ["source_table", "target_table"],
                          ["last_processed_value", "last_processed_timestamp", "updated_at"],

@@ -23,9 +23,8 @@ def positional_bind(df: DataFrame, target: StructType) -> DataFrame:
 def full_refresh(table: VersionedTable, df: DataFrame, on_empty: str = "keep") -> int | None:
     """Replace the target.  An empty source keeps the old rows (``on_empty="keep"``)
     and returns None, as the reference returns before its TRUNCATE."""
-    if on_empty == "keep" and df.isEmpty():
-        return None
-    return table.commit(df)
+    n = table.commit(df, skip_empty=on_empty == "keep")
+    return None if on_empty == "keep" and n == 0 else n
 
 
 def append(table: VersionedTable, df: DataFrame) -> int:
@@ -42,14 +41,15 @@ def append(table: VersionedTable, df: DataFrame) -> int:
 def upsert(table: VersionedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
            update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None,
            version: int | None = None, base_version: int | None = None) -> int:
-    """Keyed upsert of ``delta`` into ``table`` as a new version; last row per key wins."""
-    target = table.read(base_version)
-    if order:
-        delta = latest_per_key(delta, keys, order)
-    delta = delta.drop(*[c for c in delta.columns if c not in target.columns])
+    """Keyed upsert of ``delta`` into ``table`` as a new version; the last row per key by ``order`` wins (by the
+    whole row where no order is given).  Columns that the target lacks are dropped after that."""
     # The merge reads the delta more than once (size check, keys, rows): a
     # reliable checkpoint in the shared folder computes it once.
-    delta = delta.checkpoint(eager=True)
+    delta = latest_per_key(delta, keys, order or []).checkpoint(eager=True)
+    if table.current_version() == 0 and table.schema is None:
+        return table.commit(delta.drop(*[c for c in order or [] if c.startswith("__")]), version=version)
+    target = table.read(base_version)
+    delta = delta.drop(*[c for c in delta.columns if c not in target.columns])
     if update_cols is None:
         merged = merge_replace(target, delta, keys)
     else:
@@ -62,8 +62,9 @@ def write_clustered(table: VersionedTable, df: DataFrame, cluster_by: list[str],
     """The reference adds secondary indexes after a summary build; on files the
     equivalent is layout: range-partition and sort by the index columns so each
     file covers a narrow min/max range and parquet row-group statistics prune
-    filtered reads.  No partition count is fixed, so AQE sizes the output."""
-    laid = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    filtered reads.  A hash of the row ends the range key, so a value that many
+    rows share is split too.  No partition count is fixed, so AQE sizes the output."""
+    laid = df.repartitionByRange(*cluster_by, F.xxhash64(*df.columns)).sortWithinPartitions(*cluster_by)
     return table.commit(laid, partition_by=partition_by)
 
 
@@ -117,16 +118,12 @@ def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], ord
     replayed stream batch, a retried job) converge to the same table.  A
     missing table is created from the delta (which then carries every column).
     """
-    if order:
-        delta = latest_per_key(delta, keys, order)
-    delta = table.with_bucket(delta).checkpoint(eager=True)
+    delta = table.with_bucket(latest_per_key(delta, keys, order or [])).checkpoint(eager=True)
     if not table.exists():
-        return table.overwrite_buckets(delta)
-    target = table.read()
-    delta = delta.drop(*[c for c in delta.columns if c not in target.columns])
-    # Bucket ids only (bounded by the partition count) reach the driver.
-    touched = [r[0] for r in delta.select(table.BUCKET).distinct().collect()]
-    current = target.where(F.col(table.BUCKET).isin(touched))
+        return table.refresh(delta.drop(*[c for c in order or [] if c.startswith("__")]))
+    touched = delta.select(table.BUCKET).distinct()
+    current = table.read(touched)
+    delta = delta.drop(*[c for c in delta.columns if c not in current.columns])
     bkeys = keys + [table.BUCKET]
     if guard_order:
         merged = merge_replace_ordered(current, delta, bkeys, guard_order)
@@ -134,7 +131,4 @@ def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], ord
         merged = merge_replace(current, delta, bkeys)
     else:
         merged = merge_columns(current, delta, bkeys, update_cols, defaults)
-    # Dynamic partition overwrite stages the new files and swaps partition
-    # folders only at job commit, after every task has read the old files,
-    # so the touched partitions can be read and replaced in one job.
-    return table.overwrite_buckets(merged)
+    return table.replace(merged, touched)

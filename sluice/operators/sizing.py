@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 # Upper bound on the optimizer's size estimate (compressed file bytes) for a
 # hinted broadcast side; in memory a side can be a few times larger.
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-# Upper bounds on rows for a side proven small by counting (limit + 1 rows):
-# key-only sides (a few long columns) and whole rows.
-BROADCAST_MAX_KEY_ROWS = 1_000_000
-BROADCAST_MAX_ROWS = 100_000
+# Bounds on what a counted side may have: rows, and bytes of its rows as JSON text.
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_TEXT_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -30,6 +29,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
-def has_at_most(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Prove ``count(df) <= max_rows`` by reading at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_TEXT_BYTES) -> bool:
+    """Count the rows of a side that is already computed, and their bytes: a row a task reaches the driver."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes

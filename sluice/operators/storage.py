@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sluice.operators.naming import obs_name as _obs_name
 
@@ -92,13 +92,14 @@ class VersionedTable:
         return sorted(gone)
 
     def commit(self, df: DataFrame, version: int | None = None,
-               partition_by: list[str] | None = None) -> int:
+               partition_by: list[str] | None = None, skip_empty: bool = False) -> int:
         """Write ``df`` as a new version and make it current; return rows written.
 
         The row count comes from an ``Observation`` on the same write, so the
         data is not scanned twice.  ``version`` may be fixed by the caller
         (stream batches use ``batch_id + 1``) so a replayed write lands on the
-        same folder and gives the same result.
+        same folder and gives the same result.  With ``skip_empty`` a write of
+        no rows is not committed: the current version stays.
         """
         v = self.current_version() + 1 if version is None else version
         obs = Observation(_obs_name(f"rows_v{v}"))
@@ -106,21 +107,25 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(v))
-        touch(self.spark, f"{self.root}/_committed_v{v:08d}")
-        self.schema = df.schema
-        return int(obs.get["rows"])
+        rows = int(obs.get["rows"])
+        if rows or not skip_empty:
+            touch(self.spark, f"{self.root}/_committed_v{v:08d}")
+            self.schema = df.schema
+        return rows
 
 
 class BucketedTable:
     """A large keyed target partitioned by a bucket derived from its key.
 
-    ``bucket`` maps the key columns to a partition value (a range such as
-    ``key div width`` keeps recent keys together; a hash spreads them).  An
-    upsert reads only the buckets the delta touches (static partition
-    pruning on the bucket list, which is bounded by the partition count) and
-    replaces only those partitions with Spark's dynamic partition overwrite.
-    Each partition is swapped whole at job commit; the merge is idempotent,
-    so re-running a failed upsert converges to the same table.
+    ``bucket_of`` maps the key columns to a partition value (a range such as
+    ``key div width`` keeps recent keys together; a hash spreads them); a key of
+    NULL is in bucket -1.  Every write goes to a folder of its own, a
+    generation; a small versioned manifest says which generations hold a
+    bucket's rows.  An upsert reads and writes the buckets that its delta
+    touches and switches to them by committing a manifest, so a write that fails
+    before that changes nothing and can be repeated.  The driver handles the
+    manifest, a row a bucket, as it does the file listing: choose widths for
+    thousands of buckets, not millions.
     """
 
     BUCKET = "bucket"
@@ -129,19 +134,67 @@ class BucketedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_of = bucket_of  # fn(DataFrame) -> Column
+        self.manifest = VersionedTable(spark, f"{self.root}/manifest", StructType(
+            [StructField(self.BUCKET, LongType()), StructField("generation", LongType())]))
 
     def exists(self) -> bool:
-        return any(n.startswith(f"{self.BUCKET}=") for n in list_names(self.spark, self.root))
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root)
+        return self.manifest.current_version() > 0
+
+    def _folder(self, generation: int) -> str:
+        return f"{self.root}/data/generation={generation}"
+
+    def read(self, touched: DataFrame | None = None) -> DataFrame:
+        """The table, or only the buckets that ``touched`` (bucket) names; other folders are not listed."""
+        live = self.manifest.read()
+        some = live if touched is None else live.join(touched, self.BUCKET, "left_semi")
+        paths = [f"{self._folder(g)}/{self.BUCKET}={b}" for b, g in some.collect()]
+        base = self.spark.read.option("basePath", f"{self.root}/data")
+        if paths:
+            rows = base.parquet(*paths)
+        else:
+            first = live.first()
+            if first is None:
+                raise FileNotFoundError(f"no rows under {self.root}")
+            rows = base.parquet(f"{self._folder(first[1])}/{self.BUCKET}={first[0]}").where(F.lit(False))
+        return rows.drop("generation").withColumn(self.BUCKET, F.col(self.BUCKET).cast("bigint"))
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.BUCKET, self.bucket_of(df))
+        return df.withColumn(self.BUCKET, F.coalesce(self.bucket_of(df).cast("bigint"), F.lit(-1)))
 
-    def overwrite_buckets(self, df: DataFrame) -> int:
-        """Replace exactly the partitions present in ``df`` (which carries the bucket column)."""
+    def _write(self, df: DataFrame, kept: DataFrame | None, skip_empty: bool = False) -> int:
+        generation = self.manifest.current_version() + 1
         obs = Observation(_obs_name("bucket_rows"))
-        (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(self.BUCKET).parquet(self.root))
-        return int(obs.get["rows"])
+        # A bucket's rows go to few files; adaptive execution splits a large bucket and joins small ones.
+        laid = df.hint("rebalance", self.BUCKET).observe(obs, F.count(F.lit(1)).alias("rows"))
+        laid.write.mode("overwrite").partitionBy(self.BUCKET).parquet(self._folder(generation))
+        rows = int(obs.get["rows"])
+        if not rows and skip_empty:
+            return 0
+        names = [n for n in list_names(self.spark, self._folder(generation)) if n.startswith(f"{self.BUCKET}=")]
+        pairs = self.spark.createDataFrame([(int(n.split("=")[1]), generation) for n in names], self.manifest.schema)
+        self.manifest.commit(pairs if kept is None else kept.unionByName(pairs), version=generation)
+        return rows
+
+    def refresh(self, df: DataFrame, skip_empty: bool = False) -> int:
+        """Replace the whole table; buckets that ``df`` (with its bucket column) lacks are gone."""
+        return self._write(df, None, skip_empty)
+
+    def append(self, df: DataFrame) -> int:
+        return self._write(df, self.manifest.read())
+
+    def replace(self, df: DataFrame, touched: DataFrame) -> int:
+        """Replace the buckets that ``touched`` names by the rows of ``df``."""
+        return self._write(df, self.manifest.read().join(touched, self.BUCKET, "left_anti"))
+
+    def vacuum(self, retain: int = 2) -> list[int]:
+        """Delete generations that none of the newest ``retain`` manifests names; returns them."""
+        current = self.manifest.current_version()
+        used: set[int] = set()
+        for v in range(max(1, current - retain + 1), current + 1):
+            used |= {r[0] for r in self.manifest.read(v).select("generation").distinct().collect()}
+        self.manifest.vacuum(retain)
+        gone = [g for n in list_names(self.spark, f"{self.root}/data")
+                if (g := int(n.split("=")[1])) <= current and g not in used]
+        for g in gone:
+            delete_path(self.spark, self._folder(g))
+        return sorted(gone)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.sizing import BROADCAST_MAX_KEY_ROWS, has_at_most
+from sluice.operators.sizing import is_small
 
 _HIT = "__hit"
 _ROW = "__row"
@@ -56,7 +56,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def _maybe_broadcast_keys(df: DataFrame, small: bool | None) -> DataFrame:
     if small is None:
-        small = has_at_most(df, BROADCAST_MAX_KEY_ROWS)
+        small = is_small(df)
     return F.broadcast(df) if small else df
 
 
@@ -76,8 +76,8 @@ def merge_replace_ordered(target: DataFrame, delta: DataFrame, keys: list[str],
     deltas in any order, gives the same table (replay-safe for streams).
     ``delta`` must be unique per key."""
     d = materialize(delta.select(*target.columns))
-    small = has_at_most(d.select(*keys), BROADCAST_MAX_KEY_ROWS) if delta_small is None else delta_small
     dk = d.select(*keys, F.col(order).alias("__d_order"))
+    small = is_small(dk) if delta_small is None else delta_small
     newer = (target.select(*keys, order)
              .join(F.broadcast(dk) if small else dk, keys)
              # NULL is the oldest order value, as in latest_per_key.
@@ -99,10 +99,12 @@ def merge_columns(target: DataFrame, delta: DataFrame, keys: list[str], update_c
     """
     defaults = defaults or {}
     cols = target.columns
+    # Both the rows and the keys of the target are read.
+    target = materialize(target)
     tschema = {f.name: f.dataType for f in target.schema.fields}
     d = materialize(delta.select(*keys, *[c for c in delta.columns if c not in keys])).withColumn(_HIT, F.lit(True))
     d_cols = [c for c in delta.columns if c not in keys]
-    small = has_at_most(d) if delta_small is None else delta_small
+    small = is_small(d) if delta_small is None else delta_small
     dr = d.select(*[F.col(c).alias(f"__d_{c}") for c in d.columns])
     cond = [F.col(k) == F.col(f"__d_{k}") for k in keys]
     on = cond[0]

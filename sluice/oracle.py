@@ -52,7 +52,7 @@ ORDERS_DELTA = """orders_delta AS (
  SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority, 1 AS seq
    FROM orders WHERE o_orderkey % 10 = 0
  UNION ALL SELECT o_orderkey, o_custkey, 'V', o_totalprice + 2, o_orderdate, o_orderpriority, 2 FROM orders WHERE o_orderkey % 20 = 0
- UNION ALL SELECT o_orderkey + 10000000, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority, 1 FROM orders WHERE o_orderkey % 50 = 1),
+ UNION ALL SELECT -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority, 1 FROM orders WHERE o_orderkey % 50 = 1),
 latest_delta AS (
  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM orders_delta) WHERE rn = 1)"""
@@ -91,11 +91,11 @@ def oracle(name: str, sql: str) -> None:
 
 # --- flatten / summary -------------------------------------------------------
 oracle("patient_summary", """
-SELECT c_custkey, c_name, count(*) AS encounters, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_seen,
+SELECT c_custkey, c_name, count(o_orderkey) AS encounters, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_seen,
  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
- CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_total,
+ CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(o_orderkey), 0) AS avg_total,
  count(DISTINCT o_orderstatus) AS statuses
-FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name""")
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name""")
 
 oracle("flattened_patient_encounters", f"WITH {FLAT_ENC} SELECT * FROM flat_enc")
 
@@ -128,7 +128,7 @@ oracle("core_locations", """SELECT n_nationkey AS location_id, n_name AS locatio
 # --- 2.1 sources / 2.3 sinks / 2.4 jobs -------------------------------------
 ORDERS_ALL = f"SELECT {ORDERS_COLS} FROM orders"
 for _k in ("extract_full", "empty_source_keeps_target", "full_refresh_overwrite", "append_load",
-           "job_extract_load_full", "job_extract_load_incremental"):
+           "job_extract_load_full", "job_extract_load_incremental", "job_incremental_reruns"):
     oracle(_k, ORDERS_ALL)
 
 oracle("extract_incremental", ORDERS_ALL + " WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00'")
@@ -156,8 +156,15 @@ FROM orders t LEFT JOIN latest_delta d ON t.o_orderkey = d.o_orderkey
 UNION ALL
 SELECT d.o_orderkey, d.o_custkey, d.o_orderstatus, d.o_totalprice, d.o_orderdate, '0-UNKNOWN'
 FROM latest_delta d WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey = d.o_orderkey)""")
+oracle("bucketed_full_refresh", ORDERS_ALL + " WHERE o_orderstatus = 'F'")
+oracle("load_upsert_duplicates", f"WITH {ORDERS_DELTA} SELECT {ORDERS_COLS} FROM latest_delta")
+oracle("job_parameterized", ORACLE["extract_parameterized"])
+oracle("job_partial_upsert", ORACLE["upsert_partial_columns"])
+oracle("job_failure_status", """SELECT t.table_name, 'completed' AS status, n AS record_count
+ FROM (SELECT count(*) AS n FROM orders), (VALUES ('orders_t'), ('after_orders_t')) t(table_name)
+ UNION ALL SELECT 'Broken', 'failed', CAST(0 AS BIGINT)""")
 oracle("insert_with_defaults", """SELECT concat('t', CAST(o_orderkey AS VARCHAR)) AS table_name,
- CAST(o_custkey AS INTEGER) AS record_count, 'pending' AS status, CAST(NULL AS VARCHAR) AS error_message FROM orders""")
+ CAST(o_custkey AS BIGINT) AS record_count, 'pending' AS status, CAST(NULL AS VARCHAR) AS error_message FROM orders""")
 oracle("truncate_table", "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM orders")
 oracle("ddl_metadata_tables", f"WITH {RUN_HISTORY} SELECT id, action, pipeline_type, start_time, 'completed' AS status FROM run_history")
 oracle("write_clustered_layout", ORACLE["patient_summary"])

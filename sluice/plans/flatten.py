@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.sizing import broadcast_if_small
+from sluice.session import work_path
 from sluice.sources.tables import Tables
 
 FLAT_ENCOUNTER_COLS = ["c_custkey", "c_name", "c_mktsegment", "n_name", "r_name",
@@ -45,8 +46,8 @@ def left_join_splittable(left: DataFrame, right: DataFrame, lkey: str, rkey: str
     one left key matching a third of the right rows would run in one task.
     As an inner join (both sides splittable) plus the left rows without a
     match (an anti join against the right's distinct keys, which a partial
-    aggregate shrinks first), skew handling applies.  Both branches shuffle
-    ``left`` on the same key, so Spark reuses that exchange.
+    aggregate shrinks first), skew handling applies.  ``left`` is read twice:
+    give a table that is cheap to read.
     """
     matched = left.join(right, F.col(lkey) == F.col(rkey))
     keys = right.select(F.col(rkey).alias("__k")).distinct()
@@ -66,7 +67,10 @@ def flattened_observations(t: Tables) -> DataFrame:
     obs = (t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
                              "l_discount", "l_returnflag", "l_shipdate")
            .join(part, F.col("l_partkey") == F.col("p_partkey"), "left"))
-    return (left_join_splittable(flattened_patient_encounters(t), obs, "o_orderkey", "l_orderkey")
+    # Encounters are built once and written: both branches of the join read that table.
+    path = work_path(t.spark, "flat-encounters")
+    flattened_patient_encounters(t).write.parquet(path)
+    return (left_join_splittable(t.spark.read.parquet(path), obs, "o_orderkey", "l_orderkey")
             .select(*FLAT_OBSERVATION_COLS))
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import exprs as X
-from sluice.operators.sizing import has_at_most
+from sluice.operators.sizing import is_small
+from sluice.operators.upsert import materialize
 
 HISTORY_COLS = ["id", "action", "pipeline_type", "start_time", "end_time", "duration_seconds", "success",
                 "status", "result", "created_at"]
@@ -137,15 +138,16 @@ def history_stats(history: DataFrame) -> DataFrame:
 
 
 def pipeline_types(history: DataFrame) -> DataFrame:
-    """Predefined types (they win) followed by observed ones not predefined.
+    """Predefined types (they win) followed by observed ones not predefined, one row per action.
 
-    The observed side is a distinct over two columns: partial aggregation
-    keeps at most one row per (action, type) per task before the shuffle.
+    An action observed with several types has that of its newest run.  Partial
+    aggregation keeps one row per action per task before the shuffle.
     """
     spark = history.sparkSession
     pre = spark.createDataFrame([(i, a, p) for i, (a, p) in enumerate(X.PREDEFINED_PIPELINE_TYPES)],
                                 "ord int, action string, pipeline_type string")
-    observed = history.select("action", "pipeline_type").distinct()
+    observed = history.groupBy("action").agg(
+        F.max_by("pipeline_type", F.struct("created_at", "id")).alias("pipeline_type"))
     extra = observed.join(F.broadcast(pre.select("action")), "action", "left_anti") \
         .select(F.lit(len(X.PREDEFINED_PIPELINE_TYPES)).alias("ord"), "action", "pipeline_type")
     return pre.unionByName(extra).orderBy("ord", "action")
@@ -216,8 +218,8 @@ def apply_status_updates(history: DataFrame, updates: DataFrame, now: dt.datetim
     result; other statuses set status and result only.  When the update set
     is proven small it is broadcast and history is not shuffled.
     """
-    u = updates.select(*[F.col(c).alias(f"u_{c}") for c in updates.columns])
-    if has_at_most(u):
+    u = materialize(updates).select(*[F.col(c).alias(f"u_{c}") for c in updates.columns])
+    if is_small(u):
         u = F.broadcast(u)
     j = history.join(u, F.col("id") == F.col("u_id"), "left")
     hit = F.col("u_id").isNotNull()

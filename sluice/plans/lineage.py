@@ -2,9 +2,9 @@
 
 The reference hands its dependency graph to a scheduler; here the graph is
 data.  Levels are computed by frontier expansion (Kahn's algorithm in
-batches): each round is a few joins over the whole edge table, the assigned
-set is checkpointed to the shared folder each round to cut lineage, and the
-number of rounds is the graph depth (bounded; a cycle is reported).
+batches): each round is a few joins over the jobs and edges that are left, which
+are checkpointed to the shared folder to cut lineage; the number of rounds is the
+graph's depth, and a cycle is reported.
 """
 
 from __future__ import annotations
@@ -23,22 +23,29 @@ def pending_jobs(defined: DataFrame, completed: DataFrame) -> DataFrame:
     return defined.select("job").join(completed.select("job"), "job", "left_anti")
 
 
-def dependency_levels(jobs: DataFrame, edges: DataFrame, max_depth: int = 256) -> DataFrame:
+def dependency_levels(jobs: DataFrame, edges: DataFrame) -> DataFrame:
     """Level 0 = no dependency; otherwise 1 + the highest level among dependencies.
 
-    ``jobs``: (job); ``edges``: (job, dep) already resolved.  Jobs on a cycle
-    (or deeper than ``max_depth``) get a NULL level.
+    ``jobs``: (job); ``edges``: (job, dep) already resolved.  Every round that
+    assigns a job shrinks what is left, so the rounds end by themselves; jobs
+    left by a round that assigns none are on, or behind, a cycle and get a NULL
+    level.  A round reads only the jobs and edges that are left.
     """
-    jobs = jobs.select("job").distinct()
-    edges = edges.select("job", "dep").distinct().checkpoint(eager=True)
-    assigned = (jobs.join(edges.select("job"), "job", "left_anti")
-                .select("job", F.lit(0).alias("level")).checkpoint(eager=True))
-    for k in range(1, max_depth + 1):
-        done = assigned.select("job")
-        blocked = edges.join(done.withColumnRenamed("job", "dep"), "dep", "left_anti").select("job")
-        ready = (jobs.join(done, "job", "left_anti").join(blocked, "job", "left_anti")
-                 .select("job", F.lit(k).alias("level")).checkpoint(eager=True))
+    left = jobs.select("job").distinct().checkpoint(eager=True)
+    open_edges = edges.select("job", "dep").distinct().checkpoint(eager=True)
+    levels: DataFrame | None = None
+    level = 0
+    while True:
+        ready = left.join(open_edges.select("job"), "job", "left_anti").select(
+            "job", F.lit(level).alias("level")).checkpoint(eager=True)
         if ready.isEmpty():
             break
-        assigned = assigned.unionByName(ready).checkpoint(eager=True)
-    return jobs.join(assigned, "job", "left")
+        levels = ready if levels is None else levels.unionByName(ready)
+        if level % 16 == 15:
+            levels = levels.checkpoint(eager=True)
+        left = left.join(ready, "job", "left_anti").checkpoint(eager=True)
+        open_edges = open_edges.join(ready.select(F.col("job").alias("dep")), "dep", "left_anti") \
+            .select("job", "dep").checkpoint(eager=True)
+        level += 1
+    rest = left.select("job", F.lit(None).cast("int").alias("level"))
+    return rest if levels is None else levels.unionByName(rest)

@@ -7,6 +7,7 @@ the jobs (writes happen here) and returns the written target read back.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from sluice.functions.exprs import ntz
 from sluice.operators import metadata as md
-from sluice.operators.jobs import Workspace, run_job
+from sluice.operators.jobs import Workspace, run_catalogue, run_job
 from sluice.operators.sinks import create_database, create_table, insert_columns, positional_bind, range_bucket, \
     truncate, upsert_bucketed, write_clustered
 from sluice.operators.storage import BucketedTable, VersionedTable
@@ -107,7 +108,7 @@ def config_merge_last_wins(t: Tables) -> DataFrame:
     docs = (entries.groupBy("file")
             .agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("task", "spec"))).alias("tasks")))
                  .alias("doc"))
-            .select(F.lpad(F.col("file").cast("string"), 8, "0").alias("chunk"), "doc"))
+            .select(F.lpad(F.col("file").cast("string"), 19, "0").alias("chunk"), "doc"))
     ignored = t.part.where(p == 0).select(F.lit("zzzzzzzz").alias("chunk"),
                                           F.to_json(F.struct(F.lit(1).alias("version"))).alias("doc"))
     docs.unionByName(ignored).write.mode("overwrite").partitionBy("chunk").text(path)
@@ -129,7 +130,7 @@ def full_refresh_overwrite(t: Tables) -> DataFrame:
 def append_load(t: Tables) -> DataFrame:
     ws = workspace(t, "append")
     run_job(ws, "LoadOrders", {"type": "extract_load", "target_table": "orders_t",
-                               "query": ORDERS_SELECT + " WHERE o_orderdate <= TIMESTAMP_NTZ'2000-01-01 00:00:00'"})
+                               "query": ORDERS_SELECT + " WHERE o_orderdate <= TIMESTAMP_NTZ'2000-01-01 00:00:00' OR o_orderdate IS NULL"})
     run_job(ws, "LoadOrders", {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "orders_t",
                                "incremental_field": "o_orderdate"}, mode="incremental", last_updated=WATERMARK)
     return ws.target("orders_t").read()
@@ -144,7 +145,7 @@ def upsert_orders(t: Tables) -> DataFrame:
     """Keyed upsert into a bucketed target: only touched buckets are rewritten."""
     target = BucketedTable(t.spark, work_path(t.spark, "upsert-orders"),
                            range_bucket(ORDERS_BUCKETS["column"], ORDERS_BUCKETS["width"]))
-    target.overwrite_buckets(target.with_bucket(orders(t)))
+    target.refresh(target.with_bucket(orders(t)))
     upsert_bucketed(target, views.orders_delta(t), ["o_orderkey"], order=["seq"])
     return target.read().select(*views.ORDER_COLS)
 
@@ -242,7 +243,7 @@ def job_extract_load_incremental(t: Tables) -> DataFrame:
     run_job(ws, "ExtractLoadOrders", {"type": "extract_load", "target_table": "encounters",
                                       "bucket_by": ORDERS_BUCKETS,
                                       "query": ORDERS_SELECT + " WHERE o_orderdate <= "
-                                                               "TIMESTAMP_NTZ'2000-01-01 00:00:00'"})
+                                                               "TIMESTAMP_NTZ'2000-01-01 00:00:00' OR o_orderdate IS NULL"})
     spec = {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "encounters",
             "source_table": "orders", "incremental_field": "o_orderdate", "merge_key": ["o_orderkey"],
             "use_stored_watermark": True, "bucket_by": ORDERS_BUCKETS}
@@ -252,6 +253,89 @@ def job_extract_load_incremental(t: Tables) -> DataFrame:
     return ws.read_target(spec)
 
 
+def _catalogue(ws: Workspace, tasks: dict[str, dict]) -> DataFrame:
+    """A job catalogue written as a JSON file and read back."""
+    path = f"{ws.root}/catalogue"
+    ws.spark.createDataFrame([(json.dumps({"tasks": tasks}),)], "doc string").coalesce(1).write.text(path)
+    return read_catalogue(ws.spark, path)
+
+
+def job_incremental_reruns(t: Tables) -> DataFrame:
+    """Full run, incremental run, then rows arrive and another incremental run takes them: no watermark is given,
+    each run goes on from the stored one, and rows are appended once."""
+    ws = workspace(t, "reruns")
+    early = (F.col("o_orderdate") <= ntz(WATERMARK)) | F.col("o_orderdate").isNull()
+    t.orders.where(early).createOrReplaceTempView("orders_feed")
+    cat = _catalogue(ws, {"ExtractOrders": {
+        "type": "extract_load", "query": ORDERS_SELECT.replace("FROM orders", "FROM orders_feed"),
+        "target_table": "encounters", "incremental_field": "o_orderdate", "source_table": "orders_feed"}})
+    run_catalogue(ws, cat, "full")
+    run_catalogue(ws, cat, "incremental")
+    t.orders.createOrReplaceTempView("orders_feed")
+    run_catalogue(ws, cat, "incremental")
+    run_catalogue(ws, cat, "incremental")
+    return ws.target("encounters").read()
+
+
+def bucketed_full_refresh(t: Tables) -> DataFrame:
+    """A full refresh from a smaller source drops the buckets that it lacks."""
+    ws = workspace(t, "bucket-refresh")
+    spec = {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "orders_t",
+            "bucket_by": {"column": "o_orderstatus", "buckets": 64}}
+    run_job(ws, "LoadOrders", spec)
+    run_job(ws, "LoadOrders", {**spec, "query": ORDERS_SELECT + " WHERE o_orderstatus = 'F'"})
+    return ws.read_target(spec)
+
+
+def load_upsert_duplicates(t: Tables) -> DataFrame:
+    """JSON files that repeat keys, loaded by merge key without an order column: the last row of a key wins."""
+    ws = workspace(t, "json-duplicates")
+    path = f"{ws.root}/files/orders"
+    delta = views.orders_delta(t)
+    # Files in the order of seq, then of bounded ranges of keys.
+    chunk = F.col("seq") * 10**15 + F.floor((F.col("o_orderkey") + 10**12) / 50000)
+    write_json_records(delta.select(*views.ORDER_COLS, "seq"), path, chunk)
+    run_job(ws, "LoadOrders", {"type": "load", "source_file": path, "target_table": "orders_t", "merge_key": ["o_orderkey"],
+                               "file_schema": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                                              "o_orderdate timestamp_ntz, o_orderpriority string"})
+    return ws.target("orders_t").read()
+
+
+def job_parameterized(t: Tables) -> DataFrame:
+    """A catalogue job whose query places the watermark itself."""
+    ws = workspace(t, "job-parameter")
+    cat = _catalogue(ws, {"RecentOrders": {
+        "type": "extract_load", "target_table": "recent", "query": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders "
+        "WHERE o_orderdate > :last_updated AND o_orderstatus <> 'P'"}})
+    run_catalogue(ws, cat, "incremental", WATERMARK)
+    return ws.target("recent").read()
+
+
+def job_partial_upsert(t: Tables) -> DataFrame:
+    """A catalogue job that updates some columns and fills defaults for new keys, into a bucketed target."""
+    ws = workspace(t, "job-partial")
+    spec = {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "orders_t", "bucket_by": ORDERS_BUCKETS}
+    run_job(ws, "LoadOrders", spec)
+    views.orders_delta(t).drop("o_orderpriority").createOrReplaceTempView("orders_delta")
+    cat = _catalogue(ws, {"UpdateOrders": {
+        **spec, "query": "SELECT * FROM orders_delta", "merge_key": ["o_orderkey"], "order_by": ["seq"],
+        "update_columns": ["o_orderstatus", "o_totalprice"], "defaults": {"o_orderpriority": f"'{PARTIAL_DEFAULT_PRIORITY}'"}}})
+    run_catalogue(ws, cat, "incremental")
+    return ws.read_target(spec).select(*views.ORDER_COLS)
+
+
+def job_failure_status(t: Tables) -> DataFrame:
+    """One job fails: it is recorded, the job that needs it is blocked, the others run."""
+    ws = workspace(t, "job-failure")
+    load = {"type": "extract_load", "query": ORDERS_SELECT}
+    cat = _catalogue(ws, {"LoadOrders": {**load, "target_table": "orders_t"},
+                          "Broken": {**load, "query": "SELECT * FROM no_such_table", "target_table": "broken_t"},
+                          "AfterBroken": {**load, "target_table": "after_broken_t", "dependencies": ["Broken"]},
+                          "AfterOrders": {**load, "target_table": "after_orders_t", "dependencies": ["LoadOrders"]}})
+    run_catalogue(ws, cat, "full")
+    return ws.meta.read().select("table_name", "status", "record_count")
+
+
 SCRIPT_TRANSFORM = """BEGIN
   DECLARE cutoff TIMESTAMP_NTZ DEFAULT TIMESTAMP_NTZ'1998-01-01 00:00:00';
   CREATE OR REPLACE TEMPORARY VIEW script_encounters AS

@@ -20,8 +20,8 @@ HISTORY_NOW = dt.datetime(2024, 2, 1)  # fixed "now" for run-history updates
 STATUS_FILTERS = ["success", "failed", "pending", "running", "interrupted", "completed", "all"]
 
 
-def hist(t: Tables) -> DataFrame:
-    return views.run_history(t)
+def hist(t: Tables, *event_columns: str) -> DataFrame:
+    return views.run_history(t, *event_columns)
 
 
 def history_filtered(t):
@@ -78,9 +78,7 @@ def run_records(t: Tables) -> DataFrame:
     """Finished-run records (epoch seconds) derived from events."""
     r = F.col("event_id") % 7
     start = H.ts_to_epoch("ts")
-    rh = hist(t).select("id", "action", "status", "start_time")
-    ev = t.events.select("event_id", "ts", "value", "props")
-    return ev.join(rh, F.col("event_id") == F.col("id")).select(
+    return hist(t, "event_id", "ts", "value", "props").select(
         "id", "action",
         start.alias("start_epoch"),
         F.when(r <= 4, start + F.col("value")).alias("end_epoch"),

@@ -59,8 +59,8 @@ def rollup(task_state: DataFrame, now: dt.datetime) -> DataFrame:
         F.when(is_running, "running_pipeline").when(pending > 0, "pending").otherwise("ready").alias("state"))
 
 
-def messages(r: DataFrame) -> DataFrame:
-    """Status message and the history result text of a finished run."""
+def messages(r: DataFrame, *kept: str) -> DataFrame:
+    """Status message and the history result text of a finished run, and ``kept`` columns of the roll-up."""
     done, total = F.col("completed_tasks"), F.col("total_tasks")
     failed, pending, disabled = F.col("failed_tasks"), F.col("pending_tasks"), F.col("disabled_tasks")
     running_msg = F.concat(
@@ -75,7 +75,7 @@ def messages(r: DataFrame) -> DataFrame:
                .otherwise(F.lit(X.READY_MESSAGE)))
     result_msg = F.when(~F.col("running"), X.template(X.RESULT_MESSAGE, done=done, failed=failed, pending=pending,
                                                       disabled=disabled))
-    return r.select("run_id", message.alias("message"), result_msg.alias("result_msg"))
+    return r.select("run_id", message.alias("message"), result_msg.alias("result_msg"), *kept)
 
 
 def heartbeat(r: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def reconcile(r: DataFrame, history: DataFrame) -> DataFrame:
     latest = (history.where(F.col("status").isin("pending", "running"))
               .groupBy(F.col("run_id").alias("h_run_id"))
               .agg(F.max_by(F.struct("id", "action"), F.struct("created_at", "id")).alias("h")))
-    fin = messages(r).join(r, "run_id").where(~F.col("running"))
+    fin = messages(r, "running", "pipeline_type", "final_status", "success").where(~F.col("running"))
     cond = (F.col("run_id") == F.col("h_run_id")) & \
            ((F.col("h.action") == F.col("pipeline_type")) | (F.col("pipeline_type") == "unknown"))
     return fin.join(latest, cond).select(

@@ -33,14 +33,15 @@ def encounters_per_patient(t: Tables) -> DataFrame:
 
 
 def patient_summary(t: Tables) -> DataFrame:
-    """Per patient: encounter count, first/last date, total, average, distinct statuses."""
+    """Per patient: encounter count, first/last date, total, average, distinct statuses.
+    Patients without encounters have counts of 0 and no dates or amounts."""
     agg = encounters_per_patient(t)
     return (t.customer.select("c_custkey", "c_name")
-            .join(agg, F.col("c_custkey") == F.col("o_custkey"))
-            .select("c_custkey", "c_name", "encounters", "first_seen", "last_seen",
+            .join(agg, F.col("c_custkey") == F.col("o_custkey"), "left")
+            .select("c_custkey", "c_name", F.coalesce("encounters", F.lit(0)).cast("bigint").alias("encounters"), "first_seen", "last_seen",
                     F.col("total_dec").cast("double").alias("total"),
                     (F.col("total_dec").cast("double") / F.col("encounters")).alias("avg_total"),
-                    "statuses"))
+                    F.coalesce("statuses", F.lit(0)).cast("bigint").alias("statuses")))
 
 
 def observation_summary(t: Tables) -> DataFrame:

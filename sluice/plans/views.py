@@ -14,7 +14,8 @@ from sluice.functions.exprs import humanize
 from sluice.sources.tables import Tables
 
 
-def run_history(t: Tables) -> DataFrame:
+def run_history(t: Tables, *event_columns: str) -> DataFrame:
+    """Run history, with further columns of the events where asked."""
     e = t.events
     r = F.col("event_id") % 7
     et = F.col("event_type")
@@ -33,6 +34,7 @@ def run_history(t: Tables) -> DataFrame:
         F.when(r != 5, F.col("props")).alias("result"),
         F.col("ts").alias("created_at"),
         F.col("user_id").alias("run_id"),
+        *event_columns,
     ).withColumn("pipeline_type", humanize(F.col("action")))
 
 
@@ -89,7 +91,8 @@ def orders_delta(t: Tables) -> DataFrame:
     b = o.where(k % 20 == 0).select("o_orderkey", "o_custkey", F.lit("V").alias("o_orderstatus"),
                                     (F.col("o_totalprice") + 2).alias("o_totalprice"), "o_orderdate",
                                     "o_orderpriority", F.lit(2).alias("seq"))
-    c = o.where(k % 50 == 1).select((k + 10_000_000).alias("o_orderkey"), "o_custkey",
+    # Keys of new rows are negative: outside the table's own range, however many orders there are.
+    c = o.where(k % 50 == 1).select((-k).alias("o_orderkey"), "o_custkey",
                                     F.lit("N").alias("o_orderstatus"), "o_totalprice", "o_orderdate",
                                     "o_orderpriority", F.lit(1).alias("seq"))
     return a.unionByName(b).unionByName(c)

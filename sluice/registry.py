@@ -39,6 +39,12 @@ for _name, _fn in [
     ("positional_bind", loads.positional_bind_q),
     ("job_extract_load_full", loads.job_extract_load_full),
     ("job_extract_load_incremental", loads.job_extract_load_incremental),
+    ("job_incremental_reruns", loads.job_incremental_reruns),
+    ("bucketed_full_refresh", loads.bucketed_full_refresh),
+    ("load_upsert_duplicates", loads.load_upsert_duplicates),
+    ("job_parameterized", loads.job_parameterized),
+    ("job_partial_upsert", loads.job_partial_upsert),
+    ("job_failure_status", loads.job_failure_status),
     ("sql_script_transform", loads.sql_script_transform),
     ("table_function_transform", loads.table_function_transform),
     ("summary_multi_statement", loads.summary_multi_statement),

@@ -8,6 +8,7 @@ and tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,13 +31,17 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "sluice") -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = None,
+                  app: str = "sluice", driver_memory: str | None = None) -> SparkSession:
+    """A session with the settings that matter at scale; what is not given stays as the cluster has it."""
+    builder = (SparkSession.builder.appName(app)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.ui.showConsoleProgress", "false"))
+    given = {"spark.master": master, "spark.sql.shuffle.partitions": shuffle_partitions,
+             "spark.driver.memory": driver_memory}
+    for k, v in given.items():
+        if v is not None:
+            builder = builder.config(k, str(v))
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -53,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             # A machine-local folder is not visible to other executors.
             raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared file system")
         # Unset in a local run or test: a temporary folder on this machine is shared by all tasks.
@@ -63,6 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder for one call under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/sluice/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for one call under the shared checkpoint folder, removed when the session's JVM ends."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sluice"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+    return f"{base}/{label}-{uuid.uuid4().hex[:12]}"

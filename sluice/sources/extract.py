@@ -29,7 +29,10 @@ def extract(source: DataFrame, incremental: bool = False, incremental_field: str
     Strict ``>`` like the reference: rows exactly at the bound are excluded.
     """
     if incremental and incremental_field and last_updated is not None:
-        return source.where(F.col(incremental_field) > watermark_literal(last_updated))
+        bound = watermark_literal(last_updated)
+        if isinstance(last_updated, str):  # the stored text of a value of another type
+            bound = bound.cast(source.schema[incremental_field].dataType)
+        return source.where(F.col(incremental_field) > bound)
     return source
 
 
@@ -42,8 +45,3 @@ def extract_parameterized(spark: SparkSession, sql: str, last_updated, **views:
     # a session-time-zone timestamp).
     bound = watermark_literal(last_updated)
     return spark.sql(sql, args={"last_updated": bound}, **views)
-
-
-def is_empty(df: DataFrame) -> bool:
-    """Empty-source guard: reads at most one row."""
-    return df.isEmpty()

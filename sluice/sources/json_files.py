@@ -1,8 +1,12 @@
 """JSON sources: data files (lists of objects, arrays or scalars) and the keyed
 job catalogue (``{"tasks": {name: spec}}`` files merged in name order).
 
-A JSON document is not splittable, so a large input is many bounded files:
-one task reads one file, and the file count grows with the data.
+A JSON document is not splittable: one task reads one file, so a large input is
+many bounded files, or JSON Lines (``lines=True``), which Spark splits.  Input
+that does not parse is an error, never a row of NULLs.
+
+Records carry their place in the input (``POSITION``), by which the last row of
+a key wins where no order column is given.
 """
 
 from __future__ import annotations
@@ -13,36 +17,61 @@ from pyspark.sql.types import StructType
 
 from sluice.operators.storage import path_exists
 
-TASK_SPEC_DDL = ("type string, dependencies array<string>, sql string, query string, full_load_sql string, "
-                 "incremental_sql string, target_table string, incremental_field string, source_file string, "
+TASK_SPEC_DDL = ("type string, dependencies array<string>, sql string, query string, target_table string, incremental_field string, source_file string, "
                  "procedure_call string, indexes array<string>, description string, "
                  "merge_key array<string>, file_schema string, target_schema string, source_table string, "
-                 "use_stored_watermark boolean, sql_file string, positional boolean")
+                 "use_stored_watermark boolean, sql_file string, positional boolean, lines boolean, "
+                 "order_by array<string>, update_columns array<string>, defaults map<string, string>, "
+                 "bucket_by struct<column string, width bigint, buckets bigint>")
 CATALOGUE_DDL = f"tasks map<string, struct<{TASK_SPEC_DDL}>>"
 
 
-def read_json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """Files each holding one JSON array of objects; None when the path is missing."""
+POSITION = "__position"
+
+
+def _position() -> Column:
+    """Where a row stands: its file, then its place in the file."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row")).alias(POSITION)
+
+
+def read_json_records(spark: SparkSession, path: str, schema: StructType, lines: bool = False,
+                      position: bool = False) -> DataFrame | None:
+    """Files each holding one JSON array of objects, or (``lines``) an object a line; None when the path is
+    missing.  A file that does not parse fails the read."""
     if not path_exists(spark, path):
         return None
-    return (spark.read.schema(schema).option("multiLine", True)
+    rows = (spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST")
             .option("recursiveFileLookup", True).json(path))
+    return rows.select("*", _position()) if position else rows
 
 
-def read_json_positional(spark: SparkSession, path: str, target: StructType) -> DataFrame | None:
+def read_json_positional(spark: SparkSession, path: str, target: StructType, lines: bool = False,
+                         position: bool = False) -> DataFrame | None:
     """Files each holding one JSON array whose elements are objects (values in
-    key order), arrays (by position) or scalars (a one-column row), bound to
-    ``target`` by position.  Elements parse as their JSON text."""
+    key order), arrays (by position) or scalars (a one-column row), or such an
+    element a line, bound to ``target`` by position.  Elements parse as their
+    JSON text; a file that does not parse, or an element with another number of
+    values than the target has columns, is an error."""
     if not path_exists(spark, path):
         return None
-    elems = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-             .select(F.explode(F.from_json("value", "array<string>")).alias("e")))
+    text = spark.read.option("wholetext", not lines).option("recursiveFileLookup", True).text(path).select("value", _position())
+    text = text.where(F.trim("value") != "")
+    if lines:
+        elems = text.select(F.col("value").alias("e"), POSITION, F.lit(0).alias("at"))
+    else:
+        parsed = F.from_json("value", "array<string>")
+        bad = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col(f"{POSITION}.file"))).cast("array<string>")
+        elems = text.select(F.posexplode(F.when(parsed.isNull(), bad).otherwise(parsed)).alias("at", "e"), POSITION)
     head = F.trim("e")
     vals = (F.when(head.startswith("["), F.from_json("e", "array<string>"))
             .when(head.startswith("{"), F.map_values(F.from_json("e", "map<string,string>")))
             .otherwise(F.array("e")))
-    return (elems.select(vals.alias("v"))
-            .select(*[F.col("v")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(target.fields)]))
+    wrong = F.raise_error(F.concat(F.lit(f"expected {len(target)} values: "), F.coalesce("e", F.lit("null")))).cast("array<string>")
+    rows = elems.select(vals.alias("v"), "e", POSITION, "at").select(
+        F.when(F.coalesce(F.size("v") == len(target), F.lit(False)), F.col("v")).otherwise(wrong).alias("v"), POSITION, "at")
+    bound = [F.col("v")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(target.fields)]
+    return rows.select(*bound, *[F.struct(POSITION, "at").alias(POSITION)] * position)
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
@@ -58,9 +87,10 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 # --- writers for JSON files (bounded chunks, one file per chunk) -------------
 
-def _write_chunks(df: DataFrame, chunk: Column, element: Column, path: str, digits: int = 8) -> None:
+def _write_chunks(df: DataFrame, chunk: Column, element: Column, path: str, digits: int = 19) -> None:
     """Group rows into chunks and write each chunk as one JSON array file.
-    ``chunk`` must bound the rows per chunk (e.g. key div N)."""
+    ``chunk`` must bound the rows per chunk (e.g. key div N).  Its number is
+    padded to the digits of the largest bigint, which never cuts it."""
     docs = (df.select(F.lpad(chunk.cast("string"), digits, "0").alias("chunk"), element.alias("e"))
             .groupBy("chunk")
             .agg(F.concat(F.lit("["), F.array_join(F.collect_list("e"), ","), F.lit("]")).alias("doc")))

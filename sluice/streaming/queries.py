@@ -15,6 +15,10 @@ from sluice.sources.tables import Tables
 from sluice.streaming import streams
 
 
+# Input of one micro-batch: every batch rewrites the buckets it touches, so batches are as large as memory allows.
+BATCH_BYTES = 64 << 30
+
+
 def _year(c: str):
     return F.year(F.col(c))
 
@@ -26,7 +30,7 @@ def stream_incremental_load(t: Tables) -> DataFrame:
     orders = t.orders.select(*views.ORDER_COLS)
     y = _year("o_orderdate")
     src, sink, ckpt = f"{root}/in/*", f"{root}/sink", f"{root}/checkpoint"
-    for i, cond in enumerate([y <= 1996, (y >= 1997) & (y <= 1998), (y >= 1999) & (y <= 2000)], 1):
+    for i, cond in enumerate([(y <= 1996) | y.isNull(), (y >= 1997) & (y <= 1998), (y >= 1999) & (y <= 2000)], 1):
         orders.where(cond).write.parquet(f"{root}/in/b{i}")
     streams.incremental_load(spark, src, orders.schema, sink, ckpt)
     streams.incremental_load(spark, src, orders.schema, sink, ckpt)  # nothing new: reads nothing
@@ -45,7 +49,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     target = BucketedTable(spark, f"{root}/target",
                            range_bucket(ORDERS_BUCKETS["column"], ORDERS_BUCKETS["width"]))
     streams.upsert_stream(spark, f"{root}/in/*", base.schema, target, ["o_orderkey"], "seq",
-                          f"{root}/checkpoint", max_files=4)
+                          f"{root}/checkpoint", max_bytes=BATCH_BYTES)
     return target.read().select(*views.ORDER_COLS)
 
 
@@ -62,5 +66,5 @@ def stream_status_counts(t: Tables) -> DataFrame:
     ts = views.task_state(t)
     ts.write.parquet(f"{root}/in/b1")
     target = VersionedTable(spark, f"{root}/target")
-    streams.status_count_stream(spark, f"{root}/in/*", ts.schema, target, f"{root}/checkpoint", max_files=2)
+    streams.status_count_stream(spark, f"{root}/in/*", ts.schema, target, f"{root}/checkpoint", max_bytes=BATCH_BYTES)
     return target.read()

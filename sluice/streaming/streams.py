@@ -26,10 +26,14 @@ from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.plans.progress import classify_lines
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
+                max_bytes: int | None = None) -> DataFrame:
+    """A stream of a folder's files; a micro-batch takes at most so many files, or so many bytes of them."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    elif max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return r.parquet(path)
 
 
@@ -46,15 +50,17 @@ def incremental_load(spark: SparkSession, src: str, schema: StructType, sink: st
 
 
 def upsert_stream(spark: SparkSession, src: str, schema: StructType, target: BucketedTable,
-                  keys: list[str], order: str, checkpoint: str, max_files: int | None = None) -> None:
+                  keys: list[str], order: str, checkpoint: str, max_files: int | None = None,
+                  max_bytes: int | None = None) -> None:
     """Each micro-batch: last row per key, then an order-guarded upsert that
     rewrites only the target buckets the batch touches.  A replayed batch
     re-applies the same rows and leaves the same table."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         upsert_bucketed(target, batch, keys, order=[order], guard_order=order)
+        target.vacuum()
 
-    run_available(file_stream(spark, src, schema, max_files).writeStream.foreachBatch(apply)
+    run_available(file_stream(spark, src, schema, max_files, max_bytes).writeStream.foreachBatch(apply)
                   .option("checkpointLocation", checkpoint))
 
 
@@ -64,8 +70,8 @@ def classify_stream(spark: SparkSession, src: str, schema: StructType, sink: str
 
 
 def status_count_stream(spark: SparkSession, src: str, schema: StructType, target: VersionedTable,
-                        checkpoint: str, max_files: int | None = None) -> None:
-    counts = file_stream(spark, src, schema, max_files).groupBy("status").agg(F.count(F.lit(1)).alias("tasks"))
+                        checkpoint: str, max_files: int | None = None, max_bytes: int | None = None) -> None:
+    counts = file_stream(spark, src, schema, max_files, max_bytes).groupBy("status").agg(F.count(F.lit(1)).alias("tasks"))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         target.commit(batch, version=batch_id + 1)

@@ -39,7 +39,7 @@ def main() -> None:
     from sluice.catalog import all_queries
     from sluice.session import build_session
 
-    spark = build_session()
+    spark = build_session(shuffle_partitions=8)
     print("# Physical plans (generated by tools/plan_report.py)\n")
     print(f"Input: `{sf_dir}`, local[8], AQE on (initial plans before AQE re-optimisation).\n")
     print("| Query | Operators | Pushed filters |\n|---|---|---|")
