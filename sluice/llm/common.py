@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +33,16 @@ def ascii_lower(text: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def runs(values: list[str | None], size: int = 1 << 19) -> Iterator[list[str]]:
+    """Texts in order, in lists of about ``size`` characters."""
+    own, total = [], 0
+    for value in values:
+        own.append(value or "")
+        total += len(own[-1])
+        if total >= size:
+            yield own
+            own, total = [], 0
+    if own:
+        yield own

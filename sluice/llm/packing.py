@@ -27,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import written
+from sluice.llm.common import runs, written
 
 LENGTH = 2048
 WINDOWS = 64
 #: Partitions whose leftovers one task merges.
 GROUP = 64
 #: Entries of a task's caches; a full cache is emptied, which costs time only.
-CACHE = 1 << 19
+CACHE = 1 << 20
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: Sequence ids of partition p begin at p << SHIFT.
 SHIFT = 36
@@ -46,33 +46,49 @@ class Words(dict):
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        if tokenizer.encode("a b\nc", add_special_tokens=False).ids != [i for w in "abc" for i in tokenizer.encode(w, add_special_tokens=False).ids]:
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        if self._ids("a b\nc") != [i for w in "abc" for i in self._ids(w)]:
             raise ValueError("the tokenizer's words are not independent")
-        self.encode = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        self.cores: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
+        self.model = self.tokenizer.model
+        # How the model spells the letters up to ÿ: a run of them is one word, and the model alone encodes it.
+        self.spelling = {c: "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c)))
+                         for c in range(128, 256) if chr(c).isalpha()}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self._ids(text), "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Add new words.  Letters part from punctuation and are lower-cased by the tokenizer, so variants of a
+        word share its letters' ids; all new runs of letters are encoded by one call."""
+        if len(self) + len(words) > CACHE:
             self.clear()
-        ids = self[word] = self.ids(word)
-        return ids
-
-    def ids(self, word: str) -> bytes:
-        core = word.strip(PUNCTUATION)
-        if not (core.isalpha() and max(core) <= "ÿ"):
-            return self.encode(word)
-        # Letters part from punctuation, and the tokenizer lower-cases: variants of a word share its ids.
-        at = word.index(core)
-        return b"".join([self.core(p) for p in (word[:at], core.lower(), word[at + len(core):]) if p])
-
-    def core(self, part: str) -> bytes:
-        ids = self.cores.get(part)
-        if ids is None:
-            if len(self.cores) >= CACHE:
-                self.cores.clear()
-            ids = self.cores[part] = self.encode(part)
-        return ids
+        if len(self.parts) + len(words) > CACHE:
+            self.parts = {"": b""}
+        parts = self.parts
+        for word in words:
+            core = word.strip(PUNCTUATION)
+            if not (core.isalpha() and max(core) <= "ÿ"):
+                self[word] = self.encode(word)
+                continue
+            letters = parts.get(low := core.lower())
+            if letters is None:
+                letters = parts[low] = self.encode_letters(low)
+            if core == word:
+                self[word] = letters
+                continue
+            before, after = word.split(core, 1)
+            for part in (before, after):
+                if part not in parts:
+                    parts[part] = self.encode(part)
+            self[word] = parts[before] + letters + parts[after]
+
+    def encode_letters(self, run: str) -> bytes:
+        spelled = run if run.isascii() else run.translate(self.spelling)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -80,8 +96,15 @@ def _words(tokenizer_file: str) -> Words:
     return Words(tokenizer_file)
 
 
-def document_ids(text: str, words: Words) -> bytes:
-    return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
+def documents_ids(texts: list[str], words: Words) -> list[bytes]:
+    """Ids of some documents; what words they have that are new is learned first."""
+    split = [text.replace("\n", " ").split(" ") for text in texts]
+    known = [list(map(words.get, own)) for own in split]
+    new = {word for own, ids in zip(split, known) if None in ids for word, i in zip(own, ids) if i is None}
+    if not new:
+        return list(map(b"".join, known))
+    words.learn(new)
+    return [b"".join(map(words.__getitem__, own) if None in ids else ids) for own, ids in zip(split, known)]
 
 
 class Packer:
@@ -162,8 +185,9 @@ def pack(df: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENG
         for batch in batches:
             rows: dict[str, list] = {n: [] for n in names[1:]}
             at = []
-            for k, value in enumerate(batch.column(1)):
-                ids = document_ids(value.as_py() or "", words) + end
+            every = (ids for own in runs(batch.column(1).to_pylist()) for ids in documents_ids(own, words))
+            for k, ids in enumerate(every):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, length):
                     n = min(length, total - start)
