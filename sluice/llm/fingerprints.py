@@ -6,10 +6,10 @@ Sums do not depend on order, and adding or taking away a paragraph adds or
 subtracts its vector, so a fingerprint is kept up to date without the text.
 
 ``WIDE`` lanes of 32 bits, hashed from the whole paragraph, decide equality.
-``SIGNS`` further lanes add +1 or -1 for every sentence, by one bit of its hash:
-their products estimate how many sentences two documents share, and from that
-their likeness (the cosine of the two sentence counts).  Two signs are counted
-in one 64-bit sum, ``FIELD`` bits apart.
+``SIGNS`` further lanes add +1 or -1 for every run of up to ``RUN`` words of a
+paragraph, by one bit of its hash: their products estimate how many runs two
+documents share, and from that their likeness (the cosine of the two counts of
+runs).  Two signs are counted in one 64-bit sum, ``FIELD`` bits apart.
 """
 
 from __future__ import annotations
@@ -23,20 +23,22 @@ WIDE = 16
 SIGNS = 64
 FIELD = 28
 _LOW = (1 << 32) - 1
-_SENTENCE_END = r"(?<=[.!?]) "
+#: Words of a run; a paragraph is cut into runs from its beginning.
+RUN = 8
+_RUNS = rf"(?:\S++\s*+){{1,{RUN}}}"
 _POSITION = 33
 
 
-def _lanes(paragraph: Column, sentence: Column, opens: Column) -> list[Column]:
-    """What a sentence adds to the sums of its document; its paragraph's lanes come with the first sentence."""
+def _lanes(paragraph: Column, run: Column, opens: Column) -> list[Column]:
+    """What a run adds to the sums of its document; its paragraph's lanes come with the first run."""
     counts = opens & (F.btrim(paragraph) != "")
     a, b = F.xxhash64(paragraph), F.xxhash64(F.lit(1), paragraph)
     lanes = []
     for j in range(WIDE // 2):
         h = F.xxhash64(a, b, F.lit(j))
         lanes += [F.when(counts, x).otherwise(0) for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(_LOW)))]
-    spoken = F.btrim(sentence) != ""
-    bits = F.xxhash64(F.lit(2), F.btrim(sentence))
+    spoken = F.btrim(run) != ""
+    bits = F.xxhash64(F.lit(2), F.btrim(run))
     for j in range(SIGNS // 2):
         low, high = (F.shiftrightunsigned(bits, k).bitwiseAND(F.lit(1)) for k in (j, j + SIGNS // 2))
         lanes.append(F.when(spoken, low + F.shiftleft(high, FIELD)).otherwise(0))
@@ -50,9 +52,9 @@ def fingerprint_lanes(df: DataFrame, keys: list[str], text_col: str) -> DataFram
     lanes of zero.  Where the rows are already partitioned by some of the keys, nothing is shuffled.
     """
     paragraphs = df.select(*keys, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("_paragraph"))
-    sentences = paragraphs.select(*keys, "_paragraph", F.posexplode(F.split("_paragraph", _SENTENCE_END)).alias("_at", "_sentence"))
-    lanes = _lanes(F.col("_paragraph"), F.col("_sentence"), F.col("_at") == 0)
-    sums = sentences.groupBy(*keys).agg(*[F.sum(x).alias(f"_{j}") for j, x in enumerate(lanes)])
+    runs = paragraphs.select(*keys, "_paragraph", F.posexplode_outer(F.regexp_extract_all("_paragraph", F.lit(_RUNS), 0)).alias("_at", "_run"))
+    lanes = _lanes(F.col("_paragraph"), F.col("_run"), F.col("_at") == 0)
+    sums = runs.groupBy(*keys).agg(*[F.sum(x).alias(f"_{j}") for j, x in enumerate(lanes)])
     n = F.col(f"_{len(lanes) - 1}")
     wide = F.array(*[F.col(f"_{j}").bitwiseAND(F.lit(_LOW)) for j in range(WIDE)])
     low = [F.col(f"_{WIDE + j}").bitwiseAND(F.lit((1 << FIELD) - 1)) for j in range(SIGNS // 2)]
@@ -73,7 +75,7 @@ def as_text(wide: Column, signs: Column) -> Column:
 
 
 def likeness(wide_a: Column, signs_a: Column, wide_b: Column, signs_b: Column) -> Column:
-    """1 for equal fingerprints, else the estimated cosine, within 0 and 1 (0 where a document has no sentence)."""
+    """1 for equal fingerprints, else the estimated cosine, within 0 and 1 (0 where a document has no words)."""
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
 
