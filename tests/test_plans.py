@@ -94,3 +94,17 @@ def test_hot_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_flattened_observations_reads_encounters_from_one_written_table(spark):
+    df, _ = plan_of(spark, "flattened_observations")
+    df.count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # orders is scanned once, by the write; both branches of the join read what it wrote.
+    assert "o_custkey" not in plan and plan.count("flat-enc") + plan.count("InMemoryFileIndex") >= 2
+
+
+def test_reconcile_runs_reads_each_input_once(spark):
+    df, _ = plan_of(spark, "reconcile_runs")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2  # task state and history
