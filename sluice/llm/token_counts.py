@@ -29,9 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from sluice.llm.common import runs
+
 SPACE = "\u2581"
-#: Entries of a task's caches; a full cache is emptied, which costs time only.
+#: Entries of a task's caches, half of them older ones: when the newer half is full the older is dropped, and an
+#: older word that comes again is new again.  This costs time only.
 CACHE = 1 << 20
+#: Longer words are worked out in one go.
+SHORT = 64
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]*")
 
 
@@ -56,6 +61,11 @@ class Pieces:
                 ends.setdefault(p[-2:], {1}).add(len(p))
         self.lengths = {e: sorted(n, reverse=True) for e, n in ends.items()}
         self.known = 0
+        #: Two characters that some piece has side by side.  A text can be cut between any others.
+        self.inside = {p[i:i + 2] for p in self.score for i in range(len(p) - 1)}
+        #: The last word and its state: the next one goes on from their common beginning.
+        self.word, self.count, self.last = "", [0], [""]
+        self.lines_part = not any("\n" in two for two in self.inside)
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by the model's own rule: best score first, leftmost of equals."""
@@ -81,8 +91,13 @@ class Pieces:
 
     def counts(self, word: str) -> list[int]:
         """Tokens of word[:0], word[:1], ..., word."""
-        count, last = [0], [""]
-        for i in range(1, len(word) + 1):
+        before, count, last = self.word, self.count, self.last
+        same, most = 0, min(len(word), len(before))
+        while same < most and word[same] == before[same]:
+            same += 1
+        del count[same + 1:], last[same + 1:]
+        self.word = word
+        for i in range(same + 1, len(word) + 1):
             for n in self.lengths.get(word[i - 2:i], (1,)) if i > 1 else (1,):
                 if n > i:
                     continue
@@ -107,11 +122,38 @@ class Words(dict):
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
+        #: The same for runs that no space goes before.
+        self.runs: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
+        if len(self) >= CACHE // 2:
+            self.old = dict(self)
             self.clear()
-        found = self[word] = np.diff(self.pieces.counts(SPACE + word)).astype(np.int8).tobytes()
+        if word in self.old:
+            found = self[word] = self.old[word]
+            return found
+        if "\n" in word and self.pieces.lines_part:
+            first, *rest = word.split("\n")
+            end = self.run("\n")
+            return self[first] + b"".join([end + self.run(r) for r in rest])
+        if 1 < len(word) <= SHORT and word[-2:] not in self.pieces.inside:
+            found = self[word[:-1]] + self.run(word[-1])
+        else:
+            found = np.diff(self.pieces.counts(SPACE + word)).astype(np.int8).tobytes()
+        self[word] = found
+        return found
+
+    def run(self, run: str) -> bytes:
+        found = self.runs.get(run)
+        if found is None:
+            if len(self.runs) >= CACHE:
+                self.runs = {"": b""}
+            if 1 < len(run) <= SHORT and run[-2:] not in self.pieces.inside:
+                found = self.run(run[:-1]) + self.run(run[-1])
+            else:
+                found = np.diff(self.pieces.counts(run)).astype(np.int8).tobytes()
+            self.runs[run] = found
         return found
 
 
@@ -120,19 +162,23 @@ def _words(model: str) -> Words:
     return Words(Pieces(model))
 
 
-def prefix_differences(text: str, words: Words) -> bytes:
-    """Differences of the counts of text[:0], text[:1], ..., text: one signed byte per code point."""
-    if not text:
-        return b""
+def _split(text: str) -> list[str]:
+    """The words of a text, each without the space before it."""
     text = text.replace(" ", SPACE)
     if SPACE + SPACE in text or text[0] == SPACE:
-        first, *rest = _WORDS.findall(SPACE + text)
-        found = b"".join(words[w[1:]] for w in (first, *rest) if w)
-    else:
-        found = b"".join(map(words.__getitem__, text.split(SPACE)))
+        return [w[1:] for w in _WORDS.findall(SPACE + text) if w]
+    return text.split(SPACE)
+
+
+def prefix_differences(texts: list[str], words: Words) -> list[bytes]:
+    """For each text, the differences of the counts of text[:0], text[:1], ..., text: a signed byte a code point."""
+    split = [_split(text) if text else [] for text in texts]
+    # New words in order, as the counts of one go on from those of its neighbour.
+    for word in sorted(set().union(*split).difference(words)):
+        words[word]
+    found = [b"".join(map(words.__getitem__, own)) for own in split]
     # The model puts a space before a text: it counts with the first character.
-    lead = np.frombuffer(found[:2], np.int8).sum(dtype=np.int8)
-    return lead.tobytes() + found[2:]
+    return [np.frombuffer(f[:2], np.int8).sum(dtype=np.int8).tobytes() + f[2:] if f else f for f in found]
 
 
 def prefix_counts(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
@@ -149,12 +195,11 @@ def prefix_counts(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
         words = _words(model)
         for batch in batches:
             sizes, totals, stores = [], [], []
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                store = prefix_differences(text, words)
-                sizes.append(len(text) if text.isascii() else len(text.encode()))
-                totals.append(int(np.frombuffer(store, np.int8).sum(dtype=np.int64)))
-                stores.append(store if keep_store else None)
+            for texts in runs(batch.column(1).to_pylist()):
+                for text, store in zip(texts, prefix_differences(texts, words)):
+                    sizes.append(len(text) if text.isascii() else len(text.encode()))
+                    totals.append(int(np.frombuffer(store, np.int8).sum(dtype=np.int64)))
+                    stores.append(store if keep_store else None)
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64())]
             columns += [pa.array(stores, pa.binary())] * keep_store
             yield pa.RecordBatch.from_arrays(columns, names=["id", *[f for f, _ in fields]])
