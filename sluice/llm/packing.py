@@ -33,7 +33,8 @@ LENGTH = 2048
 WINDOWS = 64
 #: Partitions whose leftovers one task merges.
 GROUP = 64
-#: Entries of a task's caches; a full cache is emptied, which costs time only.
+#: Entries of a task's caches, half of them older ones: when the newer half is full the older is dropped, and an
+#: older word that comes again is new again.  This costs time only.
 CACHE = 1 << 20
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: Sequence ids of partition p begin at p << SHIFT.
@@ -54,6 +55,8 @@ class Words(dict):
         self.spelling = {c: "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c)))
                          for c in range(128, 256) if chr(c).isalpha()}
         self.parts: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -64,19 +67,23 @@ class Words(dict):
     def learn(self, words: set[str]) -> None:
         """Add new words.  Letters part from punctuation and are lower-cased by the tokenizer, so variants of a
         word share its letters' ids; all new runs of letters are encoded by one call."""
-        if len(self) + len(words) > CACHE:
+        if len(self) + len(words) > CACHE // 2:
+            self.old = dict(self)
             self.clear()
-        if len(self.parts) + len(words) > CACHE:
-            self.parts = {"": b""}
-        parts = self.parts
+        if len(self.parts) + len(words) > CACHE // 2:
+            self.old_parts, self.parts = self.parts, {"": b""}
+        parts, old = self.parts, self.old
         for word in words:
+            if word in old:
+                self[word] = old[word]
+                continue
             core = word.strip(PUNCTUATION)
             if not (core.isalpha() and max(core) <= "ÿ"):
                 self[word] = self.encode(word)
                 continue
             letters = parts.get(low := core.lower())
             if letters is None:
-                letters = parts[low] = self.encode_letters(low)
+                letters = parts[low] = self.old_parts.get(low) or self.encode_letters(low)
             if core == word:
                 self[word] = letters
                 continue
@@ -104,7 +111,9 @@ def documents_ids(texts: list[str], words: Words) -> list[bytes]:
     if not new:
         return list(map(b"".join, known))
     words.learn(new)
-    return [b"".join(map(words.__getitem__, own) if None in ids else ids) for own, ids in zip(split, known)]
+    # What was known stays as it was found: learning may have emptied the cache.
+    return [b"".join([words[word] if i is None else i for word, i in zip(own, ids)] if None in ids else ids)
+            for own, ids in zip(split, known)]
 
 
 class Packer:

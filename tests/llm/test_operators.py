@@ -139,6 +139,22 @@ def test_packing_keeps_every_id_once(spark):
     assert {r.doc_id: r["count"] for r in repeated}[4] == 2
 
 
+@pytest.mark.parametrize("module", [packing, token_counts])
+def test_caches_that_fill_up_change_nothing(monkeypatch, module):
+    monkeypatch.setattr(module, "CACHE", 16)
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("The erth thou, and. whly\nEd of a b c d e f g h i j k l m n".split(" ")) for _ in range(30)) for _ in range(40)]
+    if module is packing:
+        words = packing.Words(WORD_BPE)
+        got = [ids for start in range(0, 40, 3) for ids in packing.documents_ids(texts[start:start + 3], words)]
+        assert got == [words.encode(t) for t in texts]
+    else:
+        words, plain = (token_counts.Words(token_counts.Pieces(PIECES)) for _ in range(2))
+        got = [d for start in range(0, 40, 3) for d in token_counts.prefix_differences(texts[start:start + 3], words)]
+        monkeypatch.setattr(module, "CACHE", 1 << 20)
+        assert got == token_counts.prefix_differences(texts, plain)
+
+
 # --- 4 byte-level BPE -----------------------------------------------------------
 
 def test_byte_bpe_round_trip(spark):
