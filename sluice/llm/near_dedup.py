@@ -44,7 +44,8 @@ SMALL = 16
 BLOCK = 1024
 #: Bits of the filter that says which documents' sets are wanted: fixed, so that it can go to every task.
 FILTER_BITS = 1 << 23
-CACHE = 1 << 20
+#: Words whose hashes a task keeps; a full cache is emptied, which costs time only.
+CACHE = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
