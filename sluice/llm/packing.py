@@ -35,7 +35,7 @@ WINDOWS = 64
 GROUP = 64
 #: Entries of a task's caches, half of them older ones: when the newer half is full the older is dropped, and an
 #: older word that comes again is new again.  This costs time only.
-CACHE = 1 << 20
+CACHE = 1 << 19
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: Sequence ids of partition p begin at p << SHIFT.
 SHIFT = 36
