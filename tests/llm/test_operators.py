@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -359,3 +360,33 @@ def test_toxicity_held_out_accuracy(spark):
     hits = {(r.toxic, r.predicted): r["count"] for r in scored.groupBy("toxic", "predicted").count().collect()}
     # A few per cent of the labels are noise.
     assert hits[1, 1] > 0.75 * (hits[1, 1] + hits[1, 0]) and hits.get((0, 1), 0) < 0.01 * (hits[0, 0] + hits.get((0, 1), 0))
+
+
+def test_toxicity_held_out_recall_of_each_language(spark):
+    sf = SF_SMALL.replace("0.001", "0.1")
+    scored = (queries.op10_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+              .join(queries.documents(spark, sf).select("doc_id", "lang"), "doc_id"))
+    got = {r.lang: r for r in scored.where("toxic = 1").groupBy("lang").agg(F.count("*").alias("n"), F.sum("predicted").alias("hits")).collect()}
+    assert set(got) == {"de", "en", "es", "fr"}
+    assert all(r.hits >= 0.85 * r.n for r in got.values()), got
+
+
+def test_toxicity_few_texts_give_a_model(spark):
+    model = queries.toxic_model(spark, SF_SMALL)
+    assert {"trash", "scum", "moron"} <= set(model)
+    assert toxicity.judge("some words and trash scum moron here", model)[0] > toxicity.THRESHOLD
+
+
+def test_toxicity_parts_of_words_and_their_chance():
+    parts = set(toxicity.parts("nasty"))
+    assert parts == {"na*", "nas*", "nast*", "*ty", "*sty", "*asty", "*as*", "*st*", "*ast*"}
+    rnd = random.Random(5)
+    for _ in range(300):
+        word = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 12)))
+        ranks = {t: i for i, t in enumerate(rnd.sample(sorted(ts), min(len(ts), 4)))} if (ts := {word, *toxicity.parts(word + "ab")}) else {}
+        own = [t for t in (word, *toxicity.parts(word)) if t in ranks]
+        assert toxicity.finder(ranks)(word) == min(own, key=ranks.get, default=None)
+    for toxic, clean, n1, n0 in ((4, 0, 9, 55), (3, 2, 10, 20), (7, 5, 8, 30), (1, 9, 10, 90)):
+        k, n = toxic + clean, n1 + n0
+        tail = sum(math.comb(n1, x) * math.comb(n0, k - x) for x in range(toxic, min(k, n1) + 1)) / math.comb(n, k)
+        assert math.exp(toxicity.chance(toxic, clean, n1, n0)) == pytest.approx(tail if toxic * n > k * n1 else 1.0)
