@@ -142,7 +142,7 @@ def _block_links(rows: pd.DataFrame, k: int, least: int) -> pd.DataFrame:
     li, ri = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
     if not len(li):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    inter = _overlaps([sets[0][i] for i in li], [sets[1][i] for i in ri])
+    inter = _overlaps([sets[0][i] for i in li], [sets[1][i] for i in ri]).astype(np.int64)  # float32 would round 100 * inter
     linked = maybe[np.ix_(li, ri)] & _similar(inter, sizes[0][li][:, None], sizes[1][ri][None, :])
     parent: dict[int, int] = {}
 

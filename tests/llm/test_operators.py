@@ -390,3 +390,12 @@ def test_toxicity_parts_of_words_and_their_chance():
         k, n = toxic + clean, n1 + n0
         tail = sum(math.comb(n1, x) * math.comb(n0, k - x) for x in range(toxic, min(k, n1) + 1)) / math.comb(n, k)
         assert math.exp(toxicity.chance(toxic, clean, n1, n0)) == pytest.approx(tail if toxic * n > k * n1 else 1.0)
+
+
+def test_near_dedup_links_exact_ties_of_large_sets_in_blocks():
+    import pandas as pd
+    m = 250_003  # 3 m of 4 m shingles are shared, and 100 * 3 m is not a float32
+    a = np.arange(875_010, dtype="<u8")
+    b = np.concatenate([np.arange(3 * m, dtype="<u8"), np.arange(10**6, 10**6 + 4 * m - len(a), dtype="<u8")])
+    rows = pd.DataFrame({"block": [0, 1], "low": [0, 0], "high": [1, 1], "id": [1, 2], "shingles": [a.tobytes(), b.tobytes()]})
+    assert len(near_dedup._block_links(rows, near_dedup.SKETCH, near_dedup.LEAST)) == 1
