@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from sluice.llm import exact_dedup as exact
-from sluice.llm import byte_bpe, chat, fingerprints, line_dedup, near_dedup, packing, sharding, token_counts, toxicity
+from sluice.llm import (byte_bpe, chat, fingerprints, language_id, line_dedup, merkle, near_dedup, packing, sharding,
+                        token_counts, toxicity, whitening)
 from sluice.llm.common import ascii_lower, documents
 
 SHARDS = 24
@@ -20,6 +21,7 @@ PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+COMPONENTS = 4
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +98,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("t.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("t.passages").alias("n_passages"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
+    found = docs.select("doc_id", language_id.predict(F.col("text"), model).alias("p"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model, error = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=COMPONENTS)
+    explained = F.array(*[F.lit(float(e / model.trace)) for e in model.values]).cast("array<double>")
+    each = rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+                       F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = merkle.manifest(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"],
+                          tampered={"n_chars": lambda n: n + 1}, where=F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+    return own.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
@@ -107,16 +131,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_language_id": op11_language_id,
+    "op12_whitening": op12_whitening,
+    "op13_merkle": op13_merkle,
 }
 
+
+def _part(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_part(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 #: Lower-casing A-Z only, as SQL.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 of the decimal doc_id, digit by digit; its table follows from the polynomial.
+_CRC = f"""xor(list_reduce(list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda ch: ascii(ch)::UBIGINT),
+    lambda c, v: xor(c >> 8, ([{', '.join(str(sharding._crc_entry(i)) for i in range(256))}]::UBIGINT[])[(xor(c, v) & 255)::BIGINT + 1]),
+    4294967295::UBIGINT), 4294967295::UBIGINT)"""
+
+#: Two trees by recursion, then every leaf's way up through both.
+_MERKLE = f"""WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf, {_leaf('(n_chars + 1)')} AS other FROM documents),
+    l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS cnt FROM d),
+    n AS (SELECT lang, 0 AS lvl, idx, leaf AS h, cnt FROM l
+        UNION ALL SELECT lang, lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (cnt + 1) // 2 FROM n WHERE cnt > 1 GROUP BY lang, lvl, idx // 2, cnt),
+    s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS cnt FROM n WHERE cnt = 1),
+    u AS (SELECT 0 AS lvl, idx, h, cnt FROM s
+        UNION ALL SELECT lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (cnt + 1) // 2 FROM u WHERE cnt > 1 GROUP BY lvl, idx // 2, cnt),
+    f AS (SELECT doc_id, lang, leaf, 0 AS lvl, idx, '' AS proof, CASE WHEN {_CRC} % 7 = 0 THEN other ELSE leaf END AS cur, cnt FROM l
+        UNION ALL SELECT f.doc_id, f.lang, f.leaf, f.lvl + 1, f.idx // 2, f.proof || coalesce(n.h, ''),
+            sha256(CASE WHEN f.idx % 2 = 0 THEN f.cur || coalesce(n.h, '') ELSE n.h || f.cur END), (f.cnt + 1) // 2
+            FROM f LEFT JOIN n ON n.lang IS NOT DISTINCT FROM f.lang AND n.lvl = f.lvl AND n.idx = xor(f.idx, 1) WHERE f.cnt > 1),
+    g AS (SELECT f.doc_id, f.leaf, s.h AS subroot, 0 AS lvl, s.idx, f.proof, f.cur, s.cnt FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.cnt = 1
+        UNION ALL SELECT g.doc_id, g.leaf, g.subroot, g.lvl + 1, g.idx // 2, g.proof || coalesce(u.h, ''),
+            sha256(CASE WHEN g.idx % 2 = 0 THEN g.cur || coalesce(u.h, '') ELSE u.h || g.cur END), (g.cnt + 1) // 2
+            FROM g LEFT JOIN u ON u.lvl = g.lvl AND u.idx = xor(g.idx, 1) WHERE g.cnt > 1)
+    SELECT g.doc_id, g.leaf, g.subroot, u.h AS root, sha256(g.proof) AS proof_sha256, g.cur AS folded_root, g.cur = u.h AS verified
+    FROM g JOIN u ON u.cnt = 1 WHERE g.cnt = 1"""
+
 ORACLE = {
     "op1_sharding": sharding.oracle_sql(sharding.tree(SHARDS)),
     "op8_exact_dedup": f"""WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
             doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op13_merkle": _MERKLE,
     "op9_line_dedup": """WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                 unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
         k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
