@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def runs(values: list[str | None], size: int = 1 << 19) -> Iterator[list[str]]:
-    """Texts in order, in lists of about ``size`` characters."""
+def runs(values: Iterable, size: int = 1 << 19) -> Iterator[list[str]]:
+    """Texts (or Arrow's scalars of them) in order, in lists of about ``size`` characters."""
     own, total = [], 0
     for value in values:
+        if not (value is None or isinstance(value, str)):
+            value = value.as_py()
         own.append(value or "")
         total += len(own[-1])
         if total >= size:
@@ -46,3 +49,15 @@ def runs(values: list[str | None], size: int = 1 << 19) -> Iterator[list[str]]:
             own, total = [], 0
     if own:
         yield own
+
+
+_KEPT: dict[str, Any] = {}
+
+
+def kept_in_worker(owner: str, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in a Python worker from task to task.  Workers outlive a stage: what another operator
+    kept is let go, so that the stages of one job do not add up."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = make()
+    return _KEPT[owner]

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import written
+from sluice.llm.common import kept_in_worker, written
 from sluice.llm.components import components
 
 WORDS = 5
@@ -57,9 +56,8 @@ class _Hashes(dict):
         return found
 
 
-@lru_cache(maxsize=1)
 def _hashes() -> _Hashes:
-    return _Hashes()
+    return kept_in_worker("near-dedup", _Hashes)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:

@@ -15,10 +15,9 @@ cache.
 
 from __future__ import annotations
 
-import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import runs, written
+from sluice.llm.common import kept_in_worker, runs, written
 
 LENGTH = 2048
 WINDOWS = 64
@@ -72,19 +71,26 @@ class Words(dict):
             self.clear()
         if len(self.parts) + len(words) > CACHE // 2:
             self.old_parts, self.parts = self.parts, {"": b""}
-        parts, old = self.parts, self.old
+        parts, old, strip = self.parts, self.old, PUNCTUATION
         for word in words:
             if word in old:
                 self[word] = old[word]
                 continue
-            core = word.strip(PUNCTUATION)
-            if not (core.isalpha() and max(core) <= "ÿ"):
+            if word.isalpha():
+                core = word
+            else:
+                core = word.strip(strip)
+                if not core.isalpha():
+                    self[word] = self.encode(word)
+                    continue
+            if not core.isascii() and max(core) > "ÿ":
                 self[word] = self.encode(word)
                 continue
-            letters = parts.get(low := core.lower())
+            low = core.lower()
+            letters = parts.get(low)
             if letters is None:
                 letters = parts[low] = self.old_parts.get(low) or self.encode_letters(low)
-            if core == word:
+            if core is word:
                 self[word] = letters
                 continue
             before, after = word.split(core, 1)
@@ -95,12 +101,11 @@ class Words(dict):
 
     def encode_letters(self, run: str) -> bytes:
         spelled = run if run.isascii() else run.translate(self.spelling)
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
 
-@lru_cache(maxsize=2)
 def _words(tokenizer_file: str) -> Words:
-    return Words(tokenizer_file)
+    return kept_in_worker(f"packing {tokenizer_file}", lambda: Words(tokenizer_file))
 
 
 def documents_ids(texts: list[str], words: Words) -> list[bytes]:
@@ -176,41 +181,44 @@ def _merge_rounds(left: DataFrame, partitions: int, length: int, windows: int, g
 
 
 def pack(df: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENGTH, windows: int = WINDOWS,
-         group: int = GROUP, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+         group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of a document: id, ``start`` and ``length`` in the document's ids, ``ids_crc32``,
-    ``doc_tokens``, ``sequence_id``, ``offset`` there and, if ``keep_ids``, the piece's ids (little-endian
-    unsigned 32-bit).
+    ``doc_tokens``, ``sequence_id``, ``offset`` there and ``ids``, the piece's ids (little-endian unsigned 32-bit).
 
     A document's ids end with ``end_id``; null text counts as empty, so such a document has that id alone.
     Repeated rows are packed as often as they come.  Other columns are not read.  An empty table gives no rows.
     """
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * keep_ids]
+    names = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(tokenizer_file)
         end = np.array([end_id], "<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId() << SHIFT, length, windows)
+
+        def batch_of(ids: pa.Array, rows: dict[str, list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids] + [pa.array(rows[n], pa.binary() if n == "ids" else pa.int64()) for n in names[1:]], names=names)
+
         for batch in batches:
-            rows: dict[str, list] = {n: [] for n in names[1:]}
-            at = []
-            every = (ids for own in runs(batch.column(1).to_pylist()) for ids in documents_ids(own, words))
-            for k, ids in enumerate(every):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    n = min(length, total - start)
-                    piece = ids[4 * start:4 * (start + n)]
-                    for name, v in zip(names[1:], (start, n, zlib.crc32(piece), total, *packer.place(n), piece)):
-                        rows[name].append(v)
-                    at.append(k)
-            columns = [batch.column(0).take(pa.array(at, pa.int64()))]
-            columns += [pa.array(rows[n], pa.binary() if n == "ids" else pa.int64()) for n in names[1:]]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            done = 0
+            # A run of texts at a time: a batch's ids are never held at once.
+            for own in runs(batch.column(1)):
+                rows: dict[str, list] = {n: [] for n in names[1:]}
+                at = []
+                for k, ids in enumerate(documents_ids(own, words), done):
+                    ids += end
+                    total = len(ids) // 4
+                    for start in range(0, total, length):
+                        n = min(length, total - start)
+                        for name, v in zip(names[1:], (start, n, total, *packer.place(n), ids[4 * start:4 * (start + n)])):
+                            rows[name].append(v)
+                        at.append(k)
+                done += len(own)
+                yield batch_of(batch.column(0).take(pa.array(at, pa.int64())), rows)
         # Which windows are left open, as rows without a document.
         blank = {n: [None] * len(packer.open) for n in names}
         blank |= {"sequence_id": [s for _, s in packer.open], "length": [length - r for r, _ in packer.open]}
-        yield pa.RecordBatch.from_arrays([pa.array(blank["id"], id_type)] + [pa.array(blank[n], pa.binary() if n == "ids" else pa.int64()) for n in names[1:]], names=names)
+        yield batch_of(pa.array(blank["id"], id_type), blank)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -224,6 +232,6 @@ def pack(df: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENG
     last = left.agg(F.max("sequence_id")).first()[0] or 0
     moves = _merge_rounds(left, 1 + (last >> SHIFT), length, windows, group)
     moved = pieces.join(moves.where("sequence_id <> target"), "sequence_id", "left")
-    return moved.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens",
+    return moved.select(F.col("id").alias(id_col), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                         F.coalesce("target", "sequence_id").alias("sequence_id"),
-                        (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"), *names[7:])
+                        (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"), "ids")

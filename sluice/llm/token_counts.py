@@ -19,8 +19,8 @@ one signed byte per code point.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from sluice.llm.common import runs
+from sluice.llm.common import kept_in_worker, runs
 
 SPACE = "\u2581"
 #: Entries of a task's caches, half of them older ones: when the newer half is full the older is dropped, and an
@@ -117,6 +117,11 @@ class Pieces:
         return count
 
 
+def _differences(counts: list[int]) -> bytes:
+    """As signed bytes; array refuses what is not one."""
+    return array("b", [b - a for a, b in zip(counts, counts[1:])]).tobytes()
+
+
 class Words(dict):
     """word without its space -> differences of the counts, one signed byte per code point and one for the space."""
 
@@ -140,7 +145,7 @@ class Words(dict):
         if 1 < len(word) <= SHORT and word[-2:] not in self.pieces.inside:
             found = self[word[:-1]] + self.run(word[-1])
         else:
-            found = np.diff(self.pieces.counts(SPACE + word)).astype(np.int8).tobytes()
+            found = _differences(self.pieces.counts(SPACE + word))
         self[word] = found
         return found
 
@@ -152,14 +157,13 @@ class Words(dict):
             if 1 < len(run) <= SHORT and run[-2:] not in self.pieces.inside:
                 found = self.run(run[:-1]) + self.run(run[-1])
             else:
-                found = np.diff(self.pieces.counts(run)).astype(np.int8).tobytes()
+                found = _differences(self.pieces.counts(run))
             self.runs[run] = found
         return found
 
 
-@lru_cache(maxsize=2)
 def _words(model: str) -> Words:
-    return Words(Pieces(model))
+    return kept_in_worker(f"token-counts {model}", lambda: Words(Pieces(model)))
 
 
 def _split(text: str) -> list[str]:
@@ -181,52 +185,53 @@ def prefix_differences(texts: list[str], words: Words) -> list[bytes]:
     return [np.frombuffer(f[:2], np.int8).sum(dtype=np.int8).tobytes() + f[2:] if f else f for f in found]
 
 
-def prefix_counts(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
-                  keep_store: bool = True) -> DataFrame:
-    """For every row: id, ``n_bytes`` (UTF-8), ``n_tokens`` and, if ``keep_store``, ``prefix_store``.
+def prefix_counts(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For every row: id, ``n_bytes`` (UTF-8), ``prefix_store``, which answers ``tokens_in`` and ``chars_within``, and
+    ``n_tokens``, the store's answer for the whole text.
 
     Null text counts as empty: no bytes, no tokens, an empty store.  Strings of special tokens are ordinary
     text, as in the library.  Rows are independent, so repeated rows give repeated results; other columns are
     not read; an empty table gives no rows.
     """
-    fields = [("n_bytes", pa.int64()), ("n_tokens", pa.int64()), *[("prefix_store", pa.binary())] * keep_store]
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(model)
         for batch in batches:
-            sizes, totals, stores = [], [], []
-            for texts in runs(batch.column(1).to_pylist()):
-                for text, store in zip(texts, prefix_differences(texts, words)):
-                    sizes.append(len(text) if text.isascii() else len(text.encode()))
-                    totals.append(int(np.frombuffer(store, np.int8).sum(dtype=np.int64)))
-                    stores.append(store if keep_store else None)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64())]
-            columns += [pa.array(stores, pa.binary())] * keep_store
-            yield pa.RecordBatch.from_arrays(columns, names=["id", *[f for f, _ in fields]])
+            done = 0
+            for texts in runs(batch.column(1)):
+                stores = prefix_differences(texts, words)
+                sizes = [len(text) if text.isascii() else len(text.encode()) for text in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), pa.array(sizes, pa.int64()), pa.array(stores, pa.binary())],
+                                                 names=["id", "n_bytes", "prefix_store"])
+                done += len(texts)
 
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    kinds = {"n_bytes": "long", "n_tokens": "long", "prefix_store": "binary"}
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, " + ", ".join(f"{f} {kinds[f]}" for f, _ in fields)
-    return docs.mapInArrow(count, schema).withColumnRenamed("id", id_col)
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, n_bytes long, prefix_store binary"
+    stored = docs.mapInArrow(count, schema)
+    return stored.select(F.col("id").alias(id_col), "n_bytes", tokens_in(F.col("prefix_store")).alias("n_tokens"), "prefix_store")
 
 
-def tokens_in(store: Column, n_chars: Column) -> Column:
-    """Tokens of the first ``n_chars`` code points (of the whole text where there are fewer)."""
+def tokens_in(store: Column, n_chars: Column | None = None) -> Column:
+    """Tokens of the first ``n_chars`` code points (of the whole text where there are fewer, or None is given).  A null
+    store or number gives null, a negative number 0."""
     @pandas_udf("long")
     def answer(stores: pd.Series, lengths: pd.Series) -> pd.Series:
-        return pd.Series([int(np.frombuffer(s, np.int8)[:max(n, 0)].sum(dtype=np.int64)) for s, n in zip(stores, lengths)], dtype="int64")
+        return pd.Series([None if s is None or pd.isna(n) else int(np.frombuffer(s, np.int8)[:max(int(n), 0)].sum(dtype=np.int64))
+                          for s, n in zip(stores, lengths)], dtype="Int64")
 
-    return answer(store, n_chars)
+    return answer(store, (F.octet_length(store) if n_chars is None else n_chars).cast("long"))
 
 
 def chars_within(store: Column, budget: Column) -> Column:
-    """Code points of the longest prefix of at most ``budget`` tokens."""
+    """Code points of the longest prefix of at most ``budget`` tokens; null where the store or the budget is null."""
     @pandas_udf("long")
     def answer(stores: pd.Series, budgets: pd.Series) -> pd.Series:
         found = []
         for s, b in zip(stores, budgets):
-            fits = np.flatnonzero(np.cumsum(np.frombuffer(s, np.int8), dtype=np.int64) <= b)
+            if s is None or pd.isna(b):
+                found.append(None)
+                continue
+            fits = np.flatnonzero(np.cumsum(np.frombuffer(s, np.int8), dtype=np.int64) <= int(b))
             found.append(int(fits[-1]) + 1 if len(fits) else 0)
-        return pd.Series(found, dtype="int64")
+        return pd.Series(found, dtype="Int64")
 
-    return answer(store, budget)
+    return answer(store, budget.cast("long"))
