@@ -1,12 +1,12 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Documents are gathered into blocks of bounded size, compressed, and dealt out.
-Every block names its distinct pre-tokens; these are shuffled by word, so that
-equal words of all blocks meet in one task, which encodes each once.  The ids go
-back to the block, whose texts are put together from them by the positions of
-the words.  Rows carry a block's words of one task as one compressed list, and
-positions stay within the block: what is shuffled is the texts once, compressed,
-and the distinct words of each block with their ids.
+Documents are gathered into blocks of bounded size.  A block's pre-tokens are
+found once: its distinct words go out by a hash of the word, and the documents
+keep the words' numbers by position.  Equal words of all blocks meet in one
+part, which encodes each once.  Their ids go back to the block, whose documents
+are put together from them by the positions.  Rows carry a block's words of one
+part as one compressed list: what is shuffled is the positions, and the distinct
+words of each block with their ids; no text.
 
 Decoding looks every id up in the vocabulary's token-byte table, which has a
 fixed size, and joins the bytes in order.
@@ -15,9 +15,9 @@ fixed size, and joins the bytes in order.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -27,15 +27,14 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from sluice.llm.common import shuffle_partitions
 
-#: Characters of a block, but for its last text.
-BLOCK_CHARS = 8 << 20
-#: Entries of a task's caches; a full cache is emptied, which costs time only.
-CACHE = 1 << 19
+#: Bytes of a block, but for its last text.
+BLOCK_BYTES = 4 << 20
 #: White space before a space: there, and only there, pre-tokens depend on more than one run of white space and
 #: what follows it.
 _RUNS = re.compile(r"\s ")
@@ -85,102 +84,95 @@ class Words:
         #: A word with the white space before it -> the numbers of its pre-tokens, as unsigned 32-bit integers.
         self.chunks: dict[str, bytes] = {}
 
-    def numbers(self, text: str) -> np.ndarray:
+    def numbers(self, text: str) -> bytes:
         if _RUNS.search(text):
-            found = self._numbers(text)
-        else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + c for c in rest]]
-            known = list(map(self.chunks.get, chunks))
-            if None in known:
-                for i, k in enumerate(known):
-                    if k is None:
-                        known[i] = self.chunks[chunks[i]] = self._numbers(chunks[i])
-            found = b"".join(known)
-        return np.frombuffer(found, "<u4")
+            return self._numbers(text)
+        first, *rest = text.split(" ")
+        chunks = [first, *[" " + c for c in rest]]
+        known = list(map(self.chunks.get, chunks))
+        if None in known:
+            for i, k in enumerate(known):
+                if k is None:
+                    known[i] = self.chunks[chunks[i]] = self._numbers(chunks[i])
+        return b"".join(known)
 
     def _numbers(self, text: str) -> bytes:
         number = self.number
-        return np.array([number.setdefault(w, len(number)) for w in self.find(text)], "<u4").tobytes()
+        return array("I", [number.setdefault(w, len(number)) for w in self.find(text)]).tobytes()
 
 
-def _blocks(df: DataFrame, block_chars: int) -> DataFrame:
-    """(block, payload): ids and compressed texts of consecutive rows."""
+def _blocks(df: DataFrame, pattern: str, parts: int, block_bytes: int) -> DataFrame:
+    """Rows of two kinds, by where they go (``goto``).  To a part (below zero): a block's distinct pre-tokens of the
+    part, packed in the order of their numbers.  To the block (its number): ids of consecutive rows, each one's number
+    of pre-tokens, and the part and place of every pre-token in order."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << _SHIFT
-        own: list[bytes] = []
+        words = Words(pattern)
+        found: list[bytes] = []
         at: list[pa.Array] = []
         size = 0
 
         def block() -> pa.RecordBatch:
-            ids = pa.chunked_array(at).combine_chunks() if at else pa.array([], id_type)
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(id_type)), pa.array([_pack(own)], pa.binary())],
-                                              names=["block", "ids", "texts"])
+            by_part: list[list[bytes]] = [[] for _ in range(parts)]
+            for word in words.number:
+                own = word.encode()
+                by_part[crc32(own) % parts].append(own)
+            some = [p for p in range(parts) if by_part[p]]
+            ids = pa.chunked_array(at).combine_chunks().to_pylist()
+            return pa.RecordBatch.from_arrays([
+                pa.array([-1 - p for p in some] + [number], pa.int64()), pa.array([number] * (len(some) + 1), pa.int64()),
+                pa.array([None] * len(some) + [ids], pa.list_(id_type)),
+                pa.array([_pack(by_part[p]) for p in some] + [_pack(found)], pa.binary()),
+                # Which part each distinct word went to, by its number.
+                pa.array([None] * len(some) + [_pack([np.array([crc32(w.encode()) % parts for w in words.number], "<u4").tobytes()])], pa.binary())],
+                names=["goto", "block", "ids", "payload", "dealt"])
 
         for batch in batches:
             for k, value in enumerate(batch.column(1)):
-                own.append((value.as_py() or "").encode("utf-8", "replace"))
+                text = value.as_py() or ""
+                found.append(words.numbers(text))
                 at.append(batch.column(0).slice(k, 1))
-                size += len(own[-1])
-                if size >= block_chars:
+                size += len(text)
+                if size >= block_bytes:
                     yield block()
-                    own, at, size, number = [], [], 0, number + 1
-        if own:
+                    words, found, at, size, number = Words(pattern), [], [], 0, number + 1
+        if found:
             yield block()
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = df.schema["id"].dataType
     id_type = to_arrow_type(kind)
-    return df.mapInArrow(gather, f"block long, ids array<{kind.simpleString()}>, texts binary")
+    return df.mapInArrow(gather, f"goto long, block long, ids array<{kind.simpleString()}>, payload binary, dealt binary")
 
 
-def _words_of(blocks: DataFrame, pattern: str, parts: int) -> DataFrame:
-    """(block, part, words): a block's distinct pre-tokens by a hash of the word, each part packed in order."""
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, texts in zip(batch.column(0).to_pylist(), batch.column(2)):
-                words = Words(pattern)
-                for text in _unpack(texts.as_py()):
-                    words.numbers(text.decode())
-                by_part: list[list[bytes]] = [[] for _ in range(parts)]
-                for word in words.number:
-                    own = word.encode()
-                    by_part[crc32(own) % parts].append(own)
-                some = [p for p in range(parts) if by_part[p]]
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int32()),
-                                                  pa.array([_pack(by_part[p]) for p in some], pa.binary())], names=["block", "part", "words"])
-
-    # All columns of the blocks, so that their shuffle is the same for both uses.
-    return blocks.mapInArrow(name, "block long, part int, words binary")
-
-
-def _encoded(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The ids of every word: equal words of all blocks are in one task, which encodes each once."""
+def _encoded(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
+    """The ids of every word, for its block: equal words of all blocks are in one part, which encodes each once."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
-        known: dict[bytes, bytes] = {}
+        part, known = None, {}
         for batch in batches:
-            out = []
-            for packed in batch.column(2):
-                ids = []
-                for word in _unpack(packed.as_py()):
-                    found = known.get(word)
-                    if found is None:
-                        if len(known) >= CACHE:
-                            known.clear()
-                        found = known[word] = np.array(encoder.encode_ordinary(word.decode()), "<u2" if encoder.n_vocab <= 1 << 16 else "<u4").tobytes()
-                    ids.append(found)
-                out.append(_pack(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "part", "ids"])
-
-    return words.repartition("part").mapInArrow(encode, "block long, part int, ids binary")
-
-
-def assembled(df: DataFrame, path: str, pattern: str, finish: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text",
-              block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Encode and decode every text, and apply ``finish(words, ids, decoded)`` to each document in its task, where
-    ``words`` are the positions' word numbers, ``ids`` a list of each word's ids and ``decoded`` of its bytes.
+            goto, block, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            for g, packed in zip(goto, batch.column(3)):
+                if g >= 0:  # a block's own row
+                    continue
+                if g != part:
+                    part, known = g, {}
+                words = _unpack(packed.as_py())
+                for word in words:
+                    if word not in known:
+                        known[word] = array("I", encoder.encode_ordinary(word.decode())).tobytes()
+                out.append(_pack([known[w] for w in words]))
+            own = [(b, -1 - g) for g, b in zip(goto, block) if g < 0]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in own], pa.int64()), pa.array([p for _, p in own], pa.int64()),
+                                              pa.array(out, pa.binary())], names=["goto", "part", "ids"])
+
+    # A part's rows lie together: its distinct words are all that a task holds.
+    return blocks.sortWithinPartitions("goto").mapInArrow(encode, "goto long, part long, ids binary")
+
+
+def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Every row's id with ``token_ids``: its ids as little-endian unsigned 32-bit integers.
 
     Null text counts as empty.  Every match of the pattern is encoded separately, without special tokens.  Rows
     are independent, so repeated rows give repeated results; other columns are not read; an empty table gives no
@@ -188,62 +180,46 @@ def assembled(df: DataFrame, path: str, pattern: str, finish: Callable, schema:
     """
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     parts = shuffle_partitions(df.sparkSession)
-    # Both uses read one shuffle of the blocks, so they see the same ones.
-    blocks = _blocks(docs, block_chars).repartition("block")
-    encoded = _encoded(_words_of(blocks, pattern, parts), path, pattern)
-    fields = ["id", *[f.split()[0] for f in schema.split(", ")]]
+    # Both uses read one shuffle, and whole rows of it, so that pre-tokens are found once.
+    blocks = _blocks(docs, pattern, parts, block_bytes).repartition("goto")
 
-    def assemble(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        table = token_bytes(path)
+    def assemble(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        own = own[own["goto"] >= 0]
         by_part = {p: iter(_unpack(i)) for p, i in zip(found["part"], found["ids"])}
-        rows: list[tuple] = []
-        for ids, packed in zip(texts["ids"], texts["texts"]):
-            words = Words(pattern)
-            positions = [words.numbers(t.decode()) for t in _unpack(packed)]
+        out: list[pd.DataFrame] = []
+        for ids, payload, dealt in zip(own["ids"], own["payload"], own["dealt"]):
             # A part's words came in the order of their numbers.
-            kind = "<u2" if len(table) <= 1 << 16 else "<u4"
-            own = [np.frombuffer(next(by_part[crc32(w.encode()) % parts]), kind).tolist() for w in words.number]
-            decoded = [b"".join([table[i] for i in word]) for word in own]
-            rows += [(i, *r) for i, r in zip(ids, finish(positions, own, decoded))]
-        return pd.DataFrame(rows, columns=fields)
+            words = [next(by_part[p]) for p in np.frombuffer(_unpack(dealt)[0], "<u4").tolist()]
+            size = np.fromiter(map(len, words), np.int64, len(words)) // 4
+            first = np.cumsum(size) - size
+            flat = np.frombuffer(b"".join(words), "<u4")
+            token_ids = []
+            for numbers in _unpack(payload):
+                at = np.frombuffer(numbers, "<u4")
+                ends = np.cumsum(size[at])
+                begin = np.repeat(first[at] - ends + size[at], size[at])
+                token_ids.append(flat[begin + np.arange(len(begin))].astype("<u4").tobytes())
+            out.append(pd.DataFrame({"id": ids, "token_ids": token_ids}))
+        return pd.concat(out) if out else pd.DataFrame({"id": [], "token_ids": []})
 
     kind = docs.schema["id"].dataType.simpleString()
-    return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(assemble, f"id {kind}, {schema}").withColumnRenamed("id", id_col)
-
-
-def encode(df: DataFrame, path: str, pattern: str, **columns) -> DataFrame:
-    """Every row's id with its token ids and the bytes they decode to."""
-    def finish(positions: list[np.ndarray], ids: list[list[int]], decoded: list[bytes]) -> Iterator[tuple]:
-        for p in positions:
-            own = p.tolist()
-            yield [i for w in own for i in ids[w]], b"".join([decoded[w] for w in own])
-
-    return assembled(df, path, pattern, finish, "token_ids array<int>, decoded binary", **columns)
-
-
-def encode_digests(df: DataFrame, path: str, pattern: str, **columns) -> DataFrame:
-    """Every row's id with ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas) and ``decoded_sha256``."""
-    def finish(positions: list[np.ndarray], ids: list[list[int]], decoded: list[bytes]) -> Iterator[tuple]:
-        sizes = np.array([len(i) for i in ids], np.int64)
-        decimal = [",".join(map(str, i)).encode() for i in ids]
-        for p in positions:
-            own = p.tolist()
-            yield (int(sizes[p].sum()) if len(own) else 0, hashlib.sha256(b",".join([decimal[w] for w in own])).hexdigest(),
-                   hashlib.sha256(b"".join([decoded[w] for w in own])).hexdigest())
+    joined = blocks.groupBy("goto").cogroup(_encoded(blocks, path, pattern).groupBy("goto"))
+    return joined.applyInPandas(assemble, f"id {kind}, token_ids binary").withColumnRenamed("id", id_col)
 
-    return assembled(df, path, pattern, finish, "n_tokens long, ids_sha256 string, decoded_sha256 string", **columns)
 
-
-def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
-    """Every row's id with ``decoded``: its token ids joined with the token-byte table, in order.
+def decoded(token_ids: Column, path: str) -> Column:
+    """The bytes of token ids (little-endian unsigned 32-bit integers), joined with the token-byte table in order.
 
     Null ids count as none; an id that the table doesn't have is an error.
     """
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @pandas_udf("binary")
+    def look_up(packed: pd.Series) -> pd.Series:
         table = token_bytes(path)
-        for batch in batches:
-            joined = [b"".join([table[i] for i in ids.as_py() or []]) for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(joined, pa.binary())], names=["id", "decoded"])
+        return pd.Series([b"".join(map(table.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())) for ids in packed])
 
-    own = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
-    return own.mapInArrow(look_up, f"id {own.schema['id'].dataType.simpleString()}, decoded binary").withColumnRenamed("id", id_col)
+    return look_up(token_ids)
+
+
+def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
+    """Every row's id with ``decoded``, the bytes of its token ids; other columns are not read."""
+    return df.select(F.col(f"`{id_col}`"), decoded(F.col(f"`{ids_col}`"), path).alias("decoded"))

@@ -162,16 +162,57 @@ def test_byte_bpe_round_trip(spark):
     encoder = byte_bpe._encoder(BYTE_BPE, public_tokenizers.PATTERN)
     rnd = random.Random(4)
     rows = AWKWARD + [(1000 + i, "".join(rnd.choice(["a", "bc", "'s", " ", "  ", "\n", "\t", "é", "1", "!", " ", "\x1c", " ", "字"]) for _ in range(20))) for i in range(200)]
-    encoded = byte_bpe.encode(awkward(spark, rows), BYTE_BPE, public_tokenizers.PATTERN, block_chars=20_000)
-    got = encoded.collect()
+    encoded = byte_bpe.encode(awkward(spark, rows), BYTE_BPE, public_tokenizers.PATTERN, block_bytes=20_000)
+    got = [(r.doc_id, np.frombuffer(r.token_ids, "<u4").tolist()) for r in encoded.collect()]
     key = lambda x: (x[0] is None, x[0] or 0, str(x[1]))
-    assert sorted(((r.doc_id, list(r.token_ids)) for r in got), key=key) == sorted(((i, encoder.encode_ordinary(t)) for i, t in pairs(rows)), key=key)
-    assert sorted(bytes(r.decoded).decode() for r in got) == sorted(t for _, t in pairs(rows))
+    assert sorted(got, key=key) == sorted(((i, encoder.encode_ordinary(t)) for i, t in pairs(rows)), key=key)
     assert sorted(bytes(r.decoded).decode() for r in byte_bpe.decode(encoded, BYTE_BPE).collect()) == sorted(t for _, t in pairs(rows))
     # The runs that texts are cut at match in any script.
     assert all(encoder.encode_ordinary(c + " a") == byte_bpe._encoder(BYTE_BPE, public_tokenizers.PATTERN).encode_ordinary(c + " a") for c in "\x1c\x85　")
 
 
+def test_registered_token_queries_against_the_libraries(spark):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    texts = {r.doc_id: r.text or "" for r in queries.documents(spark, SF_SMALL).collect()}
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    counts = {i: len(sp.encode(t)) for i, t in texts.items()}
+    got = queries.op2_token_counts(spark, SF_SMALL).collect()
+    assert {(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in got} == {(i, len(t.encode()), counts[i], counts[i] > 4096) for i, t in texts.items()}
+
+    words = Tokenizer.from_file(WORD_BPE)
+    ids = {i: words.encode(t, add_special_tokens=False).ids + [1] for i, t in texts.items()}
+    pieces = queries.op3_packing(spark, SF_SMALL).collect()
+    for r in pieces:
+        own = np.array(ids[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()
+        assert (r.ids_crc32, r.doc_tokens, len(own)) == (zlib.crc32(own), len(ids[r.doc_id]), 4 * r.length)
+    assert sum(r.length for r in pieces) == sum(map(len, ids.values())) and len({(r.doc_id, r.start) for r in pieces}) == len(pieces)
+
+    encoder = byte_bpe._encoder(BYTE_BPE, public_tokenizers.PATTERN)
+    want = set()
+    for i, t in texts.items():
+        own = encoder.encode_ordinary(t)
+        want.add((i, len(own), hashlib.sha256(",".join(map(str, own)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()))
+    got = queries.op4_byte_bpe(spark, SF_SMALL).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(texts)
+
+
+def test_registered_chat_query(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").orderBy("conv_id", "turn").collect()
+    chats = collections.defaultdict(list)
+    for r in rows:
+        chats[r.conv_id].append((r.role, r.text or ""))
+    chats[-1] = [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
+    got = {r.conv_id: r for r in queries.op5_chat_formatting(spark, SF_SMALL).collect()}
+    assert got.keys() == chats.keys()
+    for c, turns in chats.items():
+        said = "".join(t for role, t in turns if role == "assistant")
+        digest_of = hashlib.sha256("".join(f"{role}\n{t}\n" for role, t in turns).encode()).hexdigest()
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == (
+            len(turns), digest_of, len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
 # --- 5 chat formatting -----------------------------------------------------------
 
 def test_chat_reads_back_and_masks_assistant_texts(spark):
