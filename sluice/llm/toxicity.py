@@ -36,8 +36,6 @@ from sluice.llm.common import written
 
 #: Labelled rows to fit on, those of smallest hash; the only bound on what is read.
 SAMPLE = 20_000
-#: Tokens of a model at most, the surest.
-TOKENS = 4_096
 #: Tokens that may be picked by chance, of words and of parts each.
 FALSE = 0.05
 #: Characters of a part of a word, least and most.
@@ -135,7 +133,7 @@ def surest(counts: Iterable[tuple[str, int, int]], n1: int, n0: int, tested: dic
     return [f[-1] for f in sorted(found)]
 
 
-def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = TOKENS, id_col: str = "doc_id",
+def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic") -> dict[str, float]:
     """Token -> score, in the order in which a word takes its token.  Rows without an id, text or label do not count.
 
@@ -204,7 +202,7 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = TOKE
 
     def ranked(of: Callable[[], Callable[[str], Iterable[str]]]) -> dict[str, int]:
         picked = surest(((r.token, r.toxic, r.clean) for r in counting(of).collect()), n1, n0, tested)
-        return {t: i for i, t in enumerate(picked[:most])}
+        return {t: i for i, t in enumerate(picked)}
 
     def first_ones() -> Callable[[str], Iterable[str]]:
         find = finder(ranks)
@@ -233,7 +231,7 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = TOKE
     once = texts.mapInArrow(settings, "token string, left string, right string, toxic boolean, n long")
     once = once.groupBy("token", "left", "right", "toxic").agg(F.sum("n").alias("n"))
     each = F.when(F.col("token") == "", F.col("n")).otherwise(1)
-    # At most ``most`` tokens and the empty one: (toxic, clean) contexts of each.
+    # The picked tokens and the empty one: (toxic, clean) contexts of each.
     own = {r.token: (r.toxic, r.clean) for r in once.groupBy("token").agg(
         F.sum(F.when(F.col("toxic"), each).otherwise(0)).alias("toxic"),
         F.sum(F.when(~F.col("toxic"), each).otherwise(0)).alias("clean")).collect()}
