@@ -27,9 +27,8 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
 from sluice.llm.common import shuffle_partitions
 
@@ -172,7 +171,7 @@ def _encoded(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Every row's id with ``token_ids``: its ids as little-endian unsigned 32-bit integers.
+    """Every row's id with ``token_ids`` and ``decoded``, the bytes that they give by the token-byte table.
 
     Null text counts as empty.  Every match of the pattern is encoded separately, without special tokens.  Rows
     are independent, so repeated rows give repeated results; other columns are not read; an empty table gives no
@@ -186,40 +185,36 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     def assemble(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         own = own[own["goto"] >= 0]
         by_part = {p: iter(_unpack(i)) for p, i in zip(found["part"], found["ids"])}
-        out: list[pd.DataFrame] = []
+        table, rows = token_bytes(path), []
         for ids, payload, dealt in zip(own["ids"], own["payload"], own["dealt"]):
             # A part's words came in the order of their numbers.
             words = [next(by_part[p]) for p in np.frombuffer(_unpack(dealt)[0], "<u4").tolist()]
             size = np.fromiter(map(len, words), np.int64, len(words)) // 4
             first = np.cumsum(size) - size
             flat = np.frombuffer(b"".join(words), "<u4")
-            token_ids = []
-            for numbers in _unpack(payload):
+            texts = [b"".join(map(table.__getitem__, memoryview(w).cast("I"))) for w in words]
+            for i, numbers in zip(ids, _unpack(payload)):
                 at = np.frombuffer(numbers, "<u4")
                 ends = np.cumsum(size[at])
                 begin = np.repeat(first[at] - ends + size[at], size[at])
-                token_ids.append(flat[begin + np.arange(len(begin))].astype("<u4").tobytes())
-            out.append(pd.DataFrame({"id": ids, "token_ids": token_ids}))
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "token_ids": []})
+                rows.append((i, flat[begin + np.arange(len(begin))].astype(np.int32), b"".join(map(texts.__getitem__, at.tolist()))))
+        return pd.DataFrame(rows, columns=["id", "token_ids", "decoded"])
 
     kind = docs.schema["id"].dataType.simpleString()
     joined = blocks.groupBy("goto").cogroup(_encoded(blocks, path, pattern).groupBy("goto"))
-    return joined.applyInPandas(assemble, f"id {kind}, token_ids binary").withColumnRenamed("id", id_col)
+    return joined.applyInPandas(assemble, f"id {kind}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
-def decoded(token_ids: Column, path: str) -> Column:
-    """The bytes of token ids (little-endian unsigned 32-bit integers), joined with the token-byte table in order.
+def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
+    """Every row's id with ``decoded``: its token ids joined with the token-byte table, in order.
 
     Null ids count as none; an id that the table doesn't have is an error.
     """
-    @pandas_udf("binary")
-    def look_up(packed: pd.Series) -> pd.Series:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
-        return pd.Series([b"".join(map(table.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())) for ids in packed])
-
-    return look_up(token_ids)
-
+        for batch in batches:
+            joined = [b"".join([table[i] for i in ids.as_py() or []]) for ids in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(joined, pa.binary())], names=["id", "decoded"])
 
-def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
-    """Every row's id with ``decoded``, the bytes of its token ids; other columns are not read."""
-    return df.select(F.col(f"`{id_col}`"), decoded(F.col(f"`{ids_col}`"), path).alias("decoded"))
+    own = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
+    return own.mapInArrow(look_up, f"id {own.schema['id'].dataType.simpleString()}, decoded binary").withColumnRenamed("id", id_col)

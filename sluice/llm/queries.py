@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,19 +38,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE)).drop("ids")
 
 
-def _ids_digests(packed: pd.Series) -> pd.DataFrame:
-    """What the operator's ids say: how many they are, and the digest of their decimals."""
-    rows = [np.frombuffer(ids, "<u4").tolist() for ids in packed]
-    return pd.DataFrame({"n_tokens": [len(r) for r in rows], "ids_sha256": [hashlib.sha256(repr(r)[1:-1].replace(" ", "").encode()).hexdigest() for r in rows]})
-
-
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(BYTE_BPE)
-    encoded = byte_bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
-    digests = pandas_udf(_ids_digests, "n_tokens long, ids_sha256 string")
-    decoded = byte_bpe.decoded(F.col("token_ids"), path)
-    return encoded.select("doc_id", digests("token_ids").alias("d"), F.sha2(decoded, 256).alias("decoded_sha256")).select(
-        "doc_id", "d.*", "decoded_sha256")
+    encoded = byte_bpe.encode(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    decimal = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return encoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def _read_back(formatted: pd.Series, masks: pd.Series) -> pd.DataFrame:
