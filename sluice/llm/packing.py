@@ -34,7 +34,7 @@ WINDOWS = 64
 GROUP = 64
 #: Entries of a task's caches, half of them older ones: when the newer half is full the older is dropped, and an
 #: older word that comes again is new again.  This costs time only.
-CACHE = 1 << 19
+CACHE = 1 << 20
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: Sequence ids of partition p begin at p << SHIFT.
 SHIFT = 36
@@ -43,9 +43,10 @@ SHIFT = 36
 class Words(dict):
     """word -> its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
+        self.most = cache // 2
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         if self._ids("a b\nc") != [i for w in "abc" for i in self._ids(w)]:
             raise ValueError("the tokenizer's words are not independent")
@@ -66,10 +67,10 @@ class Words(dict):
     def learn(self, words: set[str]) -> None:
         """Add new words.  Letters part from punctuation and are lower-cased by the tokenizer, so variants of a
         word share its letters' ids; all new runs of letters are encoded by one call."""
-        if len(self) + len(words) > CACHE // 2:
+        if len(self) + len(words) > self.most:
             self.old = dict(self)
             self.clear()
-        if len(self.parts) + len(words) > CACHE // 2:
+        if len(self.parts) + len(words) > self.most:
             self.old_parts, self.parts = self.parts, {"": b""}
         parts, old, strip = self.parts, self.old, PUNCTUATION
         for word in words:
@@ -104,13 +105,24 @@ class Words(dict):
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
 
-def _words(tokenizer_file: str) -> Words:
-    return kept_in_worker(f"packing {tokenizer_file}", lambda: Words(tokenizer_file))
+def _words(tokenizer_file: str, cache: int) -> Words:
+    return kept_in_worker(f"packing {cache} {tokenizer_file}", lambda: Words(tokenizer_file, cache))
+
+
+def _lowered(text: str) -> str:
+    """In lower case, as the tokenizer writes words: one word instead of its variants.  Beyond Latin-1, where letters
+    depend on what is around them, the text stays as it is."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
 
 
 def documents_ids(texts: list[str], words: Words) -> list[bytes]:
     """Ids of some documents; what words they have that are new is learned first."""
-    split = [text.replace("\n", " ").split(" ") for text in texts]
+    split = [_lowered(text).replace("\n", " ").split(" ") for text in texts]
     known = [list(map(words.get, own)) for own in split]
     new = {word for own, ids in zip(split, known) if None in ids for word, i in zip(own, ids) if i is None}
     if not new:
@@ -181,7 +193,7 @@ def _merge_rounds(left: DataFrame, partitions: int, length: int, windows: int, g
 
 
 def pack(df: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENGTH, windows: int = WINDOWS,
-         group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         group: int = GROUP, id_col: str = "doc_id", text_col: str = "text", cache: int = CACHE) -> DataFrame:
     """One row per piece of a document: id, ``start`` and ``length`` in the document's ids, ``ids_crc32``,
     ``doc_tokens``, ``sequence_id``, ``offset`` there and ``ids``, the piece's ids (little-endian unsigned 32-bit).
 
@@ -192,7 +204,7 @@ def pack(df: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENG
     names = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(tokenizer_file)
+        words = _words(tokenizer_file, cache)
         end = np.array([end_id], "<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId() << SHIFT, length, windows)
 
