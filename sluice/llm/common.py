@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,5 +60,6 @@ def kept_in_worker(owner: str, make: Callable[[], Any]) -> Any:
     kept is let go, so that the stages of one job do not add up."""
     if owner not in _KEPT:
         _KEPT.clear()
+        pa.default_memory_pool().release_unused()
         _KEPT[owner] = make()
     return _KEPT[owner]

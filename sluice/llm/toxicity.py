@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from sluice.llm.common import written
+from sluice.llm.common import kept_in_worker, written
 
 #: Labelled rows to fit on, those of smallest hash; the only bound on what is read.
 SAMPLE = 20_000
@@ -47,8 +47,8 @@ PRIOR = 0.05
 THRESHOLD = 0.3
 _TOKEN = re.compile(r"[^\W_]+")
 #: Rows of counts that a task holds before it passes them on, and words that it remembers.
-_HELD = 1 << 18
-_WORDS = 1 << 16
+_HELD = 1 << 17
+_WORDS = 1 << 15
 
 RESULT = "score double, passages array<struct<first:long,last:long,score:double>>"
 
@@ -155,6 +155,7 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "d
     def counting(of: Callable[[], Callable[[str], Iterable[str]]]) -> DataFrame:
         """Texts with each token, of those that ``of()`` gives for a word."""
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept_in_worker("toxicity", dict)
             get, found = of(), (Counter(), Counter())
 
             def rows() -> pa.RecordBatch:
@@ -163,8 +164,8 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "d
                                                   pa.schema([("token", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]))
 
             for batch in batches:
-                for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    found[toxic].update({t for w in set(tokens(text)) for t in get(w)})
+                for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                    found[toxic].update({t for w in set(tokens(text.as_py())) for t in get(w)})
                     if len(found[0]) + len(found[1]) >= _HELD:
                         yield rows()
                         found = (Counter(), Counter())
@@ -220,8 +221,8 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "d
         find = finder(ranks)
         for batch in batches:
             rows, rest = set(), [0, 0]
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = ["", *tokens(text), ""]
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = ["", *tokens(text.as_py()), ""]
                 at = [(i, t) for i, w in enumerate(words) if (t := find(w))]
                 rows.update((t, words[i - 1], words[i + 1], toxic) for i, t in at)
                 rest[toxic] += len(words) - 2 - len(at)
@@ -290,6 +291,7 @@ def toxicity(text: Column, model: dict[str, float]) -> Column:
     """
     @pandas_udf(RESULT)
     def judged(texts: pd.Series) -> pd.DataFrame:
+        kept_in_worker("toxicity", dict)
         find = finder({t: i for i, t in enumerate(model)})
         found = [judge(t, model, find) for t in texts]
         return pd.DataFrame({"score": [s for s, _ in found],
