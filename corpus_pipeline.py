@@ -17,6 +17,10 @@ from sluice.llm import packing, toxicity
 from sluice.llm.common import documents, written
 from sluice.llm.queries import WORD_BPE, toxic_model
 
+#: Words whose ids a worker of the packing stage keeps: fewer than packing alone does, as the stages before it have
+#: left their memory behind.
+WORDS = 1 << 18
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold stay; repeated rows are judged alike."""
@@ -39,7 +43,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their ids, in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path(WORD_BPE))
+    return packing.pack(docs, public_tokenizers.path(WORD_BPE), cache=WORDS)
 
 
 STAGES = [("toxicity", toxicity_stage), ("exact dedup", exact_stage), ("near dedup", near_stage), ("packing", packing_stage)]
