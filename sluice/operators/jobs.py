@@ -27,13 +27,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
-from sluice.operators.naming import obs_name as _obs_name
+from sluice.operators.naming import obs_name as _obs_name, observed_values
 from sluice.operators import metadata as md
 from sluice.operators.sinks import (append, hash_bucket, positional_bind, range_bucket, upsert, upsert_bucketed,
                                     write_clustered)
-from sluice.operators.storage import BucketedTable, VersionedTable
+from sluice.operators.storage import BucketedTable, VersionedTable, path_exists, read_text, write_text
+from sluice.operators.batches import batch_bounds, bound_value
 from sluice.functions import exprs as X
 from sluice.plans.history import apply_status_updates, log_executions
 from sluice.sources.extract import extract, watermark_literal
@@ -45,6 +46,13 @@ RUNS_SCHEMA = StructType([
     StructField("watermark", TimestampNTZType()),
     StructField("rows", LongType()),
     StructField("status", StringType()),
+    # The watermark that the run reached: written with its completion, in one commit.
+    StructField("source_table", StringType()),
+    StructField("target_table", StringType()),
+    StructField("incremental_field", StringType()),
+    StructField("max_value", StringType()),
+    StructField("max_timestamp", TimestampNTZType()),
+    StructField("serial", LongType()),
 ])
 
 
@@ -89,7 +97,7 @@ class Workspace:
         jobs run inside, and write each state table once on exit (also when a
         job fails, so finished jobs stay recorded)."""
         with self._state_lock:
-            self._pending = {"loads": [], "marks": [], "done": []}
+            self._pending = {"loads": [], "done": []}
         try:
             yield self
         finally:
@@ -106,12 +114,48 @@ class Workspace:
                 counts = self.spark.createDataFrame(last_by(pending["loads"], lambda r: r[0]),
                                                     "table_name string, record_count bigint")
                 self.meta.commit(md.load_metadata_upsert(self.meta.read(), counts, self.now, delta_small=True))
-            if pending["marks"]:
-                loaded = self.spark.createDataFrame(last_by(pending["marks"], lambda r: (r[0], r[1])), MARKS_DDL)
-                self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now,
-                                                            delta_small=True))
             if pending["done"]:
-                append(self.runs, self.spark.createDataFrame(pending["done"], RUNS_SCHEMA))
+                self._complete(pending["done"])
+
+    def _complete(self, done: list[tuple]) -> None:
+        """Completion rows, each with the watermark that its run reached, become visible by one commit; the watermark
+        table follows, and ``catch_up`` brings it up to date if that fails."""
+        self.runs.append(self.spark.createDataFrame(done, RUNS_SCHEMA))
+        self._advance({(d[5], d[6]): d[5:10] for d in done if d[8] is not None}, max(d[10] for d in done))
+
+    def _advance(self, marks: dict, serial: int) -> None:
+        if marks:
+            loaded = self.spark.createDataFrame(list(marks.values()), MARKS_DDL)
+            self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now, delta_small=True))
+        write_text(self.spark, f"{self.root}/state/marked", str(serial))
+
+    def catch_up(self) -> None:
+        """Write the watermarks of completed runs whose completion was the last thing that was written: a row a
+        source and target.  Others, and what was set by hand since, stay."""
+        path = f"{self.root}/state/marked"
+        with self._state_lock:
+            if self._pending is not None and self._pending["done"]:
+                return
+            marked = int(read_text(self.spark, path)) if path_exists(self.spark, path) else 0
+            late = self.runs.read().where(F.col("serial") > marked)
+            names = ["source_table", "target_table", "incremental_field", "max_value", "max_timestamp"]
+            last = (late.where(F.col("max_value").isNotNull()).groupBy(*names[:2])
+                    .agg(F.max_by(F.struct(*names), "serial").alias("m")).select("m.*").collect())
+            if last:
+                self._advance({(r[0], r[1]): tuple(r) for r in last}, late.agg(F.max("serial")).first()[0])
+
+    def serial(self) -> int:
+        """Number of the next completion row: what is not completed yet has this number again when it is retried."""
+        with self._state_lock:
+            last = self.runs.read().agg(F.max("serial")).first()[0] or 0
+            return last + 1 + (len(self._pending["done"]) if self._pending is not None else 0)
+
+    def attempt(self, job: str) -> str:
+        """The identity of a run: the job and how often it was completed before.  A run that failed, at any point, has
+        the same one when it is tried again."""
+        with self._state_lock:
+            done = self.runs.read().where(F.col("job") == job).count()
+            return f"{job}#{done + sum(d[0] == job for d in (self._pending or {}).get('done', []))}"
 
     def target(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/targets/{name}")
@@ -139,18 +183,6 @@ class Workspace:
         with self._state_lock:
             self.meta.commit(md.task_status_upsert(self.meta.read(), upd, self.now, delta_small=True))
 
-    def advance_watermark(self, source: str, target: str, fld: str, max_value) -> None:
-        """``max_value`` of any type: stored as text, and as a timestamp where it is a date or time."""
-        stamp = _midnight(max_value) if isinstance(max_value, dt.date) else None
-        mark = (source, target, fld, str(max_value), stamp and stamp.replace(tzinfo=None))
-        with self._state_lock:
-            if self._pending is not None:
-                self._pending["marks"].append(mark)
-                return
-        loaded = self.spark.createDataFrame([mark], MARKS_DDL)
-        with self._state_lock:
-            self.watermarks.commit(md.watermark_advance(self.watermarks.read(), loaded, self.now, delta_small=True))
-
     def stored_watermark(self, source: str, target: str):
         """The stored time, or the stored text of a value of another type."""
         row = (self.watermarks.read()
@@ -159,7 +191,9 @@ class Workspace:
                .select("last_processed_timestamp", "last_processed_value").limit(1).collect())
         if not row:
             return None
-        return row[0][1] if row[0][0] is None else row[0][0]
+        stamp, text = row[0]
+        # A point in time is read back as such, whatever the session's zone is.
+        return text if stamp is None or (text or "").endswith("Z") else stamp
 
     def recovered(self, jobs: list[str]) -> None:
         """Jobs that succeeded now are no longer recorded as failed."""
@@ -188,15 +222,24 @@ class Workspace:
                                             "id long, status string, end_epoch double, success boolean, result string")
         self.history.commit(apply_status_updates(self.history.read(), update, self.now))
 
-    def mark_done(self, job: str, mode: str, watermark, rows: int | None) -> None:
+    def mark_done(self, job: str, mode: str, watermark, rows: int | None, reached: tuple | None = None) -> None:
+        """``reached``: (source, target, field, value) of the watermark that the run's rows reach, if any."""
         watermark = _midnight(watermark) if isinstance(watermark, dt.date) else None
+        mark = (None,) * 5
+        if reached:
+            source, target, fld, value = reached
+            stamp = _midnight(value) if isinstance(value, dt.date) else None
+            text = str(value)
+            if stamp is not None and stamp.tzinfo is not None:
+                stamp = stamp.astimezone(dt.timezone.utc).replace(tzinfo=None)
+                text = f"{stamp.isoformat()}Z"
+            mark = (source, target, fld, text, stamp)
         with self._state_lock:
+            done = (job, mode, watermark, rows, "completed", *mark, self.serial())
             if self._pending is not None:
-                self._pending["done"].append((job, mode, watermark, rows, "completed"))
-                return
-        done = self.spark.createDataFrame([(job, mode, watermark, rows, "completed")], RUNS_SCHEMA)
-        with self._state_lock:
-            append(self.runs, done)
+                self._pending["done"].append(done)
+            else:
+                self._complete([done])
 
 
 def _bucket_of(spec: dict):
@@ -206,7 +249,24 @@ def _bucket_of(spec: dict):
     return range_bucket(b["column"], b["width"])
 
 
-def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str, refresh: bool = True) -> tuple[int, object]:
+def _max_of(fld: str, rows: DataFrame):
+    """The largest value as text, or as microseconds where it is a point in time: neither depends on a zone."""
+    c = F.col(fld)
+    return F.max(F.unix_micros(c)) if rows.schema[fld].dataType == TimestampType() else F.max(c).cast("string")
+
+
+def _value(text, kind) -> object:
+    """What ``_max_of`` found, as a Python value: dates and times as such, other types as text."""
+    if text is None:
+        return None
+    if kind == TimestampType():
+        return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=text)
+    if kind == DateType():
+        return dt.date.fromisoformat(text)
+    return dt.datetime.fromisoformat(text) if kind == TimestampNTZType() else text
+
+
+def _write(ws: Workspace, name: str, spec: dict, rows: DataFrame, mode: str, refresh: bool = True) -> tuple[int, object]:
     """Shared write path of extract_load and load: returns (rows, max incremental value).
 
     The source runs once, in the write itself; a write of no rows is not
@@ -218,7 +278,7 @@ def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str, refresh: bool
     obs = Observation(_obs_name(f"load_{spec['target_table']}"))
     metrics = [F.count(F.lit(1)).alias("rows")]
     if fld:
-        metrics.append(F.max(F.col(fld)).alias("max_value"))
+        metrics.append(_max_of(fld, rows).alias("max_value"))
     observed = rows.observe(obs, *metrics)
     plain = observed.drop(POSITION)
     keys = spec.get("merge_key")
@@ -234,9 +294,9 @@ def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str, refresh: bool
         elif keys:
             upsert_bucketed(bt, observed, keys, order=order, **partial)
         elif bt.exists():
-            bt.append(bt.with_bucket(plain))
+            bt.append(bt.with_bucket(plain), ws.attempt(name))
         else:
-            bt.refresh(bt.with_bucket(plain), skip_empty=True)
+            bt.refresh(bt.with_bucket(plain), skip_empty=True, run=ws.attempt(name))
         bt.vacuum()
     else:
         target = ws.target(spec["target_table"])
@@ -245,9 +305,9 @@ def _write(ws: Workspace, spec: dict, rows: DataFrame, mode: str, refresh: bool
         elif keys:
             upsert(target, observed, keys, order=order, **partial)
         else:
-            append(target, plain)
-    got = obs.get
-    return int(got["rows"]), got.get("max_value")
+            append(target, plain, ws.attempt(name))
+    got = observed_values(obs)
+    return int(got.get("rows", 0)), _value(got.get("max_value"), rows.schema[fld].dataType if fld else None)
 
 
 def _finish(ws: Workspace, name: str, spec: dict, mode: str, last_updated, n: int, mx) -> JobResult:
@@ -255,9 +315,8 @@ def _finish(ws: Workspace, name: str, spec: dict, mode: str, last_updated, n: in
     fld = spec.get("incremental_field")
     if n:
         ws.record_load(spec["target_table"], n)
-        if fld and mx is not None:
-            ws.advance_watermark(spec.get("source_table", name), spec["target_table"], fld, mx)
-    ws.mark_done(name, mode, last_updated, n)
+    reached = (spec.get("source_table", name), spec["target_table"], fld, mx) if n and fld and mx is not None else None
+    ws.mark_done(name, mode, last_updated, n, reached)
     return JobResult(name, "completed" if n else "no_data", n, mx)
 
 
@@ -274,16 +333,31 @@ def run_extract_load(ws: Workspace, name: str, spec: dict, mode: str, last_updat
     incremental = mode == "incremental"
     bound = last_updated
     if incremental and bound is None and fld and spec.get("use_stored_watermark", True):
+        ws.catch_up()
         bound = ws.stored_watermark(spec.get("source_table", name), spec["target_table"])
     args = None
     if ":last_updated" in spec["query"]:
         # An author-placed marker: the query filters by itself.
         args = {"last_updated": watermark_literal(FIRST_TIME if bound is None or not incremental else bound)}
     rows = extract(ws.spark.sql(spec["query"], args=args), incremental and args is None, fld, bound)
-    if spec.get("target_schema"):
-        rows = positional_bind(rows, StructType.fromDDL(spec["target_schema"]))
-    n, mx = _write(ws, spec, rows, mode)
-    return _finish(ws, name, spec, mode, last_updated, n, mx)
+
+    def load(some: DataFrame) -> JobResult:
+        if spec.get("target_schema"):
+            some = positional_bind(some, StructType.fromDDL(spec["target_schema"]))
+        n, mx = _write(ws, name, spec, some, mode)
+        return _finish(ws, name, spec, mode, last_updated, n, mx)
+
+    if not (incremental and fld and spec.get("batch_size")):
+        return load(rows)
+    # Each batch is a run of its own, with its completion and watermark: a retry goes on with the first one that is
+    # not complete.  Rows without a value are never past a watermark and come with the first batch.
+    total, last = 0, None
+    kind = rows.schema[fld].dataType
+    for b in batch_bounds(rows, fld, spec["batch_size"]).orderBy("batch").toLocalIterator():
+        within = F.col(fld).isNull() if b.high is None else F.col(fld).between(bound_value(b.low, kind), bound_value(b.high, kind))
+        done = load(rows.where(within))
+        total, last = total + done.rows, done
+    return JobResult(name, "completed", total, last.max_value) if total else load(rows.where("false"))
 
 
 def run_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None) -> JobResult:
@@ -304,7 +378,7 @@ def run_load(ws: Workspace, name: str, spec: dict, mode: str, last_updated=None)
                 *[F.col(f.name).cast(f.dataType).alias(f.name) for f in bound.schema.fields], POSITION)
         else:
             rows = bound
-    n, _ = _write(ws, spec, rows, mode, refresh=False)
+    n, _ = _write(ws, name, spec, rows, mode, refresh=False)
     return _finish(ws, name, {**spec, "incremental_field": None}, mode, last_updated, n, None)
 
 
@@ -365,9 +439,6 @@ def run_summary(ws: Workspace, name: str, spec: dict, mode: str, last_updated=No
     return JobResult(name, "completed", n)
 
 
-#: Characters of an error that are kept.
-ERROR_CHARS = 2000
-
 JOB_TYPES = {
     "schema": run_schema,
     "extract_load": run_extract_load,
@@ -388,7 +459,7 @@ def run_job(ws: Workspace, name: str, spec: dict, mode: str = "full", last_updat
     try:
         return fn(ws, name, spec, mode, last_updated)
     except Exception as e:
-        ws.record_status(name, "failed", str(e)[:ERROR_CHARS])
+        ws.record_status(name, "failed", str(e))
         raise
 
 
@@ -435,7 +506,7 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from sluice.plans.lineage import dependency_levels, resolve_edges
+    from sluice.plans.lineage import dependency_closure, dependency_cycles, dependency_levels, resolve_edges
 
     jobs = catalogue.select(F.col("task").alias("job"))
     edges = resolve_edges(catalogue.select(F.col("task").alias("job"),
@@ -456,7 +527,10 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
             .select("job", "level", F.to_json("spec").alias("spec")).orderBy("level", "job").collect())
     blocked = [r.job for r in plan if r.level is None]
     if blocked:
-        raise ValueError(f"dependency cycle among {blocked[:10]}")
+        members: dict[str, list[str]] = {}
+        for r in dependency_cycles(dependency_closure(edges)).orderBy("job").collect():  # configuration, not data
+            members.setdefault(r.cycle, []).append(r.job)
+        raise ValueError("dependency cycle: " + "; ".join(", ".join(m) for m in members.values()))
     import json
     specs = {r.job: {k: v for k, v in json.loads(r.spec).items() if v is not None} for r in plan}
     needs: dict[str, set[str]] = {}
@@ -472,7 +546,7 @@ def run_catalogue(ws: Workspace, catalogue: DataFrame, mode: str = "incremental"
         try:
             return run_job(ws, job, specs[job], mode, watermark)
         except Exception as e:  # recorded; jobs that do not need this one go on
-            return JobResult(job, "failed", notes=[str(e)[:ERROR_CHARS]])
+            return JobResult(job, "failed", notes=[str(e)])
 
     for lvl in sorted({r.level for r in plan}):
         batch = [r.job for r in plan if r.level == lvl]

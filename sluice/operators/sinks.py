@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluice.operators.naming import obs_name as _obs_name
+from sluice.operators.naming import obs_name as _obs_name, observed_values
 from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.operators.upsert import latest_per_key, merge_columns, merge_replace, merge_replace_ordered
 
@@ -27,15 +27,9 @@ def full_refresh(table: VersionedTable, df: DataFrame, on_empty: str = "keep") -
     return None if on_empty == "keep" and n == 0 else n
 
 
-def append(table: VersionedTable, df: DataFrame) -> int:
-    """Add rows to the current version (Spark's commit protocol makes the files visible)."""
-    v = table.current_version()
-    if v == 0:
-        return table.commit(df)
-    obs = Observation(_obs_name(f"append_v{v}"))
-    df.select(*table.read().columns).observe(obs, F.count(F.lit(1)).alias("rows")) \
-        .write.mode("append").parquet(table.version_path(v))
-    return int(obs.get["rows"])
+def append(table: VersionedTable, df: DataFrame, run: str = "") -> int:
+    """Add rows as a folder of their own; a retry of ``run`` replaces what its earlier attempt added."""
+    return table.append(df, run)
 
 
 def upsert(table: VersionedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
@@ -46,6 +40,8 @@ def upsert(table: VersionedTable, delta: DataFrame, keys: list[str], order: list
     # The merge reads the delta more than once (size check, keys, rows): a
     # reliable checkpoint in the shared folder computes it once.
     delta = latest_per_key(delta, keys, order or []).checkpoint(eager=True)
+    if version is None and delta.isEmpty():
+        return 0  # nothing to change: the current version stays
     if table.current_version() == 0 and table.schema is None:
         return table.commit(delta.drop(*[c for c in order or [] if c.startswith("__")]), version=version)
     target = table.read(base_version)
@@ -89,7 +85,7 @@ def insert_columns(spark: SparkSession, name: str, df: DataFrame, columns: list[
     src = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     cols = f" ({', '.join(columns)})" if columns else ""
     spark.sql(f"INSERT INTO IDENTIFIER(:t){cols} SELECT * FROM {{src}}", args={"t": name}, src=src)
-    return int(obs.get["rows"])
+    return int(observed_values(obs).get("rows", 0))
 
 
 def truncate(spark: SparkSession, name: str) -> None:
@@ -119,6 +115,8 @@ def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], ord
     missing table is created from the delta (which then carries every column).
     """
     delta = table.with_bucket(latest_per_key(delta, keys, order or [])).checkpoint(eager=True)
+    if delta.isEmpty():
+        return 0  # neither a version nor, the first time, a table without rows
     if not table.exists():
         return table.refresh(delta.drop(*[c for c in order or [] if c.startswith("__")]))
     touched = delta.select(table.BUCKET).distinct()

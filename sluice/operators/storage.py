@@ -3,9 +3,13 @@
 Spark cannot overwrite a path it is reading, and a truncate followed by an
 insert is not atomic.  A target is therefore a folder of numbered versions;
 a write goes to ``v{n+1}`` through Spark's commit protocol (task retries and
-lost executors are handled there) and only then is an empty marker file
+lost executors are handled there) and only then is a marker file
 ``_committed_v{n+1}`` created.  Readers take the highest committed version, so
 a failed or half-written version is never visible.
+
+A version that was appended has the older folders too: its marker lists them,
+each with the run that wrote it.  A run that failed after its rows were
+committed, and is tried again, replaces the folder of its own earlier attempt.
 """
 
 from __future__ import annotations
@@ -14,9 +18,9 @@ import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sluice.operators.naming import obs_name as _obs_name
+from sluice.operators.naming import obs_name as _obs_name, observed_values
 
 _MARK = re.compile(r"^_committed_v(\d+)$")
 
@@ -32,9 +36,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str = "") -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -62,13 +77,20 @@ class VersionedTable:
         versions = [int(m.group(1)) for m in map(_MARK.match, list_names(self.spark, self.root)) if m]
         return max(versions, default=0)
 
+    def segments(self, v: int) -> list[tuple[int, str]]:
+        """(folder's number, run that wrote it) of the folders that make up a committed version."""
+        if v == 0:
+            return []
+        lines = read_text(self.spark, f"{self.root}/_committed_v{v:08d}").splitlines()
+        return [(int(n), run) for n, run in (line.split(" ", 1) for line in lines)] or [(v, "")]
+
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
         if v == 0:
             if self.schema is None:
                 raise FileNotFoundError(f"no committed version under {self.root}")
             return self.spark.createDataFrame([], self.schema)
-        df = self.spark.read.parquet(self.version_path(v))
+        df = self.spark.read.parquet(*[self.version_path(n) for n, _ in self.segments(v)])
         if self.schema is None:
             self.schema = df.schema
         return df
@@ -81,10 +103,11 @@ class VersionedTable:
         if len(committed) <= retain:
             return []
         floor = committed[-retain]
+        used = {n for v in committed[-retain:] for n, _ in self.segments(v)}
         gone = []
         for n in names:
             m = re.match(r"^v(\d+)$", n)
-            if m and int(m.group(1)) < floor:
+            if m and int(m.group(1)) < floor and int(m.group(1)) not in used:
                 delete_path(self.spark, f"{self.root}/{n}")
                 gone.append(int(m.group(1)))
         for v in committed[:-retain]:
@@ -107,12 +130,31 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(v))
-        rows = int(obs.get["rows"])
+        rows = int(observed_values(obs).get("rows", 0))
         if rows or not skip_empty:
-            touch(self.spark, f"{self.root}/_committed_v{v:08d}")
+            write_text(self.spark, f"{self.root}/_committed_v{v:08d}")
             self.schema = df.schema
         return rows
 
+    def append(self, df: DataFrame, run: str = "") -> int:
+        """Add the rows of ``df`` as a new folder of the next version; return rows written, and commit nothing
+        where there are none.
+
+        ``run`` names who appends (no line breaks): what the same run appended before and did not finish is
+        replaced.  Without a name rows are always added.
+        """
+        current = self.current_version()
+        kept = [(n, r) for n, r in self.segments(current) if not run or r != run]
+        rows = df.select(*self.read(current).columns) if current else df
+        v = current + 1
+        obs = Observation(_obs_name(f"append_v{v}"))
+        rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.version_path(v))
+        n = int(observed_values(obs).get("rows", 0))
+        if n or len(kept) < len(self.segments(current)):
+            write_text(self.spark, f"{self.root}/_committed_v{v:08d}", "\n".join(f"{k} {r}" for k, r in [*kept, (v, run)]))
+            self.schema = self.schema or df.schema
+        return n
+
 
 class BucketedTable:
     """A large keyed target partitioned by a bucket derived from its key.
@@ -135,7 +177,7 @@ class BucketedTable:
         self.root = root.rstrip("/")
         self.bucket_of = bucket_of  # fn(DataFrame) -> Column
         self.manifest = VersionedTable(spark, f"{self.root}/manifest", StructType(
-            [StructField(self.BUCKET, LongType()), StructField("generation", LongType())]))
+            [StructField(self.BUCKET, LongType()), StructField("generation", LongType()), StructField("run", StringType())]))
 
     def exists(self) -> bool:
         return self.manifest.current_version() > 0
@@ -147,7 +189,7 @@ class BucketedTable:
         """The table, or only the buckets that ``touched`` (bucket) names; other folders are not listed."""
         live = self.manifest.read()
         some = live if touched is None else live.join(touched, self.BUCKET, "left_semi")
-        paths = [f"{self._folder(g)}/{self.BUCKET}={b}" for b, g in some.collect()]
+        paths = [f"{self._folder(r.generation)}/{self.BUCKET}={r[self.BUCKET]}" for r in some.collect()]
         base = self.spark.read.option("basePath", f"{self.root}/data")
         if paths:
             rows = base.parquet(*paths)
@@ -161,26 +203,28 @@ class BucketedTable:
     def with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.BUCKET, F.coalesce(self.bucket_of(df).cast("bigint"), F.lit(-1)))
 
-    def _write(self, df: DataFrame, kept: DataFrame | None, skip_empty: bool = False) -> int:
+    def _write(self, df: DataFrame, kept: DataFrame | None, skip_empty: bool = False, run: str = "") -> int:
         generation = self.manifest.current_version() + 1
         obs = Observation(_obs_name("bucket_rows"))
         # A bucket's rows go to few files; adaptive execution splits a large bucket and joins small ones.
         laid = df.hint("rebalance", self.BUCKET).observe(obs, F.count(F.lit(1)).alias("rows"))
         laid.write.mode("overwrite").partitionBy(self.BUCKET).parquet(self._folder(generation))
-        rows = int(obs.get["rows"])
+        rows = int(observed_values(obs).get("rows", 0))
         if not rows and skip_empty:
             return 0
         names = [n for n in list_names(self.spark, self._folder(generation)) if n.startswith(f"{self.BUCKET}=")]
-        pairs = self.spark.createDataFrame([(int(n.split("=")[1]), generation) for n in names], self.manifest.schema)
+        pairs = self.spark.createDataFrame([(int(n.split("=")[1]), generation, run) for n in names], self.manifest.schema)
         self.manifest.commit(pairs if kept is None else kept.unionByName(pairs), version=generation)
         return rows
 
-    def refresh(self, df: DataFrame, skip_empty: bool = False) -> int:
+    def refresh(self, df: DataFrame, skip_empty: bool = False, run: str = "") -> int:
         """Replace the whole table; buckets that ``df`` (with its bucket column) lacks are gone."""
-        return self._write(df, None, skip_empty)
+        return self._write(df, None, skip_empty, run)
 
-    def append(self, df: DataFrame) -> int:
-        return self._write(df, self.manifest.read())
+    def append(self, df: DataFrame, run: str = "") -> int:
+        """Add rows; what the same ``run`` added before and did not finish is replaced."""
+        live = self.manifest.read()
+        return self._write(df, live.where(F.coalesce("run", F.lit("")) != run) if run else live, skip_empty=not run, run=run)
 
     def replace(self, df: DataFrame, touched: DataFrame) -> int:
         """Replace the buckets that ``touched`` names by the rows of ``df``."""

@@ -128,7 +128,8 @@ oracle("core_locations", """SELECT n_nationkey AS location_id, n_name AS locatio
 # --- 2.1 sources / 2.3 sinks / 2.4 jobs -------------------------------------
 ORDERS_ALL = f"SELECT {ORDERS_COLS} FROM orders"
 for _k in ("extract_full", "empty_source_keeps_target", "full_refresh_overwrite", "append_load",
-           "job_extract_load_full", "job_extract_load_incremental", "job_incremental_reruns"):
+           "job_extract_load_full", "job_extract_load_incremental", "job_incremental_reruns",
+           "job_timestamp_watermark", "job_retry_append", "job_empty_first_upsert", "job_bounded_batches"):
     oracle(_k, ORDERS_ALL)
 
 oracle("extract_incremental", ORDERS_ALL + " WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00'")
@@ -137,6 +138,17 @@ oracle("extract_parameterized", """SELECT o_orderkey, o_orderdate, o_totalprice
 oracle("load_json_records", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
 oracle("load_json_arrays", """SELECT 'array' AS kind, c_custkey AS k, c_name AS v FROM customer
  UNION ALL SELECT 'scalar', CAST(NULL AS BIGINT), p_name FROM part""")
+oracle("load_json_scalars", """SELECT CASE p_partkey % 3 WHEN 0 THEN concat('[', p_name, ']') WHEN 1 THEN concat('{', p_name)
+ ELSE p_name END AS v FROM part""")
+# Values with more than half of a batch are batches of their own; the others fill windows of half a batch.
+oracle("extract_batches", """WITH h AS (SELECT o_orderdate AS v, count(*) AS n FROM orders
+  WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00' GROUP BY o_orderdate),
+ c AS (SELECT v, n, n * 2 > 1000 AS heavy,
+   coalesce(sum(CASE WHEN n * 2 > 1000 THEN 1 ELSE 0 END) OVER w, 0) AS heavies,
+   coalesce(sum(CASE WHEN n * 2 > 1000 THEN 0 ELSE n END) OVER w, 0) AS before
+  FROM h WINDOW w AS (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT row_number() OVER (ORDER BY min(v)) - 1 AS batch, min(v) AS low, max(v) AS high, CAST(sum(n) AS BIGINT) AS rows
+FROM c GROUP BY heavies, heavy, CASE WHEN heavy THEN -1 ELSE floor(before * 2 / 1000.0) END""")
 oracle("config_merge_last_wins", """SELECT concat('Task', CAST(p_partkey AS VARCHAR)) AS task,
  CASE WHEN p_partkey % 250 >= 240 THEN 'summary' ELSE 'extract_load' END AS type,
  CASE WHEN p_partkey % 250 >= 240 THEN concat('Task', CAST(p_partkey - 1 AS VARCHAR)) ELSE '' END AS deps
@@ -378,6 +390,15 @@ oracle("dependency_levels", f"""WITH RECURSIVE {JOB_EDGES},
   SELECT p_partkey, 0 FROM part WHERE p_partkey NOT IN (SELECT job FROM e)
   UNION ALL SELECT e.job, lv.level + 1 FROM e JOIN lv ON e.dep = lv.job)
 SELECT job, max(level) AS level FROM lv GROUP BY job""")
+oracle("dependency_closure", f"""WITH RECURSIVE {JOB_EDGES},
+ e AS (SELECT job, dep FROM job_edges WHERE dep IN (SELECT p_partkey FROM part)),
+ r(job, ancestor) AS (SELECT job, dep FROM e UNION SELECT r.job, e.dep FROM r JOIN e ON e.job = r.ancestor)
+SELECT job, ancestor FROM r""")
+oracle("dependency_cycles", f"""WITH RECURSIVE {JOB_EDGES},
+ f AS (SELECT job, dep FROM job_edges WHERE dep IN (SELECT p_partkey FROM part)),
+ e AS (SELECT job, dep FROM f UNION SELECT dep, job FROM f WHERE job % 50 = 3),
+ r(job, ancestor) AS (SELECT job, dep FROM e UNION SELECT r.job, e.dep FROM r JOIN e ON e.job = r.ancestor)
+SELECT a.job, min(a.ancestor) AS cycle FROM r a JOIN r b ON a.job = b.ancestor AND a.ancestor = b.job GROUP BY a.job""")
 oracle("json_quarantine", f"WITH {JSON_BODIES} SELECT id, json_valid(body) AS valid FROM json_bodies")
 oracle("collated_group_count", """WITH s AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment)
  ELSE replace(c_mktsegment, 'E', 'É') END AS seg FROM customer)

@@ -1,4 +1,4 @@
-"""Job-dependency lineage: resolved edges, pending jobs, execution levels.
+"""Job-dependency lineage: resolved edges, pending jobs, execution levels, closure and cycles.
 
 The reference hands its dependency graph to a scheduler; here the graph is
 data.  Levels are computed by frontier expansion (Kahn's algorithm in
@@ -49,3 +49,30 @@ def dependency_levels(jobs: DataFrame, edges: DataFrame) -> DataFrame:
         level += 1
     rest = left.select("job", F.lit(None).cast("int").alias("level"))
     return rest if levels is None else levels.unionByName(rest)
+
+
+def dependency_closure(edges: DataFrame) -> DataFrame:
+    """(job, ancestor) of everything a job needs, directly or not, each pair once; a job on a cycle is its own ancestor.
+
+    By path doubling: a round joins the pairs found last with all pairs on both ends, so paths of twice the length
+    are known after it and the rounds are the logarithm of the depth.  Only pairs that are new go on; each round is
+    checkpointed.  Rows with a NULL end are no edges.
+    """
+    new = edges.where(F.col("job").isNotNull() & F.col("dep").isNotNull()).select("job", F.col("dep").alias("ancestor")).distinct().checkpoint(eager=True)
+    found = new
+    while not new.isEmpty():
+        def then(first: DataFrame, second: DataFrame) -> DataFrame:
+            onward = second.select(F.col("job").alias("via"), F.col("ancestor").alias("further"))
+            return first.join(onward, F.col("ancestor") == F.col("via")).select("job", F.col("further").alias("ancestor"))
+
+        # Paths of up to twice the length end or begin with one that was found last.
+        longer = then(new, found).unionByName(then(found, new)).distinct()
+        new = longer.join(found, ["job", "ancestor"], "left_anti").checkpoint(eager=True)
+        found = found.unionByName(new).checkpoint(eager=True)
+    return found
+
+
+def dependency_cycles(closure: DataFrame) -> DataFrame:
+    """(job, cycle) of the jobs that reach themselves; ``cycle`` is the least job of those that reach each other."""
+    back = closure.select(F.col("job").alias("ancestor"), F.col("ancestor").alias("job"))
+    return closure.join(back, ["job", "ancestor"]).groupBy("job").agg(F.min("ancestor").alias("cycle"))

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from sluice.functions.exprs import ntz
 from sluice.operators import metadata as md
+from sluice.operators.batches import batch_bounds
 from sluice.operators.jobs import Workspace, run_catalogue, run_job
 from sluice.operators.sinks import create_database, create_table, insert_columns, positional_bind, range_bucket, \
     truncate, upsert_bucketed, write_clustered
@@ -277,6 +278,93 @@ def job_incremental_reruns(t: Tables) -> DataFrame:
     return ws.target("encounters").read()
 
 
+def job_timestamp_watermark(t: Tables) -> DataFrame:
+    """Incremental runs by a field that is a point in time (TIMESTAMP): rows are appended once, whatever the zones of
+    the host and the session are."""
+    ws = workspace(t, "timestamp-mark")
+    feed = orders(t).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    spec = {"type": "extract_load", "query": ORDERS_SELECT.replace("FROM orders", "FROM timed_feed"), "target_table": "encounters",
+            "incremental_field": "o_orderdate", "source_table": "timed_feed"}
+    feed.where((F.col("o_orderdate") <= F.lit("1998-01-01 13:00:00").cast("timestamp")) | F.col("o_orderdate").isNull()).createOrReplaceTempView("timed_feed")
+    run_job(ws, "ExtractOrders", spec, "full")
+    feed.createOrReplaceTempView("timed_feed")
+    for _ in range(2):
+        run_job(ws, "ExtractOrders", spec, "incremental")
+    return ws.target("encounters").read().withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+class Interrupted(Exception):
+    pass
+
+
+def interrupted(ws: Workspace, step: str, *job, **more) -> None:
+    """Run a job that ends just before ``step`` of its workspace, as a lost driver would end it."""
+    def stop(*_, **__):
+        raise Interrupted(step)
+
+    setattr(ws, step, stop)
+    try:
+        run_job(ws, *job, **more)
+    except Interrupted:
+        pass
+    finally:
+        delattr(ws, step)
+
+
+def job_retry_append(t: Tables) -> DataFrame:
+    """Appends that are interrupted after the rows were written, and after the completion was, and tried again."""
+    ws = workspace(t, "retry-append")
+    spec = {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "encounters", "incremental_field": "o_orderdate",
+            "source_table": "orders"}
+    half = {**spec, "query": ORDERS_SELECT + " WHERE o_orderdate <= TIMESTAMP_NTZ'1998-01-01 00:00:00' OR o_orderdate IS NULL"}
+    interrupted(ws, "mark_done", "ExtractOrders", half, mode="incremental")
+    run_job(ws, "ExtractOrders", half, mode="incremental")
+    interrupted(ws, "_advance", "ExtractOrders", spec, mode="incremental")
+    run_job(ws, "ExtractOrders", spec, mode="incremental")
+    return ws.target("encounters").read()
+
+
+def job_empty_first_upsert(t: Tables) -> DataFrame:
+    """A bucketed keyed target whose first run finds no rows; then rows, then none again."""
+    ws = workspace(t, "empty-first")
+    spec = {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "encounters", "merge_key": ["o_orderkey"], "bucket_by": ORDERS_BUCKETS}
+    none = {**spec, "query": ORDERS_SELECT + " WHERE false"}
+    for one in (none, spec, none):
+        run_job(ws, "ExtractOrders", one, mode="incremental")
+    return ws.read_target(spec).select(*views.ORDER_COLS)
+
+
+def load_json_scalars(t: Tables) -> DataFrame:
+    """Scalars whose text looks like JSON stay as they are."""
+    ws = workspace(t, "json-scalars")
+    path = f"{ws.root}/files/names"
+    p = F.col("p_partkey")
+    odd = F.when(p % 3 == 0, F.concat(F.lit("["), "p_name", F.lit("]"))).when(p % 3 == 1, F.concat(F.lit("{"), "p_name")).otherwise(F.col("p_name"))
+    write_json_scalars(t.part.select("p_partkey", odd.alias("v")), "v", path, F.floor(p / 50000))
+    run_job(ws, "LoadNames", {"type": "load", "source_file": path, "target_table": "names", "file_schema": "v string", "positional": True})
+    return ws.target("names").read()
+
+
+BATCH_ROWS = 1000
+
+
+def extract_batches(t: Tables) -> DataFrame:
+    """The ranges of an increment in batches of bounded size."""
+    rows = extract(orders(t), incremental=True, incremental_field="o_orderdate", last_updated=WATERMARK)
+    found = batch_bounds(rows, "o_orderdate", BATCH_ROWS)
+    return found.select("batch", F.col("low").cast("timestamp_ntz").alias("low"), F.col("high").cast("timestamp_ntz").alias("high"), "rows")
+
+
+def job_bounded_batches(t: Tables) -> DataFrame:
+    """Incremental runs in batches of a fifth of the table's rows, about; a second run finds nothing."""
+    ws = workspace(t, "batches")
+    spec = {"type": "extract_load", "query": ORDERS_SELECT, "target_table": "encounters", "incremental_field": "o_orderdate",
+            "source_table": "orders", "batch_size": t.orders.count() // 5 + 1}
+    run_job(ws, "ExtractOrders", spec, mode="incremental")
+    run_job(ws, "ExtractOrders", spec, mode="incremental")
+    return ws.target("encounters").read()
+
+
 def bucketed_full_refresh(t: Tables) -> DataFrame:
     """A full refresh from a smaller source drops the buckets that it lacks."""
     ws = workspace(t, "bucket-refresh")

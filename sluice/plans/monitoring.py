@@ -171,6 +171,17 @@ def dependency_levels(t):
     return lineage.dependency_levels(jobs, lineage.resolve_edges(views.job_edges(t), jobs))
 
 
+def dependency_closure(t):
+    return lineage.dependency_closure(lineage.resolve_edges(views.job_edges(t), defined_jobs(t)))
+
+
+def dependency_cycles(t):
+    """The same edges, of which some also go the other way."""
+    edges = lineage.resolve_edges(views.job_edges(t), defined_jobs(t))
+    back = edges.where(F.col("job") % 50 == 3).select(F.col("dep").alias("job"), F.col("job").alias("dep"))
+    return lineage.dependency_cycles(lineage.dependency_closure(edges.unionByName(back)))
+
+
 # --- quality ------------------------------------------------------------------
 
 def json_quarantine(t):

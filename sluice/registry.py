@@ -40,6 +40,12 @@ for _name, _fn in [
     ("job_extract_load_full", loads.job_extract_load_full),
     ("job_extract_load_incremental", loads.job_extract_load_incremental),
     ("job_incremental_reruns", loads.job_incremental_reruns),
+    ("job_timestamp_watermark", loads.job_timestamp_watermark),
+    ("job_retry_append", loads.job_retry_append),
+    ("job_empty_first_upsert", loads.job_empty_first_upsert),
+    ("load_json_scalars", loads.load_json_scalars),
+    ("extract_batches", loads.extract_batches),
+    ("job_bounded_batches", loads.job_bounded_batches),
     ("bucketed_full_refresh", loads.bucketed_full_refresh),
     ("load_upsert_duplicates", loads.load_upsert_duplicates),
     ("job_parameterized", loads.job_parameterized),
@@ -63,7 +69,7 @@ for _name in ["history_filtered", "history_date_range", "history_count", "histor
               "history_stats_empty", "history_types", "history_iso", "history_display", "history_append",
               "history_update", "progress_rollup", "progress_current_task", "progress_message",
               "progress_heartbeat", "reconcile_runs", "classify_log_lines", "classify_outcomes",
-              "dependency_edges", "pending_jobs", "dependency_levels", "json_quarantine",
+              "dependency_edges", "pending_jobs", "dependency_levels", "dependency_closure", "dependency_cycles", "json_quarantine",
               "collated_group_count", "path_tree"]:
     query(_name)(getattr(mon, _name))
 

@@ -22,8 +22,9 @@ TASK_SPEC_DDL = ("type string, dependencies array<string>, sql string, query str
                  "merge_key array<string>, file_schema string, target_schema string, source_table string, "
                  "use_stored_watermark boolean, sql_file string, positional boolean, lines boolean, "
                  "order_by array<string>, update_columns array<string>, defaults map<string, string>, "
-                 "bucket_by struct<column string, width bigint, buckets bigint>")
+                 "batch_size bigint, bucket_by struct<column string, width bigint, buckets bigint>")
 CATALOGUE_DDL = f"tasks map<string, struct<{TASK_SPEC_DDL}>>"
+CATALOGUE_TYPE = f"struct<{CATALOGUE_DDL}>"
 
 
 POSITION = "__position"
@@ -57,15 +58,20 @@ def read_json_positional(spark: SparkSession, path: str, target: StructType, lin
         return None
     text = spark.read.option("wholetext", not lines).option("recursiveFileLookup", True).text(path).select("value", _position())
     text = text.where(F.trim("value") != "")
+    # An element is what its JSON says, not what its text looks like: "[1]" in quotes is a scalar.
+    strict = {"mode": "FAILFAST"}
     if lines:
-        elems = text.select(F.col("value").alias("e"), POSITION, F.lit(0).alias("at"))
+        whole = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+        elems = text.select(F.from_json(whole, "array<string>", strict)[0].alias("e"), F.from_json(whole, "array<variant>", strict)[0].alias("kind"),
+                            POSITION, F.lit(0).alias("at"))
     else:
-        parsed = F.from_json("value", "array<string>")
-        bad = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col(f"{POSITION}.file"))).cast("array<string>")
-        elems = text.select(F.posexplode(F.when(parsed.isNull(), bad).otherwise(parsed)).alias("at", "e"), POSITION)
-    head = F.trim("e")
-    vals = (F.when(head.startswith("["), F.from_json("e", "array<string>"))
-            .when(head.startswith("{"), F.map_values(F.from_json("e", "map<string,string>")))
+        parsed, kinds = F.from_json("value", "array<string>"), F.from_json("value", "array<variant>")
+        bad = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col(f"{POSITION}.file")))
+        both = F.arrays_zip(F.when(parsed.isNull(), bad.cast("array<string>")).otherwise(parsed).alias("e"), kinds.alias("kind"))
+        elems = text.select(F.posexplode(both).alias("at", "both"), POSITION).select("both.e", "both.kind", POSITION, "at")
+    kind = F.schema_of_variant("kind")
+    vals = (F.when(kind.startswith("ARRAY"), F.from_json("e", "array<string>"))
+            .when(kind.startswith("OBJECT"), F.map_values(F.from_json("e", "map<string,string>")))
             .otherwise(F.array("e")))
     wrong = F.raise_error(F.concat(F.lit(f"expected {len(target)} values: "), F.coalesce("e", F.lit("null")))).cast("array<string>")
     rows = elems.select(vals.alias("v"), "e", POSITION, "at").select(
@@ -76,10 +82,17 @@ def read_json_positional(spark: SparkSession, path: str, target: StructType, lin
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Merge catalogue files in path order: a later file replaces an earlier
-    definition of the same task; files without ``tasks`` are ignored."""
-    files = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-             .select(F.col("_metadata.file_path").alias("file"),
-                     F.from_json("value", CATALOGUE_DDL).alias("doc")))
+    definition of the same task; files without ``tasks`` are ignored.
+
+    A file that is no JSON object, is cut off, or has a field of another type than
+    ``TASK_SPEC_DDL`` says, fails the read and is named; other fields are not read."""
+    text = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+            .select(F.col("_metadata.file_path").alias("file"), "value"))
+    # FAILFAST refuses what does not parse; NULL for a whole file is another kind of JSON.
+    doc = F.from_json("value", CATALOGUE_DDL, {"mode": "FAILFAST"})
+    bad = F.raise_error(F.concat(F.lit("not a job catalogue: "), F.col("file")))
+    kind = F.schema_of_variant(F.try_parse_json("value"))
+    files = text.select("file", F.when(F.coalesce(kind.startswith("OBJECT"), F.lit(False)), doc).otherwise(bad.cast(CATALOGUE_TYPE)).alias("doc"))
     entries = files.select("file", F.explode("doc.tasks").alias("task", "spec"))
     return (entries.groupBy("task")
             .agg(F.max_by("spec", "file").alias("spec"), F.max("file").alias("file")))
