@@ -156,6 +156,24 @@ oracle("config_merge_last_wins", """SELECT concat('Task', CAST(p_partkey AS VARC
 oracle("upsert_orders", f"""WITH {ORDERS_DELTA}
 SELECT * FROM latest_delta
 UNION ALL SELECT {ORDERS_COLS} FROM orders o WHERE NOT EXISTS (SELECT 1 FROM latest_delta d WHERE d.o_orderkey = o.o_orderkey)""")
+# The tables as they are after the changes; the derived tables' own SQL follows.
+CHANGED = ORDERS_DELTA + """,
+changed_orders AS (SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN o_custkey - 1 ELSE o_custkey END AS o_custkey, o_orderstatus,
+  o_totalprice, o_orderdate FROM latest_delta
+ UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders o
+ WHERE NOT EXISTS (SELECT 1 FROM latest_delta d WHERE d.o_orderkey = o.o_orderkey)),
+changed_customer AS (SELECT c_custkey, c_name, c_mktsegment,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS c_nationkey FROM customer)"""
+
+
+def over_changed(sql: str) -> str:
+    return sql.replace("FROM customer", "FROM changed_customer customer").replace("JOIN customer", "JOIN changed_customer customer") \
+        .replace("FROM orders", "FROM changed_orders orders").replace("JOIN orders", "JOIN changed_orders orders")
+
+
+oracle("maintained_flattened", f"WITH {CHANGED}, {over_changed(FLAT_ENC)} SELECT * FROM flat_enc")
+for _name in ("patient_summary", "location_summary"):
+    oracle(f"maintained_{_name}", f"WITH {CHANGED} {over_changed(ORACLE[_name])}")
 oracle("dedupe_last_wins", f"""WITH {ORDERS_DELTA.split('),' + chr(10) + 'latest_delta')[0]})
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, seq FROM (
  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM orders_delta) WHERE rn = 1""")

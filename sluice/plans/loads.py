@@ -17,6 +17,7 @@ from sluice.functions.exprs import ntz
 from sluice.operators import metadata as md
 from sluice.operators.batches import batch_bounds
 from sluice.operators.jobs import Workspace, run_catalogue, run_job
+from sluice.operators.maintained import MaintainedTables
 from sluice.operators.sinks import create_database, create_table, insert_columns, positional_bind, range_bucket, \
     truncate, upsert_bucketed, write_clustered
 from sluice.operators.storage import BucketedTable, VersionedTable
@@ -151,6 +152,28 @@ def upsert_orders(t: Tables) -> DataFrame:
     return target.read().select(*views.ORDER_COLS)
 
 
+def _maintained(t: Tables, label: str) -> MaintainedTables:
+    """Derived tables built from the orders and patients as they are, then given the changed orders (some of which
+    pass to another patient) and patients (some of which move to another location) alone."""
+    tables = MaintainedTables(t.spark, work_path(t.spark, label), {"nation": t.nation, "region": t.region}, index_width=ORDERS_BUCKETS["width"])
+    people = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    tables.build(people, orders(t))
+    tables.apply(views.reassigned_delta(t), views.relocated_patients(t), order=["seq"])
+    return tables
+
+
+def maintained_flattened(t: Tables) -> DataFrame:
+    return _maintained(t, "maintained-flat").read("flattened")
+
+
+def maintained_patient_summary(t: Tables) -> DataFrame:
+    return _maintained(t, "maintained-patients").read("patient_summary")
+
+
+def maintained_location_summary(t: Tables) -> DataFrame:
+    return _maintained(t, "maintained-locations").read("location_summary")
+
+
 def dedupe_last_wins(t: Tables) -> DataFrame:
     return latest_per_key(views.orders_delta(t), ["o_orderkey"], ["seq"])
 

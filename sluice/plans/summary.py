@@ -61,21 +61,27 @@ def observation_summary(t: Tables) -> DataFrame:
                     "encounters"))
 
 
-def location_summary(t: Tables) -> DataFrame:
-    """Per nation: patients, encounters, total spend, last encounter date.
-
-    orders -> per-patient partial aggregate -> patient join -> per-nation
-    aggregate -> 25-row location join.  No distinct count is needed because
-    each patient row appears once after the first aggregate.
-    """
+def nation_partials(t: Tables, by: list[str] | None = None) -> DataFrame:
+    """Per nation, and further columns of the patients: patients, encounters, spend, last encounter date.  No distinct
+    count is needed, as each patient row appears once after the first aggregate."""
+    by = by or []
     per_patient = encounters_per_patient(t).select("o_custkey", "encounters", "total_dec", "last_seen")
-    per_nation = (t.customer.select("c_custkey", "c_nationkey")
-                  .join(per_patient, F.col("c_custkey") == F.col("o_custkey"), "left")
-                  .groupBy("c_nationkey")
-                  .agg(F.count(F.lit(1)).alias("patients"),
-                       F.sum(F.coalesce("encounters", F.lit(0))).alias("encounters"),
-                       F.sum("total_dec").alias("total_dec"),
-                       F.max("last_seen").alias("last_seen")))
+    return (t.customer.select("c_custkey", "c_nationkey", *by)
+            .join(per_patient, F.col("c_custkey") == F.col("o_custkey"), "left")
+            .groupBy("c_nationkey", *by)
+            .agg(F.count(F.lit(1)).alias("patients"),
+                 F.sum(F.coalesce("encounters", F.lit(0))).alias("encounters"),
+                 F.sum("total_dec").alias("total_dec"),
+                 F.max("last_seen").alias("last_seen")))
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of disjoint sets of patients as one row a nation."""
+    return partials.groupBy("c_nationkey").agg(F.sum("patients").alias("patients"), F.sum("encounters").alias("encounters"),
+                                               F.sum("total_dec").alias("total_dec"), F.max("last_seen").alias("last_seen"))
+
+
+def by_location(t: Tables, per_nation: DataFrame) -> DataFrame:
     return (locations(t)
             .join(broadcast_if_small(per_nation), F.col("n_nationkey") == F.col("c_nationkey"), "left")
             .select("n_nationkey", "n_name", "r_name",
@@ -83,3 +89,12 @@ def location_summary(t: Tables) -> DataFrame:
                     F.coalesce("encounters", F.lit(0)).cast("bigint").alias("encounters"),
                     F.col("total_dec").cast("double").alias("total"),
                     "last_seen"))
+
+
+def location_summary(t: Tables) -> DataFrame:
+    """Per nation: patients, encounters, total spend, last encounter date.
+
+    orders -> per-patient partial aggregate -> patient join -> per-nation
+    aggregate -> 25-row location join.
+    """
+    return by_location(t, nation_partials(t))

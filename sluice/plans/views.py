@@ -98,6 +98,18 @@ def orders_delta(t: Tables) -> DataFrame:
     return a.unionByName(b).unionByName(c)
 
 
+def reassigned_delta(t: Tables) -> DataFrame:
+    """The orders delta; an order of a patient whose key is even passes to the patient before."""
+    even = F.col("o_custkey") % 2 == 0
+    return orders_delta(t).withColumn("o_custkey", F.when(even, F.col("o_custkey") - 1).otherwise(F.col("o_custkey")))
+
+
+def relocated_patients(t: Tables) -> DataFrame:
+    """Patients of one market segment, each moved to the next location."""
+    return (t.customer.where("c_mktsegment = 'BUILDING'")
+            .select("c_custkey", "c_name", "c_mktsegment", ((F.col("c_nationkey") + 1) % 25).alias("c_nationkey"), F.lit(0).cast("bigint").alias("seq")))
+
+
 def json_bodies(t: Tables) -> DataFrame:
     p = F.col("props")
     body = F.when(F.col("event_id") % 5 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(p)

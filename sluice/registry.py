@@ -30,6 +30,9 @@ for _name, _fn in [
     ("full_refresh_overwrite", loads.full_refresh_overwrite),
     ("append_load", loads.append_load),
     ("upsert_orders", loads.upsert_orders),
+    ("maintained_flattened", loads.maintained_flattened),
+    ("maintained_patient_summary", loads.maintained_patient_summary),
+    ("maintained_location_summary", loads.maintained_location_summary),
     ("dedupe_last_wins", loads.dedupe_last_wins),
     ("upsert_partial_columns", loads.upsert_partial_columns),
     ("insert_with_defaults", loads.insert_with_defaults),
