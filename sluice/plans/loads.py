@@ -155,7 +155,7 @@ def upsert_orders(t: Tables) -> DataFrame:
 def _maintained(t: Tables, label: str) -> MaintainedTables:
     """Derived tables built from the orders and patients as they are, then given the changed orders (some of which
     pass to another patient) and patients (some of which move to another location) alone."""
-    tables = MaintainedTables(t.spark, work_path(t.spark, label), {"nation": t.nation, "region": t.region}, index_width=ORDERS_BUCKETS["width"])
+    tables = MaintainedTables(t.spark, work_path(t.spark, label), {"nation": t.nation, "region": t.region}, buckets=16, index_width=ORDERS_BUCKETS["width"])
     people = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     tables.build(people, orders(t))
     tables.apply(views.reassigned_delta(t), views.relocated_patients(t), order=["seq"])
