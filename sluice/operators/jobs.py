@@ -283,7 +283,7 @@ def _write(ws: Workspace, name: str, spec: dict, rows: DataFrame, mode: str, ref
     plain = observed.drop(POSITION)
     keys = spec.get("merge_key")
     order = ([fld] if fld else list(spec.get("order_by") or [])) + [POSITION] * (POSITION in rows.columns)
-    partial = {"update_cols": spec.get("update_columns"),
+    partial = {"collation": spec.get("key_collation"), "update_cols": spec.get("update_columns"),
                "defaults": {c: F.expr(e) for c, e in (spec.get("defaults") or {}).items()}}
     replace = mode == "full" and refresh
     if spec.get("bucket_by"):

@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluice.operators.layout import z_order
 from sluice.operators.naming import obs_name as _obs_name, observed_values
 from sluice.operators.storage import BucketedTable, VersionedTable
-from sluice.operators.upsert import latest_per_key, merge_columns, merge_replace, merge_replace_ordered
+from sluice.operators.upsert import latest_per_key, materialize, merge_columns, merge_replace, merge_replace_ordered, \
+    spelled_as_stored
+
+_PLACE = "__place"
 
 
 def positional_bind(df: DataFrame, target: StructType) -> DataFrame:
@@ -34,12 +38,18 @@ def append(table: VersionedTable, df: DataFrame, run: str = "") -> int:
 
 def upsert(table: VersionedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
            update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None,
-           version: int | None = None, base_version: int | None = None) -> int:
+           version: int | None = None, base_version: int | None = None, collation: str | None = None) -> int:
     """Keyed upsert of ``delta`` into ``table`` as a new version; the last row per key by ``order`` wins (by the
-    whole row where no order is given).  Columns that the target lacks are dropped after that."""
+    whole row where no order is given).  Columns that the target lacks are dropped after that.  With ``collation``
+    keys are equal that it takes for equal, and a stored key keeps its spelling."""
+    if collation:
+        empty = table.current_version() == 0 and table.schema is None
+        delta = spelled_as_stored(delta, keys, order or [], None if empty else table.read(base_version), collation)
+    else:
+        delta = latest_per_key(delta, keys, order or [])
     # The merge reads the delta more than once (size check, keys, rows): a
     # reliable checkpoint in the shared folder computes it once.
-    delta = latest_per_key(delta, keys, order or []).checkpoint(eager=True)
+    delta = delta.checkpoint(eager=True)
     if version is None and delta.isEmpty():
         return 0  # nothing to change: the current version stays
     if table.current_version() == 0 and table.schema is None:
@@ -54,14 +64,19 @@ def upsert(table: VersionedTable, delta: DataFrame, keys: list[str], order: list
 
 
 def write_clustered(table: VersionedTable, df: DataFrame, cluster_by: list[str],
-                    partition_by: list[str] | None = None) -> int:
+                    partition_by: list[str] | None = None, files: int | None = None) -> int:
     """The reference adds secondary indexes after a summary build; on files the
-    equivalent is layout: range-partition and sort by the index columns so each
-    file covers a narrow min/max range and parquet row-group statistics prune
-    filtered reads.  A hash of the row ends the range key, so a value that many
-    rows share is split too.  No partition count is fixed, so AQE sizes the output."""
-    laid = df.repartitionByRange(*cluster_by, F.xxhash64(*df.columns)).sortWithinPartitions(*cluster_by)
-    return table.commit(laid, partition_by=partition_by)
+    equivalent is layout: rows are range-partitioned by the index column, or by
+    a space-filling curve through several of them, so each file covers a narrow
+    min/max range of every one and parquet statistics prune filtered reads.  A
+    hash of the row ends the range key, so a value that many rows share is split
+    too.  The rows are computed once, though they are read more often.  Without
+    ``files`` AQE sizes the output."""
+    df = materialize(df)
+    place = F.col(cluster_by[0]) if len(cluster_by) == 1 else z_order(df, cluster_by)
+    laid = (df.withColumn(_PLACE, place).repartitionByRange(*[files] * bool(files), _PLACE, F.xxhash64(*df.columns))
+            .sortWithinPartitions(_PLACE, *cluster_by))
+    return table.commit(laid.drop(_PLACE), partition_by=partition_by)
 
 
 # --- catalog tables: typed DDL with column defaults ---------------------------
@@ -106,15 +121,24 @@ def hash_bucket(columns: list[str], buckets: int):
 
 def upsert_bucketed(table: BucketedTable, delta: DataFrame, keys: list[str], order: list[str] | None = None,
                     update_cols: list[str] | None = None, defaults: dict[str, Column] | None = None,
-                    guard_order: str | None = None) -> int:
+                    guard_order: str | None = None, collation: str | None = None) -> int:
     """Keyed upsert that rewrites only the buckets the delta touches.
 
+    With ``collation`` keys are equal that it takes for equal; as a key's bucket
+    depends on its spelling, the key columns of all buckets are read then, and
+    still only the touched buckets are rewritten.
+
     With ``guard_order`` a delta row replaces a stored row only when its
     value in that column is not older, which makes re-applying a delta (a
     replayed stream batch, a retried job) converge to the same table.  A
     missing table is created from the delta (which then carries every column).
     """
-    delta = table.with_bucket(latest_per_key(delta, keys, order or [])).checkpoint(eager=True)
+    if collation:
+        stored = table.read() if table.exists() else None
+        latest = spelled_as_stored(delta, keys, order or [], stored, collation)
+    else:
+        latest = latest_per_key(delta, keys, order or [])
+    delta = table.with_bucket(latest).checkpoint(eager=True)
     if delta.isEmpty():
         return 0  # neither a version nor, the first time, a table without rows
     if not table.exists():

@@ -198,6 +198,16 @@ oracle("insert_with_defaults", """SELECT concat('t', CAST(o_orderkey AS VARCHAR)
 oracle("truncate_table", "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM orders")
 oracle("ddl_metadata_tables", f"WITH {RUN_HISTORY} SELECT id, action, pipeline_type, start_time, 'completed' AS status FROM run_history")
 oracle("write_clustered_layout", ORACLE["patient_summary"])
+oracle("clustered_second_column", ORDERS_ALL + " WHERE o_totalprice >= 100000 AND o_totalprice < 110000")
+oracle("upsert_collated", """WITH people AS (SELECT concat('É ', upper(c_name), c_custkey) AS name, c_acctbal AS acctbal FROM customer),
+ d AS (SELECT concat('e ', lower(c_name), c_custkey) AS name, c_acctbal + 1 AS acctbal, 1 AS seq FROM customer WHERE c_custkey % 5 = 0
+  UNION ALL SELECT concat('E ', c_name, c_custkey), c_acctbal + 2, 2 FROM customer WHERE c_custkey % 10 = 0
+  UNION ALL SELECT concat('N ', c_name, c_custkey), c_acctbal + 1, 1 FROM customer WHERE c_custkey % 7 = 1
+  UNION ALL SELECT concat('ñ ', lower(c_name), c_custkey), c_acctbal + 2, 2 FROM customer WHERE c_custkey % 14 = 1),
+ latest AS (SELECT lower(strip_accents(name)) AS k, arg_min(name, seq) AS name, arg_max(acctbal, seq) AS acctbal FROM d GROUP BY 1)
+SELECT p.name, CASE WHEN l.k IS NULL THEN p.acctbal ELSE l.acctbal END AS acctbal
+ FROM people p LEFT JOIN latest l ON l.k = lower(strip_accents(p.name))
+UNION ALL SELECT name, acctbal FROM latest l WHERE NOT EXISTS (SELECT 1 FROM people p WHERE l.k = lower(strip_accents(p.name)))""")
 oracle("positional_bind", """SELECT o_orderkey AS encounter_id, o_custkey AS patient_id, o_orderdate AS encounter_date,
  CAST(o_totalprice AS DECIMAL(12,2)) AS total FROM orders""")
 oracle("sql_script_transform", """SELECT c_mktsegment, o_orderstatus, count(*) AS encounters,

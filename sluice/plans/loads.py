@@ -23,6 +23,7 @@ from sluice.operators.sinks import create_database, create_table, insert_columns
 from sluice.operators.storage import BucketedTable, VersionedTable
 from sluice.operators.upsert import latest_per_key, merge_columns
 from sluice.plans import views
+from sluice.plans.quality import COLLATION
 from sluice.plans.summary import patient_summary
 from sluice.session import work_path
 from sluice.sources.extract import extract, extract_parameterized
@@ -243,6 +244,29 @@ def write_clustered_layout(t: Tables) -> DataFrame:
     return target.read()
 
 
+def clustered_second_column(t: Tables) -> DataFrame:
+    """Orders laid out for two index columns, read by a filter on the second."""
+    target = VersionedTable(t.spark, work_path(t.spark, "clustered-second"))
+    write_clustered(target, orders(t), ["o_orderdate", "o_totalprice"])
+    return target.read().where((F.col("o_totalprice") >= 100000) & (F.col("o_totalprice") < 110000))
+
+
+def upsert_collated(t: Tables) -> DataFrame:
+    """Names that differ by case and accents are one key, in a catalogue job: stored rows keep their spelling, a new
+    key has its first one and its last values."""
+    ws = workspace(t, "upsert-collated")
+    people = views.accented_customers(t)
+    people.createOrReplaceTempView("accented_customers")
+    views.respelled_customers(t).createOrReplaceTempView("respelled_customers")
+    spec = {"type": "extract_load", "query": "SELECT name, acctbal FROM accented_customers", "target_table": "people",
+            "bucket_by": {"column": "name", "buckets": 8}}
+    run_job(ws, "LoadPeople", spec)
+    cat = _catalogue(ws, {"UpdatePeople": {**spec, "query": "SELECT * FROM respelled_customers", "merge_key": ["name"],
+                                           "order_by": ["seq"], "key_collation": COLLATION}})
+    run_catalogue(ws, cat, "incremental")
+    return ws.read_target(spec).select("name", "acctbal")
+
+
 ENCOUNTER_TARGET = "encounter_id bigint, patient_id bigint, encounter_date timestamp_ntz, total decimal(12,2)"
 
 

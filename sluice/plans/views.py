@@ -122,6 +122,24 @@ def job_edges(t: Tables) -> DataFrame:
     return t.part.where(p > 0).select(p.alias("job"), dep.alias("dep"))
 
 
+def accented_customers(t: Tables) -> DataFrame:
+    return t.customer.select(F.concat(F.lit("\u00c9 "), F.upper("c_name"), F.col("c_custkey").cast("string")).alias("name"),
+                             F.col("c_acctbal").alias("acctbal"))
+
+
+def respelled_customers(t: Tables) -> DataFrame:
+    """Later balances under other spellings of the names, and new names in two spellings (``seq`` orders them)."""
+    k, number = F.col("c_custkey"), F.col("c_custkey").cast("string")
+
+    def rows(some: Column, initial: str, name: Column, more: int) -> DataFrame:
+        return t.customer.where(some).select(F.concat(F.lit(initial + " "), name, number).alias("name"),
+                                             (F.col("c_acctbal") + more).alias("acctbal"), F.lit(more).alias("seq"))
+
+    return (rows(k % 5 == 0, "e", F.lower("c_name"), 1).unionByName(rows(k % 10 == 0, "E", F.col("c_name"), 2))
+            .unionByName(rows(k % 7 == 1, "N", F.col("c_name"), 1))
+            .unionByName(rows(k % 14 == 1, "\u00f1", F.lower("c_name"), 2)))
+
+
 def collation_input(t: Tables) -> DataFrame:
     seg: Column = F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")) \
         .otherwise(F.replace(F.col("c_mktsegment"), F.lit("E"), F.lit("É")))

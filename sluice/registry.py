@@ -39,6 +39,8 @@ for _name, _fn in [
     ("truncate_table", loads.truncate_table),
     ("ddl_metadata_tables", loads.ddl_metadata_tables),
     ("write_clustered_layout", loads.write_clustered_layout),
+    ("clustered_second_column", loads.clustered_second_column),
+    ("upsert_collated", loads.upsert_collated),
     ("positional_bind", loads.positional_bind_q),
     ("job_extract_load_full", loads.job_extract_load_full),
     ("job_extract_load_incremental", loads.job_extract_load_incremental),

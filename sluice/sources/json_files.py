@@ -19,7 +19,7 @@ from sluice.operators.storage import path_exists
 
 TASK_SPEC_DDL = ("type string, dependencies array<string>, sql string, query string, target_table string, incremental_field string, source_file string, "
                  "procedure_call string, indexes array<string>, description string, "
-                 "merge_key array<string>, file_schema string, target_schema string, source_table string, "
+                 "merge_key array<string>, key_collation string, file_schema string, target_schema string, source_table string, "
                  "use_stored_watermark boolean, sql_file string, positional boolean, lines boolean, "
                  "order_by array<string>, update_columns array<string>, defaults map<string, string>, "
                  "batch_size bigint, bucket_by struct<column string, width bigint, buckets bigint>")
