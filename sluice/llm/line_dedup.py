@@ -1,13 +1,14 @@
 """Line dedup over a range-partitioned, sorted table of line hashes [native].
 
 Every line long enough to count gives a row (hash, document, position); no text
-leaves the scan.  The rows are range-partitioned by hash and sorted by document,
-largest first, and position, so the first row of a hash is where the line stays
-and a change of document is seen from one row to the next.  A line that a third
-of all documents hold would be one key: a slice number, a hash of the document,
-follows the hash in the range key, so such a line spreads over ``SLICES`` runs.
-Runs are streamed one by one; only what each found (documents, largest of them)
-is added up by hash.
+leaves the scan.  These rows are written once: the range boundaries, the range
+shuffle and the join back all read them, and the lines are not split again.  The
+rows are range-partitioned by hash and sorted by document, largest first, and
+position, so the first row of a hash is where the line stays and a change of
+document is seen from one row to the next.  A line that a third of all documents
+hold would be one key: a slice number, a hash of the document, follows the hash
+in the range key, so such a line spreads over ``SLICES`` runs.  Runs are streamed
+one by one; only what each found (documents, largest of them) is added up by hash.
 
 The result is a bitmap of kept lines per document, as the 64-bit words up to the
 last one that drops a line; words beyond it, and missing bitmaps, keep all.
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower
+from sluice.llm.common import ascii_lower, written
 
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
@@ -50,6 +51,7 @@ def line_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = found.select("id", "text_hash", "pos", key_of(F.col("line")).alias("key")).where(F.char_length("key") >= least_chars)
     rows = found.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
                         F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("slice"), "id", "text_hash", "pos")
+    rows = written(rows, "line-rows")
     at = ["h1", "h2", "slice"]
     order = [F.desc("id"), F.col("pos")]
     laid = rows.repartitionByRange(*at).sortWithinPartitions(*at, *order)

@@ -357,6 +357,20 @@ def test_line_bitmaps_of_long_documents(spark):
     assert got[0].kept_text == "\n".join(x for k, x in enumerate(rows[0][1].split("\n")) if k % 3)
 
 
+def test_line_bitmaps_split_every_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = awkward(spark).withColumn("text", seen.asNondeterministic()("text"))
+    got = {r.id: r.n_dropped for r in line_dedup.line_bitmaps(docs).collect()}
+    assert got == {10 + i: 2 for i in range(5)}
+    assert read.value == len(AWKWARD)
+
+
 # --- 10 toxicity -----------------------------------------------------------------------------
 
 def test_segments_are_the_maximal_ones():
