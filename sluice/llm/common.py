@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -13,6 +14,10 @@ from sluice.session import work_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: Rows that go to a Python worker at once.  A batch is held several times on its way, by the JVM outside its heap and by
+#: the worker, so Spark's 10 000 whole texts are hundreds of MB a task.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +33,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_ROWS rows from now on, where the session has larger ones (or, below 1, no bound)."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)
@@ -52,6 +63,15 @@ def runs(values: Iterable, size: int = 1 << 19) -> Iterator[list[str]]:
         yield own
 
 
+def give_back() -> None:
+    """What Arrow and the C library hold of freed memory goes back to the system; without glibc, Arrow's alone."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 _KEPT: dict[str, Any] = {}
 
 
@@ -60,6 +80,6 @@ def kept_in_worker(owner: str, make: Callable[[], Any]) -> Any:
     kept is let go, so that the stages of one job do not add up."""
     if owner not in _KEPT:
         _KEPT.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _KEPT[owner] = make()
     return _KEPT[owner]
