@@ -14,10 +14,14 @@ from sluice.session import work_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-#: Rows that go to a Python worker at once.  A batch is held several times on its way, by the JVM outside its heap and by
-#: the worker, so Spark's 10 000 whole texts are hundreds of MB a task.
+#: Rows that are read, and go to a Python worker, at once.  A batch is held several times on its way, by the JVM on and
+#: off its heap and by the worker, so Spark's 10 000 whole texts are hundreds of MB a task.
 BATCH_ROWS = 512
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of a row group of the tables written between steps: a task holds one while it writes, and a column of one
+#: while it reads, on and off the heap.
+ROW_GROUP = 8 << 20
+#: Rows to a Python worker, and from a Parquet file, at once.
+_BATCHES = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,14 +33,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:
     """Batches of BATCH_ROWS rows from now on, where the session has larger ones (or, below 1, no bound)."""
-    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH, BATCH_ROWS)
+    for key in _BATCHES:
+        if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+            spark.conf.set(key, BATCH_ROWS)
 
 
 def ascii_lower(text: Column) -> Column:

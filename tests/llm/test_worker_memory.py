@@ -12,13 +12,14 @@ from sluice.llm import common
 from ..conftest import ROOT, SF_SMALL
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+READ = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 @pytest.fixture
 def settings(spark):
     """The test's own settings, taken back afterwards."""
     yield spark.conf
-    for key in (ROWS,):
+    for key in (ROWS, READ):
         spark.conf.unset(key)
 
 
@@ -44,6 +45,21 @@ def test_workers_get_small_batches(spark, settings, monkeypatch, name, before, a
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     dict(corpus_pipeline.STAGES)[name](spark, docs, SF_SMALL)
     assert most_rows(spark) == after
+    assert int(spark.conf.get(READ)) == common.BATCH_ROWS
+
+
+def test_row_groups_of_written_tables_are_bounded(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    # 40 MB of text that no encoding makes smaller.
+    df = spark.range(0, 10_000, 1, 1).selectExpr("id", "concat_ws('', transform(sequence(1, 64), k -> sha2(concat(id, '-', k), 256))) AS text")
+    again = common.written(df, "row-groups")
+    sizes = [group.total_byte_size for path in again.inputFiles() for name in glob.glob(path.removeprefix("file://"))
+             for meta in [pq.read_metadata(name)] for group in map(meta.row_group, range(meta.num_row_groups))]
+    assert sum(sizes) > 4 * common.ROW_GROUP and max(sizes) <= 1.5 * common.ROW_GROUP
+    assert again.exceptAll(df).count() == 0 == df.exceptAll(again).count()
 
 
 @pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="another C library")
